@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it is proven small: row count checked first.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after checking the row count (one small job).
+
+    Beyond ``max_rows`` the plain frame is returned and Spark plans a
+    shuffle join (AQE may still switch to broadcast from runtime sizes, and
+    splits skewed partitions).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

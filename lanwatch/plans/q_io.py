@@ -1 +1,84 @@
-"""Registered queries."""
+"""Queries that round-trip data through sinks and readers.
+
+They write under the shared folder named by ``spark.checkpoint.dir`` (a
+fresh sub-folder per call) and read the result back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..operators import forest as M
+from ..operators import incidents as I
+from ..operators import rules as R
+from ..session import checkpoint_root
+from ..sources import fixture
+from ..sources import packets as S
+from ..sources import sinks as K
+from .catalog import register
+from .q_rules import _ALL
+
+_PKT = "seq, ts_us, op, src_mac, dst_mac, src_ip, dst_ip"
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/lanwatch-io/{name}-{uuid.uuid4().hex}"
+
+
+@register("csv_roundtrip", f"SELECT {_PKT} FROM packets")
+def csv_roundtrip(spark, sf_dir):
+    """S5 + S1: packets written as ML-dialect CSV, read back through the contract."""
+    p = fixture.packets(spark, sf_dir)
+    path = _scratch(spark, "packets-csv")
+    K.write_csv(p.select((F.col("ts_us") / F.lit(1e6)).alias("timestamp"), "op", "src_mac", "dst_mac",
+                         "src_ip", "dst_ip", F.col("seq").alias("pkt_seq")), path)
+    back = S.read_packet_csv(spark, path, keep=["pkt_seq"])
+    # the reader numbers rows by position; the written packet id is carried through
+    return back.select(F.col("pkt_seq").cast("long").alias("seq"), "ts_us", "op", "src_mac", "dst_mac",
+                       "src_ip", "dst_ip")
+
+
+@register("detection_report", """
+SELECT count(*) AS total_alerts, count(*) AS total_detections FROM dets""",
+          _ALL)
+def detection_report(spark, sf_dir):
+    """The one-row report (statistics maps checked in pytest)."""
+    rep = K.detection_report(R.run_rules(fixture.packets(spark, sf_dir)), "2024-01-03T00:00:00+00:00")
+    return rep.select("total_alerts", F.col("statistics.total_detections").alias("total_detections"))
+
+
+@register("incident_roundtrip")
+def incident_roundtrip(spark, sf_dir):
+    """Incidents appended twice as JSON Lines, read back (rows-only)."""
+    from .q_risk import _incidents
+    inc = _incidents(spark, sf_dir)
+    path = _scratch(spark, "incidents")
+    I.append_incidents(inc, path)
+    I.append_incidents(inc, path)
+    return I.read_incidents(spark, path).select("incident_id", "severity", "incident_type",
+                                                F.col("details.device_mac").alias("device_mac"))
+
+
+@register("artifact_roundtrip")
+def artifact_roundtrip(spark, sf_dir):
+    """Fitted forest saved as parquet tables and loaded; scores must agree."""
+    from . import service
+    feats, params, model, preds = service.ml_chain(fixture.packets(spark, sf_dir))
+    path = _scratch(spark, "model")
+    M.save_model(model, spark, path)
+    again = M.predict(M.load_model(spark, path), feats, scaler=params)
+    return again.select("window_start", F.col("anomaly_score").alias("anomaly_score_loaded")).join(
+        preds.select("window_start", "anomaly_score"), "window_start")
+
+
+@register("metrics_sink")
+def metrics_sink(spark, sf_dir):
+    """Evaluation metrics written as one JSON document and read back."""
+    from ..operators import evaluate as E
+    p = fixture.packets_with_label(spark, sf_dir)
+    m = E.evaluate(E.rule_predictions(p, R.run_rules(p)), label_coding="zero_one")
+    path = _scratch(spark, "metrics")
+    K.write_metrics(m, path)
+    return spark.read.json(path)

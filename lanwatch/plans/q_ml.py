@@ -1 +1,243 @@
-"""Registered queries."""
+"""Queries for preparation, forest and evaluation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate as E
+from ..operators import features as W
+from ..operators import forest as M
+from ..operators import prep as P
+from ..operators import rules as R
+from ..schema import MODEL_FEATURES
+from ..sources import fixture
+from . import service
+from .catalog import register
+from .q_features import _BINNED
+from .q_rules import _ALL
+
+
+def _z(c, d=6):
+    """Round and fold -0.0 into 0.0 (both engines)."""
+    return F.round(F.col(c) if isinstance(c, str) else c, d) + F.lit(0.0)
+
+
+def _wf(spark, sf_dir):
+    return W.engineer_features(fixture.packets(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- P1–P5
+
+_MISSING = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS missing FROM wf" for c in MODEL_FEATURES)
+
+
+_TOTAL = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in MODEL_FEATURES)
+
+
+@register("missing_counts", _MISSING + f" UNION ALL SELECT '__total__' AS feature, {_TOTAL} AS missing FROM wf",
+          _BINNED)
+def missing_counts(spark, sf_dir):
+    return P.missing_counts(_wf(spark, sf_dir))
+
+
+_GAPPY = "nullif(unsolicited_reply_ratio, 0)"
+
+
+@register("median_impute", f"""
+SELECT window_start, round(coalesce({_GAPPY}, (SELECT quantile_cont({_GAPPY}, 0.5) FROM wf)), 6) + 0.0
+  AS unsolicited_reply_ratio FROM wf""", _BINNED)
+def median_impute(spark, sf_dir):
+    # Zero ratios are treated as "not observed" here so that the imputer has gaps to fill.
+    wf = _wf(spark, sf_dir).withColumn("unsolicited_reply_ratio",
+                                       F.expr("nullif(unsolicited_reply_ratio, 0)"))
+    out = P.median_impute(wf, ["unsolicited_reply_ratio"])
+    return out.select("window_start", _z("unsolicited_reply_ratio").alias("unsolicited_reply_ratio"))
+
+
+_SCALER = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {i} AS position, round(avg({c}), 6) + 0.0 AS mean, "
+    f"round(CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 ELSE stddev_pop({c}) END, 6) + 0.0 AS scale FROM wf"
+    for i, c in enumerate(MODEL_FEATURES))
+
+
+@register("scaler_fit", _SCALER, _BINNED)
+def scaler_fit(spark, sf_dir):
+    p = P.fit_scaler(_wf(spark, sf_dir))
+    return p.select("feature", "position", _z("mean").alias("mean"), _z("scale").alias("scale"))
+
+
+_SCALED_COLS = ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / CASE WHEN coalesce(stddev_pop({c}) OVER (), 0) = 0 THEN 1.0 "
+    f"ELSE stddev_pop({c}) OVER () END, 6) + 0.0 AS {c}" for c in MODEL_FEATURES)
+
+
+@register("scale_features", f"SELECT window_start, {_SCALED_COLS} FROM wf", _BINNED)
+def scale_features(spark, sf_dir):
+    wf = _wf(spark, sf_dir)
+    s = P.transform_scaler(wf, P.fit_scaler(wf))
+    return s.select("window_start", *[_z(c).alias(c) for c in MODEL_FEATURES])
+
+
+_CHECK = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 4) + 0.0 AS mean, round(stddev_samp({c}), 4) + 0.0 AS std FROM sc"
+    for c in MODEL_FEATURES)
+
+
+@register("scaled_check", _CHECK, _BINNED + f",\nsc AS (SELECT {_SCALED_COLS} FROM wf)")
+def scaled_check(spark, sf_dir):
+    wf = _wf(spark, sf_dir)
+    s = P.scaled_check(P.transform_scaler(wf, P.fit_scaler(wf)))
+    return s.select("feature", _z("mean", 4).alias("mean"), _z("std", 4).alias("std"))
+
+
+# ----------------------------------------------------------------- M1–M6 (rows-only)
+
+def _chain(spark, sf_dir):
+    return service.ml_chain(fixture.packets(spark, sf_dir))
+
+
+@register("forest_scores")
+def forest_scores(spark, sf_dir):
+    _, _, _, preds = _chain(spark, sf_dir)
+    return preds.select("window_start", "anomaly_score", "anomaly_prediction", "is_anomaly")
+
+
+@register("train_summary")
+def train_summary(spark, sf_dir):
+    _, _, _, preds = _chain(spark, sf_dir)
+    return M.train_summary(preds)
+
+
+@register("predict_summary")
+def predict_summary(spark, sf_dir):
+    _, _, _, preds = _chain(spark, sf_dir)
+    _, top = M.predict_summary(preds)
+    return top
+
+
+@register("prediction_json")
+def prediction_json(spark, sf_dir):
+    from ..sources.sinks import prediction_records
+    _, _, _, preds = _chain(spark, sf_dir)
+    return prediction_records(preds)
+
+
+def _window_labels(spark, sf_dir, preds):
+    p = fixture.packets_with_label(spark, sf_dir)
+    lo, _, _ = W.time_bounds(p)
+    lab = (W.with_bin(p, lo, 30_000_000).groupBy("bin")
+           .agg(F.when(F.max("label") == 1, F.lit(-1)).otherwise(F.lit(1)).alias("label")))
+    return preds.join(lab, "bin", "left").withColumn("label", F.coalesce("label", F.lit(1)))
+
+
+@register("forest_evaluation")
+def forest_evaluation(spark, sf_dir):
+    _, _, _, preds = _chain(spark, sf_dir)
+    return E.evaluate(_window_labels(spark, sf_dir, preds), label_coding="plus_minus")
+
+
+# ----------------------------------------------------------------- E1–E7 on rule predictions
+
+_RP = _ALL + """,
+rp AS (SELECT p.seq, p.label, coalesce(c.n, 0) AS n FROM packets p
+       LEFT JOIN (SELECT seq, count(*) AS n FROM dets GROUP BY seq) c ON c.seq = p.seq),
+preds AS (SELECT seq, label, CASE WHEN n > 0 THEN -1 ELSE 1 END AS anomaly_prediction,
+                 CAST(-n AS DOUBLE) AS anomaly_score FROM rp)"""
+
+
+def _rule_preds(spark, sf_dir):
+    p = fixture.packets_with_label(spark, sf_dir)
+    return E.rule_predictions(p, R.run_rules(p))
+
+
+@register("score_stats", """
+SELECT count(*) AS total_samples, count(*) FILTER (WHERE anomaly_prediction = 1) AS normal_count,
+       count(*) FILTER (WHERE anomaly_prediction = -1) AS anomaly_count,
+       round(count(*) FILTER (WHERE anomaly_prediction = -1) / greatest(count(*), 1), 4) AS anomaly_rate,
+       round(avg(anomaly_score), 6) + 0.0 AS mean, round(stddev_pop(anomaly_score), 6) + 0.0 AS std,
+       round(min(anomaly_score), 6) + 0.0 AS min, round(max(anomaly_score), 6) + 0.0 AS max,
+       round(quantile_cont(anomaly_score, 0.5), 6) + 0.0 AS median,
+       round(quantile_cont(anomaly_score, 0.25), 6) + 0.0 AS q25,
+       round(quantile_cont(anomaly_score, 0.75), 6) + 0.0 AS q75
+FROM preds""", _RP)
+def score_stats(spark, sf_dir):
+    d = E.score_distribution(_rule_preds(spark, sf_dir))
+    return d.select("total_samples", "normal_count", "anomaly_count", "anomaly_rate",
+                    *[_z(c).alias(c) for c in ("mean", "std", "min", "max", "median", "q25", "q75")])
+
+
+@register("class_score_stats", """
+SELECT CASE WHEN anomaly_prediction = -1 THEN 'anomaly' ELSE 'normal' END AS predicted_class,
+       round(avg(anomaly_score), 6) + 0.0 AS mean, round(stddev_pop(anomaly_score), 6) + 0.0 AS std,
+       round(min(anomaly_score), 6) + 0.0 AS min, round(max(anomaly_score), 6) + 0.0 AS max
+FROM preds GROUP BY 1""", _RP)
+def class_score_stats(spark, sf_dir):
+    d = E.class_score_stats(_rule_preds(spark, sf_dir))
+    return d.select("predicted_class", *[_z(c).alias(c) for c in ("mean", "std", "min", "max")])
+
+
+@register("score_histogram", """
+SELECT c.predicted_class, g.bin,
+       round(c.lo + g.bin * (c.hi - c.lo) / 30, 6) + 0.0 AS bin_lo,
+       round(c.lo + (g.bin + 1) * (c.hi - c.lo) / 30, 6) + 0.0 AS bin_hi,
+       coalesce(h.n, 0) AS count
+FROM rng c CROSS JOIN (SELECT CAST(unnest(range(0, 30)) AS INTEGER) AS bin) g
+LEFT JOIN (SELECT x.predicted_class,
+                  CAST(least(floor((x.s - r.lo) / (r.hi - r.lo) * 30), 29) AS INTEGER) AS bin, count(*) AS n
+           FROM x JOIN rng r ON r.predicted_class = x.predicted_class GROUP BY 1, 2) h
+  ON h.predicted_class = c.predicted_class AND h.bin = g.bin""", _RP + """,
+x AS (SELECT CASE WHEN anomaly_prediction = -1 THEN 'anomaly' ELSE 'normal' END AS predicted_class,
+             anomaly_score AS s FROM preds),
+rng AS (SELECT predicted_class,
+               CASE WHEN max(s) > min(s) THEN min(s) ELSE min(s) - 0.5 END AS lo,
+               CASE WHEN max(s) > min(s) THEN max(s) ELSE max(s) + 0.5 END AS hi
+        FROM x GROUP BY 1)""")
+def score_histogram(spark, sf_dir):
+    h = E.score_histogram(_rule_preds(spark, sf_dir))
+    return h.select("predicted_class", "bin", _z("bin_lo").alias("bin_lo"), _z("bin_hi").alias("bin_hi"), "count")
+
+
+_CONF = _RP + """,
+conf AS (SELECT count(*) FILTER (WHERE label <> 1 AND anomaly_prediction <> -1) AS tn,
+                count(*) FILTER (WHERE label <> 1 AND anomaly_prediction = -1) AS fp,
+                count(*) FILTER (WHERE label = 1 AND anomaly_prediction <> -1) AS fn,
+                count(*) FILTER (WHERE label = 1 AND anomaly_prediction = -1) AS tp FROM preds),
+m AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p1,
+                CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r1,
+                CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0,
+                CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0 FROM conf),
+m2 AS (SELECT *, CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f1,
+                 CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f0,
+                 tn + fp + fn + tp AS n, tn + fp AS s0, tp + fn AS s1 FROM m)"""
+
+
+@register("confusion", """SELECT tn AS true_negative, fp AS false_positive, fn AS false_negative,
+  tp AS true_positive FROM conf""", _CONF)
+def confusion(spark, sf_dir):
+    return E.confusion(_rule_preds(spark, sf_dir), label_coding="zero_one")
+
+
+@register("prf_metrics", """SELECT n AS total_samples, round(p1, 4) AS precision, round(r1, 4) AS recall,
+  round(f1, 4) AS f1_score, round(fp / greatest(fp + tn, 1), 4) AS false_positive_rate FROM m2""", _CONF)
+def prf_metrics(spark, sf_dir):
+    return E.prf_metrics(E.confusion(_rule_preds(spark, sf_dir), label_coding="zero_one"))
+
+
+@register("classification_report", """
+SELECT 'Normal' AS class, round(p0, 4) AS precision, round(r0, 4) AS recall, round(f0, 4) AS f1_score, s0 AS support FROM m2
+UNION ALL SELECT 'Anomaly', round(p1, 4), round(r1, 4), round(f1, 4), s1 FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END, 4), n FROM m2
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 4), round((r0 + r1) / 2, 4), round((f0 + f1) / 2, 4), n FROM m2
+UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 4), round((r0 * s0 + r1 * s1) / n, 4),
+                 round((f0 * s0 + f1 * s1) / n, 4), n FROM m2""", _CONF)
+def classification_report(spark, sf_dir):
+    return E.classification_report(E.confusion(_rule_preds(spark, sf_dir), label_coding="zero_one"))
+
+
+@register("evaluate_auto", """
+SELECT 'supervised' AS evaluation_mode, n AS total_samples, tn AS true_negative, fp AS false_positive,
+       fn AS false_negative, tp AS true_positive, round(p1, 4) AS precision, round(r1, 4) AS recall,
+       round(f1, 4) AS f1_score, round(fp / greatest(fp + tn, 1), 4) AS false_positive_rate FROM m2""", _CONF)
+def evaluate_auto(spark, sf_dir):
+    return E.evaluate(_rule_preds(spark, sf_dir), label_coding="zero_one")

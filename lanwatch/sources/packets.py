@@ -33,7 +33,7 @@ def _header(spark: SparkSession, paths) -> list[str]:
     return spark.read.option("header", True).csv(paths).columns
 
 
-def read_packet_csv(spark: SparkSession, paths, split_rejects: bool = False):
+def read_packet_csv(spark: SparkSession, paths, split_rejects: bool = False, keep=()):
     """ML-dialect CSV (timestamp epoch seconds, op 1/2) -> canonical packets.
 
     Returns the clean frame, or ``(clean, rejects)`` when ``split_rejects``.
@@ -45,10 +45,10 @@ def read_packet_csv(spark: SparkSession, paths, split_rejects: bool = False):
         raise ContractError(f"packet CSV is missing required columns {missing}; found {found}")
     raw = (spark.read.option("header", True).schema(_string_schema(found)).csv(paths)
            .withColumn("seq", F.monotonically_increasing_id()))
-    return apply_packet_contract(raw, split_rejects)
+    return apply_packet_contract(raw, split_rejects, keep)
 
 
-def apply_packet_contract(raw: DataFrame, split_rejects: bool = False):
+def apply_packet_contract(raw: DataFrame, split_rejects: bool = False, keep=()):
     """S1 on text columns: NA tokens -> null, numeric coercion, drop incomplete.
 
     ``raw`` holds the six ML-dialect columns as strings plus ``seq``.
@@ -58,7 +58,7 @@ def apply_packet_contract(raw: DataFrame, split_rejects: bool = False):
     if missing:
         raise ContractError(f"packet records miss {missing}")
     typed = raw.select(
-        "seq",
+        "seq", *keep,
         F.expr("try_cast(timestamp AS DOUBLE)").alias("_t"),
         F.expr("try_cast(op AS DOUBLE)").alias("_op"),
         *[_na(c).alias(c) for c in ("src_mac", "dst_mac", "src_ip", "dst_ip")],
@@ -66,7 +66,7 @@ def apply_packet_contract(raw: DataFrame, split_rejects: bool = False):
     ok = (F.col("_t").isNotNull() & ~F.isnan("_t") & F.col("_op").isNotNull() & ~F.isnan("_op")
           & F.col("src_mac").isNotNull() & F.col("src_ip").isNotNull())
     clean = typed.where(ok).select(
-        "seq",
+        "seq", *keep,
         F.round(F.col("_t") * F.lit(US)).cast("long").alias("ts_us"),
         F.col("_op").cast("int").alias("op"),
         "src_mac", "dst_mac", "src_ip", "dst_ip",

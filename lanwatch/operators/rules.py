@@ -112,21 +112,24 @@ def _pk(packets: DataFrame) -> DataFrame:
     return packets.select("seq", "ts_us", "op", "src_ip", "src_mac", "dst_ip")
 
 
-# ------------------------------------------------------------ member sweep
+# ------------------------------------------------------------ window sweep
 
-_MEMBER_SCHEMA = "seq long, members array<struct<value:string,n:long>>"
+_SWEEP_SCHEMA = ("seq long, ts_us long, _pb long, n_distinct long, n_rows long, own_rank long, "
+                 "members array<struct<value:string,n:long>>")
 
 
-def _member_sweep(w_us: int):
+def _sweeper(w_us: int, min_distinct: int, passthrough: list[str]):
     def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["ts_us", "seq"], kind="mergesort")
         ts = pdf["ts_us"].to_numpy()
         vals = pdf["_v"].to_numpy(dtype=object)
-        fire = pdf["_fire"].to_numpy(dtype=bool)
+        own = pdf["_own"].to_numpy(dtype=bool)
         seqs = pdf["seq"].to_numpy()
+        extra = {c: pdf[c].to_numpy(dtype=object) for c in passthrough}
         counts: dict = {}
         lo = 0
-        out_seq, out_members = [], []
+        rank = 0
+        idx, n_rows, ranks, members = [], [], [], []
         for i in range(len(pdf)):
             v = vals[i]
             if v is not None:
@@ -138,30 +141,50 @@ def _member_sweep(w_us: int):
                     if counts[u] == 0:
                         del counts[u]
                 lo += 1
-            if fire[i]:
-                out_seq.append(int(seqs[i]))
-                out_members.append([{"value": k, "n": int(counts[k])} for k in sorted(counts)])
-        return pd.DataFrame({"seq": pd.Series(out_seq, dtype="int64"), "members": out_members})
+            if own[i]:
+                rank += 1
+                if len(counts) >= min_distinct:
+                    idx.append(i)
+                    n_rows.append(i - lo + 1)
+                    ranks.append(rank)
+                    members.append([{"value": k, "n": int(counts[k])} for k in sorted(counts)])
+        res = pd.DataFrame({
+            "seq": pd.Series(seqs[idx], dtype="int64"),
+            "ts_us": pd.Series(ts[idx], dtype="int64"),
+            "_pb": pd.Series([int(pdf["_pb"].iloc[0])] * len(idx), dtype="int64"),
+            "n_distinct": pd.Series([len(m) for m in members], dtype="int64"),
+            "n_rows": pd.Series(n_rows, dtype="int64"),
+            "own_rank": pd.Series(ranks, dtype="int64"),
+        })
+        res["members"] = members
+        for c in passthrough:
+            res[c] = pd.Series(extra[c][idx], dtype=object)
+        return res
     return sweep
 
 
-def window_members(rows: DataFrame, keys, value: str, w_us: int, fire: Column,
-                   bucket_us: int | None = None) -> DataFrame:
-    """For firing rows: the sorted ``(value, count)`` pairs of their key's window.
+def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int,
+                 passthrough=(), bucket_us: int | None = None) -> DataFrame:
+    """Rows whose key window ``(t - w, t]`` holds at least ``min_distinct``
+    distinct ``value``s, with the sorted ``(value, count)`` members.
 
-    Only (key, bucket) groups that hold a firing row are swept; a group is
-    bounded by the bucket length (10 x w by default), not by the key.
-    Output size is the member lists themselves.
+    First a JVM pass (delta events) finds the ``(key, bucket)`` groups that
+    contain such a row; only those groups are then swept in arrival order by
+    a pandas function (O(rows + output) per group).  A group is bounded by
+    the bucket length (10 x w by default), not by the key, so a hot key is
+    spread over many tasks.  ``own_rank`` is the row's number among its
+    bucket's own rows (for running counts); ``passthrough`` string columns
+    (the keys included) are carried to the output.
     """
     keys = SL._cols(keys)
-    base = rows.select(*keys, "ts_us", "seq", F.col(value).cast("string").alias("_v"),
-                       fire.alias("_fire"))
-    h = SL.with_halo(base, keys, w_us, bucket_us)
-    h = h.withColumn("_fire", F.col("_fire") & F.col("_own"))
-    groups = h.where("_fire").select(*keys, "_pb").distinct()
-    h = h.join(groups, keys + ["_pb"], "left_semi")
-    return (h.groupBy(*keys, "_pb")
-            .applyInPandas(_member_sweep(w_us), _MEMBER_SCHEMA))
+    cols = list(dict.fromkeys(list(keys) + list(passthrough)))
+    b_us = bucket_us or SL.default_halo_bucket(w_us)
+    base = rows.select(*cols, "ts_us", "seq", F.col(value).cast("string").alias("_v"))
+    hit = SL.sliding_distinct(base, keys, "_v", w_us, "_n", b_us).where(F.col("_n") >= min_distinct)
+    groups = hit.select(*keys, SL._bucket("ts_us", b_us).alias("_pb")).distinct()
+    h = SL.with_halo(base, keys, w_us, b_us).join(groups, keys + ["_pb"], "left_semi")
+    schema = _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols)
+    return h.groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols), schema)
 
 
 # ------------------------------------------------------------ D1 / D3 shared
@@ -232,22 +255,31 @@ def rule_gateway_change(packets: DataFrame, gateways=None, semantics: str = "doc
 
 def rule_duplicate_ip(packets: DataFrame, semantics: str = "documented",
                       window_s: int = S.CLAIM_WINDOW_S, high: int = S.CLAIMS_HIGH,
-                      critical: int = S.CLAIMS_CRITICAL) -> DataFrame:
-    """Distinct MACs claiming the IP in the window, this packet included."""
+                      critical: int = S.CLAIMS_CRITICAL, bucket_us: int | None = None) -> DataFrame:
+    """Distinct MACs claiming the IP in the window, this packet included.
+
+    ``total_claims`` (all-time claims of the IP up to this packet) is the
+    packet's rank in its bucket plus the claims of all earlier buckets (a
+    per-bucket count, pre-aggregated, prefix-summed over the bucket summary).
+    """
     _check(semantics)
     w_us = window_s * US
+    b_us = bucket_us or SL.default_halo_bucket(w_us)
     pk = _pk(packets)
-    x = SL.sliding_distinct(pk, "src_ip", "src_mac", w_us, "_n")
-    x = SL.running_count(x, "src_ip", "total_claims")
-    fired = x.where(F.col("_n") >= high)
-    members = window_members(x, "src_ip", "src_mac", w_us, F.col("_n") >= high)
-    y = fired.join(members, "seq", "left")
+    hits = window_sweep(pk, "src_ip", "src_mac", w_us, high, passthrough=["src_mac"], bucket_us=b_us)
+    from pyspark.sql import Window
+    per_bucket = pk.groupBy("src_ip", SL._bucket("ts_us", b_us).alias("_pb")).agg(F.count(F.lit(1)).alias("_c"))
+    offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_c").over(
+        Window.partitionBy("src_ip").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0).cast("long"))).drop("_c")
+    y = hits.join(offsets, ["src_ip", "_pb"], "left")
     macs = F.transform("members", lambda m: m["value"])
+    n = F.col("n_distinct")
     return _detections(
         y, 2, F.lit("DUPLICATE_IP_CLAIM"),
-        F.when(F.col("_n") >= critical, "CRITICAL").otherwise("HIGH"),
-        F.format_string(REASON_CLAIM, F.col("src_ip"), F.col("_n"), F.array_join(F.slice(macs, 1, 3), ", ")),
-        _info(claiming_mac_count=F.col("_n"), total_claims=F.col("total_claims"),
+        F.when(n >= critical, "CRITICAL").otherwise("HIGH"),
+        F.format_string(REASON_CLAIM, F.col("src_ip"), n, F.array_join(F.slice(macs, 1, 3), ", ")),
+        _info(claiming_mac_count=n, total_claims=F.col("own_rank") + F.col("_off"),
               claiming_macs=macs,
               claims_per_mac=F.map_from_arrays(macs, F.transform("members", lambda m: m["n"]))),
     )
@@ -300,11 +332,9 @@ def rule_request_storm(packets: DataFrame, semantics: str = "documented",
               .withColumn("_targets", F.slice("_tg", 1, 10)))
         fired = h
     else:
-        x = SL.sliding_distinct(req, "src_mac", "dst_ip", w_us, "_u", count_out="_r")
-        fired = x.where(F.col("_u") > targets)
-        members = window_members(x, "src_mac", "dst_ip", w_us, F.col("_u") > targets)
-        fired = fired.join(members, "seq", "left").withColumn(
-            "_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10))
+        fired = (window_sweep(req, "src_mac", "dst_ip", w_us, targets + 1, passthrough=["src_ip"])
+                 .withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
+                 .withColumn("_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10)))
     return _detections(
         fired, 5, F.lit("ARP_REQUEST_STORM"), F.lit("HIGH"),
         F.format_string(REASON_STORM, F.col("src_mac"), F.col("_u"), F.lit(window_s)),

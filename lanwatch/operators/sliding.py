@@ -189,10 +189,24 @@ def last_k_before(df: DataFrame, keys, payload: list[str], k: int, out: str,
 
 def prev_in_key(df: DataFrame, keys, cols: list[str], bucket_us: int = DEFAULT_CARRY_BUCKET_US,
                 seq: str = "seq", prefix: str = "prev_") -> DataFrame:
-    """Previous row of the key (any distance back): ``prev_ts_us``, ``prev_<col>``."""
-    x = last_k_before(df, keys, cols, 1, "_p1", bucket_us, seq)
-    last = F.element_at(F.col("_p1"), -1)
-    x = x.withColumn("_last", F.when(F.size("_p1") > 0, last))
-    return (x.select("*", F.col("_last.ts_us").alias(prefix + "ts_us"),
-                     *[F.col(f"_last.{c}").alias(prefix + c) for c in cols])
-            .drop("_p1", "_last"))
+    """Previous row of the key (any distance back): ``prev_ts_us``, ``prev_seq``, ``prev_<col>``.
+
+    ``lag`` inside ``(key, bucket)``; the first row of a bucket takes the last
+    row of the nearest earlier non-empty bucket, found with a partially
+    aggregated ``max_by`` per bucket and a ``lag`` over the bucket summary.
+    """
+    keys = _cols(keys)
+    payload = ["ts_us", seq] + list(cols)
+    b = df.withColumn("_b", _bucket("ts_us", bucket_us))
+    wl = Window.partitionBy(*keys, "_b").orderBy("ts_us", seq)
+    local = b.withColumn("_lp", F.lag(F.struct(*[F.col(c) for c in payload])).over(wl))
+    tails = b.groupBy(*keys, "_b").agg(
+        F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct("ts_us", seq)).alias("_tail"))
+    carry = tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_b"))) \
+        .drop("_tail").where(F.col("_carry").isNotNull())
+    res = local.join(carry, keys + ["_b"], "left")
+    last = F.coalesce(F.col("_lp"), F.col("_carry"))
+    names = {"ts_us": prefix + "ts_us", seq: prefix + "seq"}
+    return (res.withColumn("_last", last)
+            .select(*[c for c in res.columns if c not in ("_lp", "_carry", "_b")],
+                    *[F.col(f"_last.{c}").alias(names.get(c, prefix + c)) for c in payload]))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..session import materialize
 from . import sliding as SL
 
 SEMANTICS = ("documented", "observed")
@@ -203,7 +204,8 @@ def rule_ip_mac_change(packets: DataFrame, semantics: str = "documented",
     if semantics == "observed":
         return _none(packets, 1)
     w_us = window_s * US
-    ch = mac_changes(packets)
+    # the change rows are few and read by three steps: computed once
+    ch = materialize(mac_changes(packets))
     ch = SL.sliding_count(ch, "src_ip", w_us, "_recent")
     ch = SL.running_count(ch, "src_ip", "change_number")
     ch = SL.last_k_before(ch, "src_ip", ["prev_src_mac"], 5, "_hist")

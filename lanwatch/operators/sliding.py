@@ -142,14 +142,16 @@ def running_count(df: DataFrame, keys, out: str, bucket_us: int = DEFAULT_CARRY_
     """Inclusive count of earlier-or-same rows of the key in arrival order.
 
     Row number inside ``(key, bucket)`` plus the rows of all earlier buckets,
-    taken from a per-bucket count (pre-aggregated) and a prefix sum over the
-    bucket summary.
+    taken from a per-bucket count and a prefix sum over the bucket summary.
+    The summary is aggregated from the windowed frame itself, which is
+    already partitioned by ``(key, bucket)``: no second shuffle of the input
+    and no second evaluation of its lineage (the exchange is reused).
     """
     keys = _cols(keys)
     b = df.withColumn("_b", _bucket("ts_us", bucket_us))
     local = b.withColumn("_rn", F.row_number().over(
         Window.partitionBy(*keys, "_b").orderBy("ts_us", seq)))
-    totals = b.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    totals = local.groupBy(*keys, "_b").agg(F.max("_rn").alias("_bn"))
     totals = totals.withColumn("_off", F.coalesce(F.sum("_bn").over(
         Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0).cast("long"))).drop("_bn")
@@ -170,12 +172,14 @@ def last_k_before(df: DataFrame, keys, payload: list[str], k: int, out: str,
     entry = F.struct(F.col("ts_us"), F.col(seq).alias("seq"), *[F.col(c) for c in payload])
     b = df.withColumn("_b", _bucket("ts_us", bucket_us))
     wl = Window.partitionBy(*keys, "_b").orderBy("ts_us", seq)
-    local = (b.withColumn("_local", F.collect_list(entry).over(wl.rowsBetween(-k, -1)))
+    local = (b.withColumn("_e", entry)
+              .withColumn("_local", F.collect_list("_e").over(wl.rowsBetween(-k, -1)))
               .withColumn("_rn", F.row_number().over(wl)))
-    wd = Window.partitionBy(*keys, "_b").orderBy(F.desc("ts_us"), F.desc(seq))
-    tails = (b.withColumn("_e", entry).withColumn("_rd", F.row_number().over(wd))
-             .where(F.col("_rd") <= k)
-             .groupBy(*keys, "_b").agg(F.sort_array(F.collect_list("_e")).alias("_tail")))
+    # bucket tail = the last k rows: the local frame of the last row plus that row
+    tails = (local.groupBy(*keys, "_b")
+             .agg(F.max_by(F.concat(F.col("_local"), F.array("_e")), F.col("_rn")).alias("_t"))
+             .select(*keys, "_b", F.slice("_t", F.greatest(F.size("_t") - F.lit(k - 1), F.lit(1)), F.lit(k))
+                     .alias("_tail")))
     carry = tails.withColumn(
         "_carry", F.flatten(F.collect_list("_tail").over(
             Window.partitionBy(*keys).orderBy("_b").rowsBetween(-k, -1)))).drop("_tail")
@@ -184,7 +188,7 @@ def last_k_before(df: DataFrame, keys, payload: list[str], k: int, out: str,
     merged = F.concat(F.sort_array(F.coalesce(F.col("_carry"), F.slice(F.col("_local"), 1, 0))), F.col("_local"))
     start = F.greatest(F.size(merged) - F.lit(k - 1), F.lit(1))
     return (res.withColumn(out, F.slice(merged, start, F.lit(k)))
-            .drop("_b", "_local", "_rn", "_carry"))
+            .drop("_b", "_local", "_rn", "_carry", "_e"))
 
 
 def prev_in_key(df: DataFrame, keys, cols: list[str], bucket_us: int = DEFAULT_CARRY_BUCKET_US,
@@ -200,7 +204,8 @@ def prev_in_key(df: DataFrame, keys, cols: list[str], bucket_us: int = DEFAULT_C
     b = df.withColumn("_b", _bucket("ts_us", bucket_us))
     wl = Window.partitionBy(*keys, "_b").orderBy("ts_us", seq)
     local = b.withColumn("_lp", F.lag(F.struct(*[F.col(c) for c in payload])).over(wl))
-    tails = b.groupBy(*keys, "_b").agg(
+    # summary from the windowed frame: same partitioning, exchange reused
+    tails = local.groupBy(*keys, "_b").agg(
         F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct("ts_us", seq)).alias("_tail"))
     carry = tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_b"))) \
         .drop("_tail").where(F.col("_carry").isNotNull())

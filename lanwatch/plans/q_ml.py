@@ -10,6 +10,7 @@ from ..operators import forest as M
 from ..operators import prep as P
 from ..operators import rules as R
 from ..schema import MODEL_FEATURES
+from ..session import materialize
 from ..sources import fixture
 from . import service
 from .catalog import register
@@ -23,7 +24,7 @@ def _z(c, d=6):
 
 
 def _wf(spark, sf_dir):
-    return W.engineer_features(fixture.packets(spark, sf_dir))
+    return materialize(W.engineer_features(fixture.packets(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- P1–P5

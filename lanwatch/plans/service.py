@@ -22,6 +22,7 @@ from ..operators.findings import as_maps, findings_from_detections
 from ..operators.incidents import build_incidents
 from ..operators.responses import create_requests
 from ..operators.trust import trusted_flag
+from ..session import materialize
 
 
 def process_events(events: DataFrame, trust_store: DataFrame, created_at: str,
@@ -38,7 +39,8 @@ def process_events(events: DataFrame, trust_store: DataFrame, created_at: str,
 
 def ml_chain(packets: DataFrame, window_seconds: float = 30, **forest_kw):
     """Features -> impute -> scale -> fit -> predict (unscaled input + scaler)."""
-    feats = W.engineer_features(packets, window_seconds, include_bin=True)
+    # one row per window, read by every fitting step: computed once
+    feats = materialize(W.engineer_features(packets, window_seconds, include_bin=True))
     feats = P.median_impute(feats)
     params = P.scaler_params(P.fit_scaler(feats))
     scaled = P.transform_scaler(feats, params)
@@ -52,6 +54,7 @@ def end_to_end(packets: DataFrame, trust_store: DataFrame, created_at: str, wind
     """X1 from packets: returns (assessed, incidents, requests)."""
     lo, _, _ = W.time_bounds(packets)
     feats, _, _, preds = ml_chain(packets, window_seconds, **forest_kw)
+    preds = materialize(preds)
     dets = R.run_rules(packets, gateways=gateways, semantics=semantics)
     f = findings_from_detections(dets, packets, lo, feats, window_seconds)
     f = f.join(preds.select("bin", "anomaly_score", "is_anomaly"), "bin", "left")

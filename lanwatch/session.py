@@ -18,6 +18,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keep small shuffles spread over the cores instead of merging them into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -61,3 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder under which operators write intermediate tables (shared storage)."""
     return ensure_checkpoint_dir(spark)
+
+
+def materialize(df):
+    """Cut lineage of a small intermediate that several later steps read.
+
+    Reliable ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` (never a local checkpoint): computed once,
+    re-read by every consumer, and it survives the loss of an executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -83,12 +83,20 @@ def _window_aggregates(binned: DataFrame) -> DataFrame:
 
 
 def engineer_features(packets: DataFrame, window_seconds: float = DEFAULT_WINDOW_SECONDS,
-                      max_windows: int = 50_000_000, include_bin: bool = False) -> DataFrame:
-    """One row per window, ``window_start`` in epoch seconds (double)."""
+                      max_windows: int = 50_000_000, include_bin: bool = False,
+                      anchor: str = "first") -> DataFrame:
+    """One row per window, ``window_start`` in epoch seconds (double).
+
+    ``anchor="first"`` starts the grid at the first packet (documented
+    behaviour); ``anchor="epoch"`` aligns it to multiples of the window, as
+    streaming windows are.
+    """
     require_columns(packets, ["ts_us", "op", "src_mac", "src_ip", "dst_ip"], "packets")
     spark: SparkSession = packets.sparkSession
     w_us = int(round(window_seconds * US))
     lo, hi, _ = time_bounds(packets)
+    if lo is not None and anchor == "epoch":
+        lo = lo - lo % w_us
     cols = (["bin"] if include_bin else []) + WINDOW_COLUMNS
     if lo is None:
         empty = spark.range(0).select(

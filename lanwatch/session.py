@@ -41,6 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -74,3 +75,25 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lanwatch`` importable on executors (Python workers).
+
+    Zips the package into the shared checkpoint folder once per application
+    and registers it with ``addPyFile`` (what ``--py-files`` does).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"lanwatch-{sc.applicationId}")
+    if "://" in out:
+        return  # remote storage: ship with --py-files instead
+    archive = shutil.make_archive(out, "zip", root_dir=os.path.dirname(pkg), base_dir="lanwatch")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 CONSOLE_SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM"]
 LOG_SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
 
-_LATEST_FIRST = [F.desc("ts_us"), F.desc("seq"), F.desc("rule_no")]
+def _latest_first():
+    return [F.desc("ts_us"), F.desc("seq"), F.desc("rule_no")]
 
 
 def latest_detections(dets: DataFrame, n: int) -> DataFrame:
     """The ``n`` most recent detections (a top-k: Spark keeps k rows per task)."""
-    return dets.orderBy(*_LATEST_FIRST).limit(n)
+    return dets.orderBy(*_latest_first()).limit(n)
 
 
 def filter_detections(dets: DataFrame, severity: str | None = None, event_type: str | None = None,

@@ -38,7 +38,7 @@ def window_count(lo: int, hi: int, w_us: int) -> int:
 
 
 def with_bin(packets: DataFrame, lo: int, w_us: int) -> DataFrame:
-    return packets.withColumn("bin", F.floor((F.col("ts_us") - F.lit(lo)) / F.lit(w_us)).cast("long"))
+    return packets.withColumn("bin", F.expr(f"(ts_us - {int(lo)}) div {int(w_us)}"))
 
 
 def _window_aggregates(binned: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import utc_text
+
 # Which severities go to the console and the log.
 CONSOLE_SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM"]
 LOG_SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
@@ -65,7 +67,7 @@ def alert_routing(dets: DataFrame) -> DataFrame:
 
 def detection_json(dets: DataFrame) -> DataFrame:
     """H5: one JSON document per detection (ISO time, packet omitted)."""
-    iso = F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    iso = utc_text(F.col("ts_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     doc = F.struct(
         "detection_id", "event_type", "severity", "reason",
         F.struct(F.col("device_ip").alias("ip"), F.col("device_mac").alias("mac")).alias("affected_device"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import utc_hour, utc_minute, utc_second
 from ..schema import BROADCAST_MAC, UNSPECIFIED_IP
 
 
@@ -144,12 +145,12 @@ def packet_features(packets: DataFrame, keep=("seq",)) -> DataFrame:
     per_ip = (packets.where(F.col("src_ip").isNotNull())
               .groupBy("src_ip").agg(F.count_distinct("src_mac").alias("macs_per_ip"),
                                      F.count(F.lit(1)).alias("sender_ip_frequency")))
-    ts = F.timestamp_micros("ts_us")
+    ts = F.col("ts_us")
     return packets.join(per_ip, "src_ip", "left").select(
         *keep,
         operation_code(F.col("op")).alias("operation"),
         is_unspecified_target(F.col("dst_ip")).alias("is_unspecified_target"),
         is_broadcast_target(F.col("dst_mac")).alias("is_broadcast_target"),
         "macs_per_ip", "sender_ip_frequency",
-        F.hour(ts).alias("hour"), F.minute(ts).alias("minute"), F.second(ts).alias("second"),
+        utc_hour(ts).alias("hour"), utc_minute(ts).alias("minute"), utc_second(ts).alias("second"),
     )

@@ -33,4 +33,4 @@ def r6(c) -> F.Column:
 
 
 # Sub-modules register themselves on import.
-from . import q_features, q_dataset, q_rules, q_risk, q_ml, q_io  # noqa: E402,F401
+from . import q_features, q_dataset, q_rules, q_risk, q_ml, q_io, q_stream  # noqa: E402,F401

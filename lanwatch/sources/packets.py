@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timefmt import utc_parse_us, utc_text
 from ..schema import CAPTURE_COLUMNS, ML_PACKET_COLUMNS, NA_TOKENS, ContractError, US
 
 CANONICAL = ["seq", "ts_us", "op", "src_mac", "dst_mac", "src_ip", "dst_ip"]
@@ -84,9 +85,8 @@ def capture_to_canonical(df: DataFrame) -> DataFrame:
     seq = F.col("seq") if "seq" in df.columns else F.monotonically_increasing_id()
     op = (F.when(F.col("operation") == "request", 1)
           .when(F.col("operation") == "reply", 2).otherwise(F.lit(None)).cast("int"))
-    ts = F.expr("try_to_timestamp(timestamp, 'yyyy-MM-dd HH:mm:ss')")
     return df.select(
-        seq.alias("seq"), F.unix_micros(ts).alias("ts_us"), op.alias("op"),
+        seq.alias("seq"), utc_parse_us(F.col("timestamp")).alias("ts_us"), op.alias("op"),
         F.col("sender_mac").alias("src_mac"), F.col("target_mac").alias("dst_mac"),
         F.col("sender_ip").alias("src_ip"), F.col("target_ip").alias("dst_ip"),
         *[c for c in ("label", "record_type") if c in df.columns],
@@ -102,7 +102,7 @@ def canonical_to_capture(packets: DataFrame, keep=()) -> DataFrame:
                  .otherwise("unknown"))
     return packets.select(
         *keep,
-        F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        utc_text(F.col("ts_us")).alias("timestamp"),
         F.col("src_ip").alias("sender_ip"), F.col("src_mac").alias("sender_mac"),
         F.col("dst_ip").alias("target_ip"), F.col("dst_mac").alias("target_mac"),
         operation.alias("operation"),

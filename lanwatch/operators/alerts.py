@@ -46,14 +46,16 @@ def recent_detections(dets: DataFrame, as_of, window_s: int) -> DataFrame:
 
 
 def detection_statistics(dets: DataFrame) -> DataFrame:
-    """H3: total, counts by severity and by event type (long format)."""
-    total = dets.agg(F.count(F.lit(1)).alias("detections")).select(
-        F.lit("total").alias("dimension"), F.lit("all").alias("value"), "detections")
-    by_sev = dets.groupBy(F.col("severity").alias("value")).agg(F.count(F.lit(1)).alias("detections")) \
-        .select(F.lit("severity").alias("dimension"), "value", "detections")
-    by_evt = dets.groupBy(F.col("event_type").alias("value")).agg(F.count(F.lit(1)).alias("detections")) \
-        .select(F.lit("event_type").alias("dimension"), "value", "detections")
-    return total.unionByName(by_sev).unionByName(by_evt)
+    """H3: total, counts by severity and by event type (long format), one pass
+    with grouping sets."""
+    g = dets.groupingSets([["severity"], ["event_type"], []], "severity", "event_type") \
+        .agg(F.count(F.lit(1)).alias("detections"), F.grouping_id().alias("_gid"))
+    return g.select(
+        F.when(F.col("_gid") == 3, "total").when(F.col("_gid") == 1, "severity").otherwise("event_type")
+        .alias("dimension"),
+        F.when(F.col("_gid") == 3, "all").when(F.col("_gid") == 1, F.col("severity"))
+        .otherwise(F.col("event_type")).alias("value"),
+        "detections")
 
 
 def alert_routing(dets: DataFrame) -> DataFrame:

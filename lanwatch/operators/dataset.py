@@ -71,14 +71,24 @@ def class_distribution(df: DataFrame, column: str = "label") -> DataFrame:
 # --------------------------------------------------------------------- N7
 
 def _dense_index(df: DataFrame, order_col: str, name: str) -> DataFrame:
-    """Attach a dense 0-based index in ``order_col`` order, distributed.
+    """Attach a dense 0-based index in ``order_col`` order, distributed, JVM only.
 
-    ``zipWithIndex`` counts each partition once and numbers rows without
-    moving them to one task.
+    The sorted frame is checkpointed (its partitioning is then fixed); each
+    row's index is the row count of all earlier partitions (a prefix sum over
+    one row per partition) plus its position inside its partition, read from
+    ``monotonically_increasing_id`` (partition id in the upper 31 bits).
     """
-    srt = df.orderBy(order_col)
-    schema = srt.schema.add(name, "long", False)
-    return srt.rdd.zipWithIndex().map(lambda p: tuple(p[0]) + (p[1],)).toDF(schema)
+    from pyspark.sql import Window
+
+    from ..session import materialize
+    srt = materialize(df.orderBy(order_col).withColumn("_mid", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned(F.col("_mid"), 33)
+    counts = srt.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))).drop("_n")
+    idx = F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid"), 33))
+    return (srt.withColumn("_pid", part).join(F.broadcast(offsets), "_pid")
+            .withColumn(name, idx).drop("_pid", "_off", "_mid"))
 
 
 def inject_anomalies(records: DataFrame, n: int = 4000, seed: int = 42,

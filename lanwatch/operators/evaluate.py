@@ -43,8 +43,10 @@ def class_score_stats(preds: DataFrame) -> DataFrame:
                           .alias("predicted_class")).agg(
         _r(F.avg(s), 6).alias("mean"), _r(F.stddev_pop(s), 6).alias("std"),
         _r(F.min(s), 6).alias("min"), _r(F.max(s), 6).alias("max"))
-    has_anomaly = preds.where(F.col("anomaly_prediction") == -1).exists()
-    return stats.where(has_anomaly)
+    # the stats frame has at most two rows: decide on it, not on a second pass over preds
+    from pyspark.sql import Window
+    has = F.max(F.col("predicted_class") == "anomaly").over(Window.partitionBy(F.lit(0)))
+    return stats.withColumn("_has", has).where("_has").drop("_has")
 
 
 def score_histogram(preds: DataFrame, bins: int = HIST_BINS) -> DataFrame:

@@ -196,6 +196,33 @@ def mac_changes(packets: DataFrame, bucket_us: int = SL.DEFAULT_CARRY_BUCKET_US)
     return x.where(F.col("prev_src_mac").isNotNull() & (F.col("prev_src_mac") != F.col("src_mac")))
 
 
+def _change_measures(ch: DataFrame, w_us: int) -> DataFrame:
+    """For change rows, in one halo partitioning by (IP, bucket):
+    ``_recent`` changes in ``(t - w, t]`` up to this one (delta events),
+    ``_hist`` the five changes before it (bounded ROWS frame; older than ``w``
+    is filtered later, so the halo suffices) and ``change_number`` (rank in
+    the bucket plus the changes of all earlier buckets, carried forward)."""
+    from pyspark.sql import Window
+    b_us = SL.default_halo_bucket(w_us)
+    h = SL.with_halo(ch, "src_ip", w_us, b_us)
+    wo = Window.partitionBy("src_ip", "_pb").orderBy("ts_us", "seq")
+    entry = F.struct("ts_us", "seq", "prev_src_mac")
+    h = (h.withColumn("_hist", F.collect_list(entry).over(wo.rowsBetween(-5, -1)))
+          .withColumn("_rank", F.sum(F.col("_own").cast("long")).over(wo.rowsBetween(Window.unboundedPreceding, 0))))
+    leave = F.col("ts_us") + F.lit(w_us)
+    leave = F.when(leave < (F.col("_pb") + 1) * F.lit(b_us), leave)
+    ev = SL._explode_events(h, F.lit(1), F.lit(None).cast("long"), "seq", count_leave_at=leave)
+    res = SL._running_delta(ev, "src_ip", None, "_recent").where("_q")
+    # per-bucket change counts (own rows) -> offsets of earlier buckets
+    per_bucket = res.groupBy("src_ip", "_pb").agg(F.max("_rank").alias("_n"))
+    offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.partitionBy("src_ip").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0).cast("long"))).drop("_n")
+    res = res.join(offsets, ["src_ip", "_pb"], "left")
+    return (res.withColumn("change_number", F.col("_rank") + F.col("_off"))
+            .drop("_t", "_kind", "_d", "_c", "_q", "_seq", "_pb", "_rank", "_off"))
+
+
 def rule_ip_mac_change(packets: DataFrame, semantics: str = "documented",
                        window_s: int = S.CHANGE_WINDOW_S, rapid: int = S.RAPID_CHANGES) -> DataFrame:
     """MAC differs from the IP's previous MAC; >= ``rapid`` earlier changes in
@@ -204,11 +231,7 @@ def rule_ip_mac_change(packets: DataFrame, semantics: str = "documented",
     if semantics == "observed":
         return _none(packets, 1)
     w_us = window_s * US
-    # the change rows are few and read by three steps: computed once
-    ch = materialize(mac_changes(packets))
-    ch = SL.sliding_count(ch, "src_ip", w_us, "_recent")
-    ch = SL.running_count(ch, "src_ip", "change_number")
-    ch = SL.last_k_before(ch, "src_ip", ["prev_src_mac"], 5, "_hist")
+    ch = _change_measures(materialize(mac_changes(packets)), w_us)
     earlier = F.col("_recent") - 1
     is_rapid = earlier >= rapid
     hist = F.transform(

@@ -148,8 +148,9 @@ preds AS (SELECT seq, label, CASE WHEN n > 0 THEN -1 ELSE 1 END AS anomaly_predi
 
 
 def _rule_preds(spark, sf_dir):
+    # per-packet predictions are read by several aggregations: written once
     p = fixture.packets_with_label(spark, sf_dir)
-    return E.rule_predictions(p, R.run_rules(p))
+    return materialize(E.rule_predictions(p, R.run_rules(p)))
 
 
 @register("score_stats", """

@@ -32,6 +32,8 @@ def process_events(events: DataFrame, trust_store: DataFrame, created_at: str,
     ev = trusted_flag(events, trust_store)
     ev = ev.withColumn("risk", assess(F.col("flags"), F.col("confidence"), F.col("anomaly_score"),
                                       F.col("is_anomaly"), F.col("trusted")))
+    # incidents and requests both read the assessed events: computed once
+    ev = materialize(ev)
     incidents = build_incidents(ev, created_at, ["event_key"])
     requests = create_requests(incidents, created_at, start_number)
     return ev, incidents, requests

@@ -119,7 +119,9 @@ _SWEEP_SCHEMA = ("seq long, ts_us long, _pb long, n_distinct long, n_rows long,
                  "members array<struct<value:string,n:long>>")
 
 
-def _sweeper(w_us: int, min_distinct: int, passthrough: list[str]):
+def _sweeper(w_us: int, min_distinct: int, passthrough: list[str], max_members: int | None = None):
+    import heapq
+
     def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["ts_us", "seq"], kind="mergesort")
         ts = pdf["ts_us"].to_numpy()
@@ -130,7 +132,7 @@ def _sweeper(w_us: int, min_distinct: int, passthrough: list[str]):
         counts: dict = {}
         lo = 0
         rank = 0
-        idx, n_rows, ranks, members = [], [], [], []
+        idx, n_rows, ranks, members, n_dist = [], [], [], [], []
         for i in range(len(pdf)):
             v = vals[i]
             if v is not None:
@@ -148,12 +150,14 @@ def _sweeper(w_us: int, min_distinct: int, passthrough: list[str]):
                     idx.append(i)
                     n_rows.append(i - lo + 1)
                     ranks.append(rank)
-                    members.append([{"value": k, "n": int(counts[k])} for k in sorted(counts)])
+                    keys = sorted(counts) if max_members is None else heapq.nsmallest(max_members, counts)
+                    members.append([{"value": k, "n": counts[k]} for k in keys])
+                    n_dist.append(len(counts))
         res = pd.DataFrame({
             "seq": pd.Series(seqs[idx], dtype="int64"),
             "ts_us": pd.Series(ts[idx], dtype="int64"),
             "_pb": pd.Series([int(pdf["_pb"].iloc[0])] * len(idx), dtype="int64"),
-            "n_distinct": pd.Series([len(m) for m in members], dtype="int64"),
+            "n_distinct": pd.Series(n_dist, dtype="int64"),
             "n_rows": pd.Series(n_rows, dtype="int64"),
             "own_rank": pd.Series(ranks, dtype="int64"),
         })
@@ -165,7 +169,7 @@ def _sweeper(w_us: int, min_distinct: int, passthrough: list[str]):
 
 
 def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int,
-                 passthrough=(), bucket_us: int | None = None) -> DataFrame:
+                 passthrough=(), bucket_us: int | None = None, max_members: int | None = None) -> DataFrame:
     """Rows whose key window ``(t - w, t]`` holds at least ``min_distinct``
     distinct ``value``s, with the sorted ``(value, count)`` members.
 
@@ -175,7 +179,8 @@ def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int
     the bucket length (10 x w by default), not by the key, so a hot key is
     spread over many tasks.  ``own_rank`` is the row's number among its
     bucket's own rows (for running counts); ``passthrough`` string columns
-    (the keys included) are carried to the output.
+    (the keys included) are carried to the output; ``max_members`` keeps only
+    the smallest members when the full list is not needed.
     """
     keys = SL._cols(keys)
     cols = list(dict.fromkeys(list(keys) + list(passthrough)))
@@ -185,7 +190,7 @@ def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int
     groups = hit.select(*keys, SL._bucket("ts_us", b_us).alias("_pb")).distinct()
     h = SL.with_halo(base, keys, w_us, b_us).join(groups, keys + ["_pb"], "left_semi")
     schema = _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols)
-    return h.groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols), schema)
+    return h.groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols, max_members), schema)
 
 
 # ------------------------------------------------------------ D1 / D3 shared
@@ -357,7 +362,8 @@ def rule_request_storm(packets: DataFrame, semantics: str = "documented",
               .withColumn("_targets", F.slice("_tg", 1, 10)))
         fired = h
     else:
-        fired = (window_sweep(req, "src_mac", "dst_ip", w_us, targets + 1, passthrough=["src_ip"])
+        fired = (window_sweep(req, "src_mac", "dst_ip", w_us, targets + 1, passthrough=["src_ip"],
+                              max_members=10)
                  .withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
                  .withColumn("_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10)))
     return _detections(

@@ -51,10 +51,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that is coarser than the cluster (one small file, one row
     group) over all cores; a no-op for inputs that already have at least as
     many splits as the default parallelism (any large table)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD API, e.g. a remote session): leave as is
+        return df
+    return df.repartition(par) if parts < par else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

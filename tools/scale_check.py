@@ -22,9 +22,9 @@ from lanwatch.session import local_session  # noqa: E402
 from lanwatch.sources import fixture  # noqa: E402
 
 
-def run(df) -> float:
+def run(make) -> float:
     t0 = time.perf_counter()
-    df.write.format("noop").mode("overwrite").save()
+    make().write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - t0, 2)
 
 
@@ -44,12 +44,12 @@ def main():
     rules = {"rule_duplicate_ip": R.rule_duplicate_ip, "rule_unusual_rate": R.rule_unusual_rate,
              "rule_request_storm": R.rule_request_storm}
     for name, fn in rules.items():
-        out[f"{name}_x{copies}_sec"] = run(fn(rep))
+        out[f"{name}_x{copies}_sec"] = run(lambda: fn(rep))
         out[f"{name}_x{copies}_exact"] = fn(rep).count() == fn(base).count() * copies
-        out[f"{name}_hot_sec"] = run(fn(hot))
+        out[f"{name}_hot_sec"] = run(lambda: fn(hot))
         out[f"{name}_hot_rows"] = fn(hot).count()
-    out[f"rule_ip_mac_change_x{copies}_sec"] = run(R.rule_ip_mac_change(rep))
-    out[f"window_features_x{copies}_sec"] = run(W.engineer_features(rep))
+    out[f"rule_ip_mac_change_x{copies}_sec"] = run(lambda: R.rule_ip_mac_change(rep))
+    out[f"window_features_x{copies}_sec"] = run(lambda: W.engineer_features(rep))
     print(json.dumps(out))
     spark.stop()
 

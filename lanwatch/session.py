@@ -46,19 +46,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder of this application.
 
-    On a cluster this setting names a shared folder and is used as is.  Only
-    when it is unset (local tests) do we create a scratch folder.
+    On a cluster ``spark.checkpoint.dir`` (or a directory already set on the
+    context) names a shared folder and is used as is.  Only when nothing is
+    set (local tests) do we create a scratch folder.
     """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return conf
-    path = tempfile.mkdtemp(prefix="lanwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf:
+        conf = tempfile.mkdtemp(prefix="lanwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf)
+        except Exception:  # noqa: BLE001  (core conf not settable at run time: the context keeps it)
+            pass
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -186,9 +186,12 @@ def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int
     cols = list(dict.fromkeys(list(keys) + list(passthrough)))
     b_us = bucket_us or SL.default_halo_bucket(w_us)
     base = rows.select(*cols, "ts_us", "seq", F.col(value).cast("string").alias("_v"))
-    hit = SL.sliding_distinct(base, keys, "_v", w_us, "_n", b_us).where(F.col("_n") >= min_distinct)
+    # one halo layout serves both the JVM pass that finds firing groups and
+    # the sweep: the exchange is reused and the sweep's grouping needs no new one
+    halo = SL.with_halo(base, keys, w_us, b_us)
+    hit = SL.distinct_on_halo(halo, keys, "_v", w_us, "_n", b_us).where(F.col("_n") >= min_distinct)
     groups = hit.select(*keys, SL._bucket("ts_us", b_us).alias("_pb")).distinct()
-    h = SL.with_halo(base, keys, w_us, b_us).join(groups, keys + ["_pb"], "left_semi")
+    h = halo.join(groups, keys + ["_pb"], "left_semi")
     schema = _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols)
     return h.groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols, max_members), schema)
 

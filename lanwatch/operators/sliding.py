@@ -118,8 +118,17 @@ def sliding_distinct(df: DataFrame, keys, value: str, w_us: int, out: str,
     same pass.
     """
     keys = _cols(keys)
-    h = with_halo(df, keys, w_us, bucket_us)
     b_us = bucket_us or default_halo_bucket(w_us)
+    h = with_halo(df, keys, w_us, b_us)
+    return distinct_on_halo(h, keys, value, w_us, out, b_us, seq, count_out)
+
+
+def distinct_on_halo(h: DataFrame, keys, value: str, w_us: int, out: str, bucket_us: int,
+                     seq: str = "seq", count_out: str | None = None) -> DataFrame:
+    """``sliding_distinct`` on a frame already laid out by ``with_halo``
+    (lets a caller reuse one halo shuffle for several measures)."""
+    keys = _cols(keys)
+    b_us = bucket_us
     wv = Window.partitionBy(*keys, "_pb", value).orderBy("ts_us", seq)
     h = (h.withColumn("_prev_t", F.lag("ts_us").over(wv))
           .withColumn("_next_t", F.lead("ts_us").over(wv)))

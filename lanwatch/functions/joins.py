@@ -10,11 +10,16 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row count (one small job).
+    """Hint a broadcast only after checking the row count.
+
+    The side is checkpointed first (it is a dimension: small by intent), so
+    the check and the join see the same rows and its lineage runs once.
 
     Beyond ``max_rows`` the plain frame is returned and Spark plans a
     shuffle join (AQE may still switch to broadcast from runtime sizes, and
     splits skewed partitions).
     """
+    from ..session import materialize
+    df = materialize(df)        # the size check and the join read the same rows
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -232,14 +232,15 @@ def _change_measures(ch: DataFrame, w_us: int) -> DataFrame:
 
 
 def rule_ip_mac_change(packets: DataFrame, semantics: str = "documented",
-                       window_s: int = S.CHANGE_WINDOW_S, rapid: int = S.RAPID_CHANGES) -> DataFrame:
+                       window_s: int = S.CHANGE_WINDOW_S, rapid: int = S.RAPID_CHANGES,
+                       changes: DataFrame | None = None) -> DataFrame:
     """MAC differs from the IP's previous MAC; >= ``rapid`` earlier changes in
     the window -> ARP_SPOOFING_ATTACK / CRITICAL, else IP_MAC_MAPPING_CHANGE / MEDIUM."""
     _check(semantics)
     if semantics == "observed":
         return _none(packets, 1)
     w_us = window_s * US
-    ch = _change_measures(materialize(mac_changes(packets)), w_us)
+    ch = _change_measures(changes if changes is not None else materialize(mac_changes(packets)), w_us)
     earlier = F.col("_recent") - 1
     is_rapid = earlier >= rapid
     hist = F.transform(
@@ -259,7 +260,8 @@ def rule_ip_mac_change(packets: DataFrame, semantics: str = "documented",
     )
 
 
-def rule_gateway_change(packets: DataFrame, gateways=None, semantics: str = "documented") -> DataFrame:
+def rule_gateway_change(packets: DataFrame, gateways=None, semantics: str = "documented",
+                        changes: DataFrame | None = None) -> DataFrame:
     """D3 (+D8): a gateway IP's MAC changed; always GATEWAY_MAPPING_CHANGE / CRITICAL.
 
     The gateway list is a small driver-side parameter; the filter is pushed
@@ -270,8 +272,10 @@ def rule_gateway_change(packets: DataFrame, gateways=None, semantics: str = "doc
     gws = list(gateways) if gateways else list(S.DEFAULT_GATEWAYS)
     if semantics == "observed":
         return _none(packets, 3)
-    gw = packets.where(F.col("src_ip").isin(gws))
-    ch = mac_changes(gw)
+    if changes is not None:
+        ch = changes.where(F.col("src_ip").isin(gws))
+    else:
+        ch = mac_changes(packets.where(F.col("src_ip").isin(gws)))
     ch = SL.last_k_before(ch, "src_ip", ["src_mac"], 4, "_gh")
     hist = F.concat(
         F.transform("_gh", lambda e: F.struct(e["src_mac"].alias("mac"), e["ts_us"].alias("ts_us"))),
@@ -393,8 +397,8 @@ def register_rule(name: str, rule_no: int):
 
 register_rule("ip_mac_change", 1)(rule_ip_mac_change)
 register_rule("duplicate_ip", 2)(rule_duplicate_ip)
-register_rule("gateway_change", 3)(lambda p, semantics="documented", gateways=None:
-                                   rule_gateway_change(p, gateways, semantics))
+register_rule("gateway_change", 3)(lambda p, semantics="documented", gateways=None, changes=None:
+                                   rule_gateway_change(p, gateways, semantics, changes))
 register_rule("unusual_rate", 4)(rule_unusual_rate)
 register_rule("request_storm", 5)(rule_request_storm)
 
@@ -413,11 +417,17 @@ def run_rules(packets: DataFrame, rules=None, gateways=None, semantics: str = "d
     """
     names = rules or registered_rules()
     outs = []
+    shared = {}
+    if semantics == "documented" and {"ip_mac_change", "gateway_change"} <= set(names):
+        # rules 1 and 3 read the same change rows: computed once
+        shared["changes"] = materialize(mac_changes(packets))
     for name in names:
         _, fn = _REGISTRY[name]
         try:
             if name == "gateway_change":
-                outs.append(fn(packets, semantics=semantics, gateways=gateways))
+                outs.append(fn(packets, semantics=semantics, gateways=gateways, **shared))
+            elif name == "ip_mac_change":
+                outs.append(fn(packets, semantics=semantics, **shared))
             else:
                 outs.append(fn(packets, semantics=semantics))
         except Exception:

@@ -381,6 +381,139 @@ def rule_request_storm(packets: DataFrame, semantics: str = "documented",
     )
 
 
+# ------------------------------------------------------------ D1 + D2 + D3 in one layout
+
+def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_WINDOW_S,
+             claim_window_s: int = S.CLAIM_WINDOW_S, high: int = S.CLAIMS_HIGH,
+             critical: int = S.CLAIMS_CRITICAL) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rules 1, 2 and 3 (documented semantics) from one shuffle of the packets.
+
+    One halo layout by ``(sender IP, bucket)`` serves: the firing-group pass
+    and member sweep of rule 2 and its per-bucket claim offsets; and the
+    previous packet of every packet for rules 1 and 3 (``lag`` in the
+    partition, whose halo rows are real earlier packets; only the first row
+    of a partition without halo rows takes the last row of the nearest
+    earlier bucket from a small carry table).  Equal to the rules run
+    separately.
+    """
+    from pyspark.sql import Window
+    gws = list(gateways) if gateways else list(S.DEFAULT_GATEWAYS)
+    w2 = claim_window_s * US
+    b_us = SL.default_halo_bucket(max(w2, change_window_s * US))
+    base = _pk(packets).withColumn("_v", F.col("src_mac"))
+    h = SL.with_halo(base, "src_ip", w2, b_us)
+    # ---- rule 2: firing groups (JVM), sweep, claim offsets from the same layout
+    hit = SL.distinct_on_halo(h, "src_ip", "_v", w2, "_n", b_us).where(F.col("_n") >= high)
+    groups = hit.select("src_ip", SL._bucket("ts_us", b_us).alias("_pb")).distinct()
+    cols = ["src_ip", "src_mac"]
+    swept = h.join(groups, ["src_ip", "_pb"], "left_semi").groupBy("src_ip", "_pb").applyInPandas(
+        _sweeper(w2, high, cols), _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols))
+    per_bucket = h.where("_own").groupBy("src_ip", "_pb").agg(F.count(F.lit(1)).alias("_c"))
+    offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_c").over(
+        Window.partitionBy("src_ip").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0).cast("long"))).drop("_c")
+    y = swept.join(offsets, ["src_ip", "_pb"], "left")
+    macs = F.transform("members", lambda m: m["value"])
+    n = F.col("n_distinct")
+    det2 = _detections(
+        y, 2, F.lit("DUPLICATE_IP_CLAIM"), F.when(n >= critical, "CRITICAL").otherwise("HIGH"),
+        F.format_string(REASON_CLAIM, F.col("src_ip"), n, F.array_join(F.slice(macs, 1, 3), ", ")),
+        _info(claiming_mac_count=n, total_claims=F.col("own_rank") + F.col("_off"), claiming_macs=macs,
+              claims_per_mac=F.map_from_arrays(macs, F.transform("members", lambda m: m["n"]))))
+    # ---- rules 1 and 3: previous packet of the IP
+    wl = Window.partitionBy("src_ip", "_pb").orderBy("ts_us", "seq")
+    entry = F.struct("ts_us", "seq", "src_mac")
+    x = h.withColumn("_lp", F.lag(entry).over(wl)).where("_own")
+    tails = x.groupBy("src_ip", "_pb").agg(F.max_by(entry, F.struct("ts_us", "seq")).alias("_tail"))
+    carry = (tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy("src_ip").orderBy("_pb")))
+             .drop("_tail").where(F.col("_carry").isNotNull()))
+    x = x.join(carry, ["src_ip", "_pb"], "left").withColumn("_last", F.coalesce("_lp", "_carry"))
+    ch = x.select("seq", "ts_us", "op", "src_ip", "src_mac", "dst_ip",
+                  F.col("_last.ts_us").alias("prev_ts_us"), F.col("_last.seq").alias("prev_seq"),
+                  F.col("_last.src_mac").alias("prev_src_mac")) \
+        .where(F.col("prev_src_mac").isNotNull() & (F.col("prev_src_mac") != F.col("src_mac")))
+    ch = materialize(ch)
+    det1 = rule_ip_mac_change(packets, window_s=change_window_s, changes=ch)
+    det3 = rule_gateway_change(packets, gws, changes=ch)
+    return det1, det2, det3
+
+
+# ------------------------------------------------------------ D4 + D5 in one layout
+
+def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: int = S.RATE_LIMIT,
+              flood: int = S.FLOOD_LIMIT, storm_window_s: int = S.STORM_WINDOW_S,
+              targets: int = S.STORM_TARGETS) -> tuple[DataFrame, DataFrame]:
+    """Rules 4 and 5 (documented semantics) from one shuffle of the packets.
+
+    One halo layout by ``(sender MAC, bucket)`` (look-back = the longer
+    window) serves both rules.  One running-sum window carries three deltas:
+    packets in 60 s (rule 4), distinct request targets and requests in 30 s
+    (rule 5).  The member sweep of rule 5 reads the same layout (the
+    exchange is reused).  Equal to ``rule_unusual_rate`` and
+    ``rule_request_storm`` run separately.
+    """
+    from pyspark.sql import Window
+    w4, w5 = rate_window_s * US, storm_window_s * US
+    b_us = SL.default_halo_bucket(max(w4, w5))
+    is_req = F.col("op") == S.OP_REQUEST
+    base = _pk(packets).select("src_mac", "src_ip", "ts_us", "seq", "op",
+                               F.when(is_req, F.col("dst_ip")).alias("_v"))
+    h = SL.with_halo(base, "src_mac", max(w4, w5), b_us)
+    wv = Window.partitionBy("src_mac", "_pb", "_v").orderBy("ts_us", "seq")
+    end = (F.col("_pb") + 1) * F.lit(b_us)
+    t = F.col("ts_us")
+    x = (h.withColumn("_prev_t", F.lag("ts_us").over(wv)).withColumn("_next_t", F.lead("ts_us").over(wv)))
+    present = F.col("_v").isNotNull()
+    x = x.select(
+        "*",
+        (present & (F.col("_prev_t").isNull() | (t - F.col("_prev_t") >= F.lit(w5)))).cast("long").alias("_e5"),
+        F.when(t + F.lit(w4) < end, t + F.lit(w4)).alias("_l4"),
+        F.when(present & (F.col("_next_t").isNull() | (F.col("_next_t") - t >= F.lit(w5)))
+               & (t + F.lit(w5) < end), t + F.lit(w5)).alias("_l5"),
+        F.when((F.col("op") == S.OP_REQUEST) & (t + F.lit(w5) < end), t + F.lit(w5)).alias("_lr"),
+    ).drop("_prev_t", "_next_t")
+    req = (F.col("op") == S.OP_REQUEST).cast("long")
+    ev = F.array(
+        F.struct(t.alias("t"), F.lit(1).alias("k"), F.lit(1).cast("long").alias("a"), F.col("_e5").alias("b"),
+                 req.alias("c"), F.col("_own").alias("q")),
+        F.struct(F.col("_l4").alias("t"), F.lit(0).alias("k"), F.lit(-1).cast("long").alias("a"),
+                 F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("c"), F.lit(False).alias("q")),
+        F.struct(F.col("_l5").alias("t"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("a"),
+                 F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("c"), F.lit(False).alias("q")),
+        F.struct(F.col("_lr").alias("t"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("a"),
+                 F.lit(0).cast("long").alias("b"), F.lit(-1).cast("long").alias("c"), F.lit(False).alias("q")),
+    )
+    e = x.withColumn("_ev", F.explode(ev)).where(F.col("_ev.t").isNotNull())
+    wr = (Window.partitionBy("src_mac", "_pb").orderBy(F.col("_ev.t"), F.col("_ev.k"), F.col("seq"))
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    r = (e.withColumn("_n4", F.sum("_ev.a").over(wr)).withColumn("_u5", F.sum("_ev.b").over(wr))
+          .where(F.col("_ev.q")))
+    # rule 4
+    d4 = r.where(F.col("_n4") > limit)
+    is_flood = F.col("_n4") > flood
+    det4 = _detections(
+        d4, 4, F.when(is_flood, "MAC_FLOODING").otherwise("UNUSUAL_ARP_ACTIVITY"),
+        F.when(is_flood, "CRITICAL").otherwise("HIGH"),
+        F.format_string(REASON_RATE, F.col("src_mac"), F.col("_n4")),
+        _info(packet_count=F.col("_n4"), threshold=F.lit(limit), is_flood=is_flood,
+              time_window=F.lit(rate_window_s)))
+    # rule 5: groups with a firing request, swept once over the same layout
+    groups = (r.where((F.col("op") == S.OP_REQUEST) & (F.col("_u5") > targets))
+              .select("src_mac", "_pb").distinct())
+    sweep_in = h.where(F.col("op") == S.OP_REQUEST).join(groups, ["src_mac", "_pb"], "left_semi")
+    cols = ["src_mac", "src_ip"]
+    swept = sweep_in.groupBy("src_mac", "_pb").applyInPandas(
+        _sweeper(w5, targets + 1, cols, 10), _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols))
+    swept = (swept.withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
+             .withColumn("_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10)))
+    det5 = _detections(
+        swept, 5, F.lit("ARP_REQUEST_STORM"), F.lit("HIGH"),
+        F.format_string(REASON_STORM, F.col("src_mac"), F.col("_u"), F.lit(storm_window_s)),
+        _info(unique_targets=F.col("_u"), total_requests=F.col("_r"), target_ips=F.col("_targets"),
+              time_window=F.lit(storm_window_s)))
+    return det4, det5
+
+
 # ------------------------------------------------------------ D6 / D10
 
 RuleFn = Callable[..., DataFrame]
@@ -418,11 +551,25 @@ def run_rules(packets: DataFrame, rules=None, gateways=None, semantics: str = "d
     names = rules or registered_rules()
     outs = []
     shared = {}
-    if semantics == "documented" and {"ip_mac_change", "gateway_change"} <= set(names):
+    ip_combined = semantics == "documented" and {"ip_mac_change", "duplicate_ip", "gateway_change"} <= set(names)
+    if ip_combined:
+        # rules 1, 2 and 3 key by sender IP: one shuffle serves all three
+        d1, d2, d3 = ip_rules(packets, gateways)
+    elif semantics == "documented" and {"ip_mac_change", "gateway_change"} <= set(names):
         # rules 1 and 3 read the same change rows: computed once
         shared["changes"] = materialize(mac_changes(packets))
+    combined = semantics == "documented" and {"unusual_rate", "request_storm"} <= set(names)
+    if combined:
+        # rules 4 and 5 key by sender MAC: one shuffle serves both
+        d4, d5 = mac_rules(packets)
     for name in names:
         _, fn = _REGISTRY[name]
+        if combined and name in ("unusual_rate", "request_storm"):
+            outs.append(d4 if name == "unusual_rate" else d5)
+            continue
+        if ip_combined and name in ("ip_mac_change", "duplicate_ip", "gateway_change"):
+            outs.append({"ip_mac_change": d1, "duplicate_ip": d2, "gateway_change": d3}[name])
+            continue
         try:
             if name == "gateway_change":
                 outs.append(fn(packets, semantics=semantics, gateways=gateways, **shared))

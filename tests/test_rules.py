@@ -147,3 +147,22 @@ def test_stream_equals_batch(spark, packets, tmp_path):
     stream = {r["window_start"]: r.asDict() for r in spark.sql("SELECT * FROM t_wf").collect()
               if r["window_start"] < 1_800_000_000}
     assert batch == stream
+
+
+def test_combined_mac_rules_equal_separate_rules(packets):
+    d4, d5 = R.mac_rules(packets)
+    key = lambda r: (r["rule_no"], r["seq"], r["event_type"], r["severity"], r["reason"],
+                     tuple(sorted((k, str(v)) for k, v in r["info"].asDict().items())))
+    together = sorted(map(key, d4.unionByName(d5).collect()))
+    apart = sorted(map(key, R.rule_unusual_rate(packets).unionByName(R.rule_request_storm(packets)).collect()))
+    assert together == apart and len(together) == 278
+
+
+def test_combined_ip_rules_equal_separate_rules(packets):
+    d1, d2, d3 = R.ip_rules(packets)
+    key = lambda r: (r["rule_no"], r["seq"], r["event_type"], r["severity"], r["reason"],
+                     str(sorted(r["info"].asDict().items())))
+    together = sorted(map(key, d1.unionByName(d2).unionByName(d3).collect()))
+    apart = sorted(map(key, R.rule_ip_mac_change(packets).unionByName(R.rule_duplicate_ip(packets))
+                       .unionByName(R.rule_gateway_change(packets)).collect()))
+    assert together == apart and len(together) == 27 + 6 + 20

@@ -168,32 +168,45 @@ def _sweeper(w_us: int, min_distinct: int, passthrough: list[str], max_members:
     return sweep
 
 
+def sweep_firing_groups(laid: DataFrame, keys, fire: Column, w_us: int, min_distinct: int,
+                        passthrough, max_members: int | None = None) -> DataFrame:
+    """Sweep the ``(key, bucket)`` groups of a halo-laid frame that hold a
+    firing row.  ``laid`` must come partitioned and sorted by ``(key, _pb)``
+    (the output of a window over that layout): the group flag is a window
+    over the same partitioning and the pandas grouping reuses it, so no
+    shuffle is added."""
+    from pyspark.sql import Window
+    keys = SL._cols(keys)
+    cols = list(dict.fromkeys(list(keys) + list(passthrough)))
+    flag = F.max(fire.cast("int")).over(Window.partitionBy(*keys, "_pb"))
+    groups = laid.withColumn("_gf", flag).where(F.col("_gf") == 1)
+    schema = _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols)
+    return (groups.select(*dict.fromkeys(cols + ["ts_us", "seq", "_v", "_pb", "_own"]))
+            .groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols, max_members), schema))
+
+
 def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int,
                  passthrough=(), bucket_us: int | None = None, max_members: int | None = None) -> DataFrame:
     """Rows whose key window ``(t - w, t]`` holds at least ``min_distinct``
     distinct ``value``s, with the sorted ``(value, count)`` members.
 
-    First a JVM pass (delta events) finds the ``(key, bucket)`` groups that
-    contain such a row; only those groups are then swept in arrival order by
-    a pandas function (O(rows + output) per group).  A group is bounded by
-    the bucket length (10 x w by default), not by the key, so a hot key is
-    spread over many tasks.  ``own_rank`` is the row's number among its
-    bucket's own rows (for running counts); ``passthrough`` string columns
-    (the keys included) are carried to the output; ``max_members`` keeps only
-    the smallest members when the full list is not needed.
+    One shuffle: the packets are laid out by ``(key, time bucket)`` with a
+    look-back halo; a JVM pass (delta events) measures every row; the groups
+    holding a firing row are then swept in arrival order by a pandas
+    function (O(rows + output) per group) on the same partitions.  A group
+    is bounded by the bucket length (10 x w by default), not by the key.
+    ``own_rank`` is the row's number among its bucket's own rows (for
+    running counts); ``passthrough`` string columns are carried to the
+    output; ``max_members`` keeps only the smallest members.
     """
     keys = SL._cols(keys)
     cols = list(dict.fromkeys(list(keys) + list(passthrough)))
     b_us = bucket_us or SL.default_halo_bucket(w_us)
     base = rows.select(*cols, "ts_us", "seq", F.col(value).cast("string").alias("_v"))
-    # one halo layout serves both the JVM pass that finds firing groups and
-    # the sweep: the exchange is reused and the sweep's grouping needs no new one
-    halo = SL.with_halo(base, keys, w_us, b_us)
-    hit = SL.distinct_on_halo(halo, keys, "_v", w_us, "_n", b_us).where(F.col("_n") >= min_distinct)
-    groups = hit.select(*keys, SL._bucket("ts_us", b_us).alias("_pb")).distinct()
-    h = halo.join(groups, keys + ["_pb"], "left_semi")
-    schema = _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols)
-    return h.groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols, max_members), schema)
+    laid = SL.distinct_on_halo(SL.with_halo(base, keys, w_us, b_us), keys, "_v", w_us, "_n", b_us,
+                               keep_all=True)
+    return sweep_firing_groups(laid, keys, F.col("_own") & (F.col("_n") >= min_distinct), w_us,
+                               min_distinct, cols, max_members)
 
 
 # ------------------------------------------------------------ D1 / D3 shared
@@ -400,15 +413,14 @@ def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_
     gws = list(gateways) if gateways else list(S.DEFAULT_GATEWAYS)
     w2 = claim_window_s * US
     b_us = SL.default_halo_bucket(max(w2, change_window_s * US))
-    base = _pk(packets).withColumn("_v", F.col("src_mac"))
-    h = SL.with_halo(base, "src_ip", w2, b_us)
-    # ---- rule 2: firing groups (JVM), sweep, claim offsets from the same layout
-    hit = SL.distinct_on_halo(h, "src_ip", "_v", w2, "_n", b_us).where(F.col("_n") >= high)
-    groups = hit.select("src_ip", SL._bucket("ts_us", b_us).alias("_pb")).distinct()
-    cols = ["src_ip", "src_mac"]
-    swept = h.join(groups, ["src_ip", "_pb"], "left_semi").groupBy("src_ip", "_pb").applyInPandas(
-        _sweeper(w2, high, cols), _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols))
-    per_bucket = h.where("_own").groupBy("src_ip", "_pb").agg(F.count(F.lit(1)).alias("_c"))
+    # one shuffle: every later step runs on these partitions
+    base = _pk(packets).select("src_ip", "ts_us", "seq", F.col("src_mac").alias("_v"))
+    laid = SL.distinct_on_halo(SL.with_halo(base, "src_ip", w2, b_us), "src_ip", "_v", w2, "_n", b_us,
+                               keep_all=True)
+    # ---- rule 2: sweep of firing groups, claim offsets per bucket
+    swept = sweep_firing_groups(laid, "src_ip", F.col("_own") & (F.col("_n") >= high), w2, high,
+                                ["src_ip", "_v"]).withColumnRenamed("_v", "src_mac")
+    per_bucket = laid.where("_own").groupBy("src_ip", "_pb").agg(F.count(F.lit(1)).alias("_c"))
     offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_c").over(
         Window.partitionBy("src_ip").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0).cast("long"))).drop("_c")
@@ -420,15 +432,15 @@ def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_
         F.format_string(REASON_CLAIM, F.col("src_ip"), n, F.array_join(F.slice(macs, 1, 3), ", ")),
         _info(claiming_mac_count=n, total_claims=F.col("own_rank") + F.col("_off"), claiming_macs=macs,
               claims_per_mac=F.map_from_arrays(macs, F.transform("members", lambda m: m["n"]))))
-    # ---- rules 1 and 3: previous packet of the IP
+    # ---- rules 1 and 3: previous packet of the IP (halo rows are real earlier packets)
     wl = Window.partitionBy("src_ip", "_pb").orderBy("ts_us", "seq")
-    entry = F.struct("ts_us", "seq", "src_mac")
-    x = h.withColumn("_lp", F.lag(entry).over(wl)).where("_own")
+    entry = F.struct("ts_us", "seq", F.col("_v").alias("src_mac"))
+    x = laid.withColumn("_lp", F.lag(entry).over(wl)).where("_own")
     tails = x.groupBy("src_ip", "_pb").agg(F.max_by(entry, F.struct("ts_us", "seq")).alias("_tail"))
     carry = (tails.withColumn("_carry", F.lag("_tail").over(Window.partitionBy("src_ip").orderBy("_pb")))
              .drop("_tail").where(F.col("_carry").isNotNull()))
     x = x.join(carry, ["src_ip", "_pb"], "left").withColumn("_last", F.coalesce("_lp", "_carry"))
-    ch = x.select("seq", "ts_us", "op", "src_ip", "src_mac", "dst_ip",
+    ch = x.select("seq", "ts_us", "src_ip", F.col("_v").alias("src_mac"),
                   F.col("_last.ts_us").alias("prev_ts_us"), F.col("_last.seq").alias("prev_seq"),
                   F.col("_last.src_mac").alias("prev_src_mac")) \
         .where(F.col("prev_src_mac").isNotNull() & (F.col("prev_src_mac") != F.col("src_mac")))
@@ -486,8 +498,9 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
     e = x.withColumn("_ev", F.explode(ev)).where(F.col("_ev.t").isNotNull())
     wr = (Window.partitionBy("src_mac", "_pb").orderBy(F.col("_ev.t"), F.col("_ev.k"), F.col("seq"))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    r = (e.withColumn("_n4", F.sum("_ev.a").over(wr)).withColumn("_u5", F.sum("_ev.b").over(wr))
-          .where(F.col("_ev.q")))
+    laid = (e.withColumn("_n4", F.sum("_ev.a").over(wr)).withColumn("_u5", F.sum("_ev.b").over(wr))
+            .where(F.col("_ev.k") == 1).withColumn("_own", F.col("_ev.q")))
+    r = laid.where("_own")
     # rule 4
     d4 = r.where(F.col("_n4") > limit)
     is_flood = F.col("_n4") > flood
@@ -498,12 +511,9 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
         _info(packet_count=F.col("_n4"), threshold=F.lit(limit), is_flood=is_flood,
               time_window=F.lit(rate_window_s)))
     # rule 5: groups with a firing request, swept once over the same layout
-    groups = (r.where((F.col("op") == S.OP_REQUEST) & (F.col("_u5") > targets))
-              .select("src_mac", "_pb").distinct())
-    sweep_in = h.where(F.col("op") == S.OP_REQUEST).join(groups, ["src_mac", "_pb"], "left_semi")
-    cols = ["src_mac", "src_ip"]
-    swept = sweep_in.groupBy("src_mac", "_pb").applyInPandas(
-        _sweeper(w5, targets + 1, cols, 10), _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols))
+    swept = sweep_firing_groups(laid.where(F.col("op") == S.OP_REQUEST), "src_mac",
+                                F.col("_own") & (F.col("_u5") > targets), w5, targets + 1,
+                                ["src_mac", "src_ip"], max_members=10)
     swept = (swept.withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
              .withColumn("_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10)))
     det5 = _detections(

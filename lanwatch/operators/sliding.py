@@ -124,9 +124,14 @@ def sliding_distinct(df: DataFrame, keys, value: str, w_us: int, out: str,
 
 
 def distinct_on_halo(h: DataFrame, keys, value: str, w_us: int, out: str, bucket_us: int,
-                     seq: str = "seq", count_out: str | None = None) -> DataFrame:
-    """``sliding_distinct`` on a frame already laid out by ``with_halo``
-    (lets a caller reuse one halo shuffle for several measures)."""
+                     seq: str = "seq", count_out: str | None = None, keep_all: bool = False) -> DataFrame:
+    """``sliding_distinct`` on a frame already laid out by ``with_halo``.
+
+    With ``keep_all`` every laid-out row (halo copies too) comes back with
+    ``_pb`` and ``_own``, still partitioned and sorted by ``(key, bucket)``,
+    so later per-group steps need no new shuffle; the measure is meaningful
+    on ``_own`` rows.
+    """
     keys = _cols(keys)
     b_us = bucket_us
     wv = Window.partitionBy(*keys, "_pb", value).orderBy("ts_us", seq)
@@ -143,6 +148,9 @@ def distinct_on_halo(h: DataFrame, keys, value: str, w_us: int, out: str, bucket
     ev = _explode_events(h.drop("_prev_t", "_next_t"), F.col("_enter"), F.col("_leave"), seq,
                          count_leave_at=F.col("_cleave")).drop("_enter", "_leave", "_cleave")
     res = _running_delta(ev, keys, out, count_out)
+    if keep_all:
+        return res.where(F.col("_kind") == 1).withColumn("_own", F.col("_q")) \
+            .drop("_t", "_kind", "_d", "_c", "_q", "_seq")
     return res.where(F.col("_q")).drop("_t", "_kind", "_d", "_c", "_q", "_seq", "_pb")
 
 

@@ -28,8 +28,9 @@ from ..session import materialize
 def process_events(events: DataFrame, trust_store: DataFrame, created_at: str,
                    start_number: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """X1 on events ``(event_key, device_mac, device_ip, flags, confidence,
-    anomaly_score, is_anomaly)`` -> (assessed, incidents, requests)."""
-    ev = trusted_flag(events, trust_store)
+    anomaly_score, is_anomaly)`` -> (assessed, incidents, requests).  A
+    ``trusted`` column already on the events is used as is."""
+    ev = events if "trusted" in events.columns else trusted_flag(events, trust_store)
     ev = ev.withColumn("risk", assess(F.col("flags"), F.col("confidence"), F.col("anomaly_score"),
                                       F.col("is_anomaly"), F.col("trusted")))
     # incidents and requests both read the assessed events: computed once
@@ -60,8 +61,8 @@ def end_to_end(packets: DataFrame, trust_store: DataFrame, created_at: str, wind
     dets = R.run_rules(packets, gateways=gateways, semantics=semantics)
     f = findings_from_detections(dets, packets, lo, feats, window_seconds)
     f = f.join(preds.select("bin", "anomaly_score", "is_anomaly"), "bin", "left")
-    f = trusted_flag(f, trust_store, out="_trusted0")
-    f = as_maps(f, {"unknown_device": ~F.col("_trusted0")}).drop("_trusted0")
+    f = trusted_flag(f, trust_store)
+    f = as_maps(f, {"unknown_device": ~F.col("trusted")})
     f = f.withColumn("event_key", F.concat_ws("|", F.col("bin").cast("string"), "device_mac",
                                               F.coalesce("device_ip", F.lit(""))))
     return process_events(f, trust_store, created_at)

@@ -11,7 +11,9 @@
   processed in ``(ts_us, seq)`` order, so on complete input the stream emits
   exactly what the batch rules emit.  Rows older than what a key already
   processed are late and dropped.  State keeps only what the windows need
-  (times within the window, last five changes), never the whole history.
+  (times within the window, counters, the last MAC of an IP), never the
+  whole history; MAC-keyed state is evicted once idle, IP-keyed state is
+  kept because rule 1 compares with the previous MAC however old.
 * V6 ``stream_risk``: detections -> findings -> trust (stream-static join)
   -> risk -> incidents, appended per micro-batch with deterministic ids.
 """
@@ -141,7 +143,7 @@ def _mac_step(st: dict, r, out: list):
         st["req"] = [q for q in st.get("req", []) if q[0] > ts - w5]
 
 
-def _stateful(step, extra=()):
+def _stateful(step, extra=(), evict: bool = True):
     cols = ["rule_no", "seq", "ts_us", "event_type", "severity", "device_ip", "device_mac", "measure"]
 
     def fn(key, pdfs, state):
@@ -165,7 +167,8 @@ def _stateful(step, extra=()):
         if len(ready):
             done_wm = int(ready["ts_us"].max())
         st["buf"] = keep.astype(object).where(keep.notna(), None).values.tolist()
-        if len(keep) == 0 and state.hasTimedOut:
+        if evict and len(keep) == 0 and state.hasTimedOut:
+            # windowed state only (rules 4-5): nothing to remember once idle
             state.remove()
         else:
             state.update((json.dumps(st), done_wm))
@@ -182,7 +185,10 @@ def stream_ip_rules(packets: DataFrame, gateways=None) -> DataFrame:
     gws = set(gateways or S.DEFAULT_GATEWAYS)
     return (packets.select("seq", "ts_us", "op", "src_ip", "src_mac", "dst_ip", "ts")
             .groupBy("src_ip")
-            .applyInPandasWithState(_stateful(_ip_step, (gws,)), STREAM_DETECTION_SCHEMA, _STATE_SCHEMA,
+            # rule 1 compares with the IP's previous MAC however old: the per-IP
+            # state (last MAC, counters, windowed lists) is kept, never evicted
+            .applyInPandasWithState(_stateful(_ip_step, (gws,), evict=False), STREAM_DETECTION_SCHEMA,
+                                    _STATE_SCHEMA,
                                     "append", GroupStateTimeout.EventTimeTimeout))
 
 

@@ -43,3 +43,24 @@ def test_stream_risk_writes_incidents(spark, packets, tmp_path):
     inc = spark.read.json(f"{d}/inc")
     assert inc.count() > 0
     assert inc.select("incident_id").distinct().count() == inc.count()
+
+
+def test_ip_state_survives_idle_time(spark, tmp_path):
+    """A MAC change after a long quiet spell is still seen (state kept per IP)."""
+    from lanwatch.operators import rules as R
+    d = str(tmp_path)
+    ip = "10.8.8.8"
+    rows = [(0, T0, 2, "m1", None, ip, None),
+            (1, T0 + 3600 * S, 1, "other", None, "10.0.0.1", None),      # an hour of other traffic
+            (2, T0 + 7200 * S, 2, "m2", None, ip, None),                 # change two hours later
+            (3, T0 + 9000 * S, 1, "zz", None, "10.0.0.0", None)]         # closes the watermark
+    for i, r in enumerate(rows):
+        make_packets(spark, [r]).coalesce(1).write.parquet(f"{d}/in/{i}")
+        src = V.read_packet_stream(spark, f"{d}/in/*", watermark="10 seconds")
+        q = (V.stream_ip_rules(src).writeStream.format("parquet").option("path", f"{d}/out")
+             .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = {(r["rule_no"], r["seq"], r["measure"]) for r in spark.read.parquet(f"{d}/out").collect()}
+    assert (1, 2, 1) in got                                   # change number 1 at seq 2
+    batch = R.rule_ip_mac_change(make_packets(spark, rows)).collect()
+    assert [r["seq"] for r in batch] == [2]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import quality
+from . import licenses, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +25,8 @@ def register(oracle: str | None = None):
 @register(quality.ORACLE)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(C.table(spark, sf_dir, "documents"))
+
+
+@register(licenses.ORACLE)
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(C.table(spark, sf_dir, "documents"))

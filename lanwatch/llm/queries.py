@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import licenses, quality
+from . import licenses, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +30,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(licenses.ORACLE)
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(C.table(spark, sf_dir, "documents"))
+
+
+@register()
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(C.table(spark, sf_dir, "documents"))

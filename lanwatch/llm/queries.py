@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import licenses, quality, simhash
+from . import licenses, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +35,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(C.table(spark, sf_dir, "documents"))
+
+
+@register()
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(C.table(spark, sf_dir, "documents"))

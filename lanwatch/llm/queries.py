@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import licenses, mixing, packing, quality, simhash
+from . import language, licenses, mixing, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(mixing.ORACLE)
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(C.table(spark, sf_dir, "documents"))
+
+
+@register()
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_mixture(C.table(spark, sf_dir, "documents"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
-from . import language, licenses, mixing, packing, quality, simhash
+from . import language, licenses, mixing, packing, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +51,8 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_mixture(C.table(spark, sf_dir, "documents"))
+
+
+@register(topk.ORACLE)
+def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(C.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

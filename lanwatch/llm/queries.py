@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import language, licenses, mixing, packing, quality, simhash, topk
+from . import flatfiles, language, licenses, mixing, packing, quality, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(topk.ORACLE)
 def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(C.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register()
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatfiles.token_counts(C.table(spark, sf_dir, "documents"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import flatfiles, language, licenses, mixing, packing, quality, simhash, topk
+from . import flatfiles, language, licenses, mixing, packing, quality, simhash, surrogates, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +61,8 @@ def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatfiles.token_counts(C.table(spark, sf_dir, "documents"))
+
+
+@register()
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_personal_data(C.table(spark, sf_dir, "documents"))

@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanwatch.llm import common, quality
+from lanwatch.llm import common, mixing, packing, quality, simhash, surrogates
 
 STAGES = [
-    ("quality_rules", quality.stage),
+    ("quality_rules", quality.stage),        # rows that the rules reject go
+    ("simhash_near_dedup", simhash.stage),   # one row of each group stays
+    ("pii_surrogates", surrogates.stage),    # personal data is replaced in the texts
+    ("source_mixing", mixing.stage),         # rows repeat by their source's target, in training order
+    ("best_fit_packing", packing.stage),     # pieces in windows of 4096 tokens
 ]
 
-# language models of text, XXH64 and tokenizers have no SQL form: tested against a brute-force version
+# XXH64 with a seed and tokenizer ids have no SQL form; tests/llm/test_pipeline.py checks run() against brute force
 ORACLE_SQL = None
 
 

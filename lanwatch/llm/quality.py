@@ -33,7 +33,7 @@ SYMBOLS = "#*$%&|<>"
 GRID = 1000
 SPREAD = 4
 MIN_DOCS = 100
-FLOORS = {"symbols": 50, "lines": 300, "repeats": 250}
+FLOORS = {"symbols": 50, "lines": 600, "repeats": 250}
 
 
 def _measures(df: DataFrame) -> DataFrame:

@@ -71,8 +71,8 @@ def class_distribution(df: DataFrame, column: str = "label") -> DataFrame:
 
 # --------------------------------------------------------------------- N7
 
-def _dense_index(df: DataFrame, order_col: str, name: str) -> DataFrame:
-    """Attach a dense 0-based index in ``order_col`` order, distributed, JVM only.
+def _dense_index(df: DataFrame, order_col, name: str) -> DataFrame:
+    """Attach a dense 0-based index in the order of ``order_col`` (one column or several), distributed, JVM only.
 
     The sorted frame is checkpointed (its partitioning is then fixed); each
     row's index is the row count of all earlier partitions (a prefix sum over
@@ -81,7 +81,7 @@ def _dense_index(df: DataFrame, order_col: str, name: str) -> DataFrame:
     """
 
     from ..session import materialize
-    srt = materialize(df.orderBy(order_col).withColumn("_mid", F.monotonically_increasing_id()))
+    srt = materialize(df.orderBy(*([order_col] if isinstance(order_col, str) else order_col)).withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned(F.col("_mid"), 33)
     counts = srt.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(

@@ -83,13 +83,13 @@ def _window_aggregates(binned: DataFrame) -> DataFrame:
 
 
 def engineer_features(packets: DataFrame, window_seconds: float = DEFAULT_WINDOW_SECONDS,
-                      max_windows: int = 50_000_000, include_bin: bool = False,
+                      max_windows: int | None = None, include_bin: bool = False,
                       anchor: str = "first") -> DataFrame:
     """One row per window, ``window_start`` in epoch seconds (double).
 
     ``anchor="first"`` starts the grid at the first packet (documented
     behaviour); ``anchor="epoch"`` aligns it to multiples of the window, as
-    streaming windows are.
+    streaming windows are.  ``max_windows`` (none by default) makes a longer grid an error.
     """
     require_columns(packets, ["ts_us", "op", "src_mac", "src_ip", "dst_ip"], "packets")
     spark: SparkSession = packets.sparkSession
@@ -104,7 +104,7 @@ def engineer_features(packets: DataFrame, window_seconds: float = DEFAULT_WINDOW
             *[F.lit(0).cast("double" if c.endswith("ratio") else "long").alias(c) for c in MODEL_FEATURES])
         return empty.select(*cols)
     n = window_count(lo, hi, w_us)
-    if n > max_windows:
+    if max_windows is not None and n > max_windows:
         raise TooManyWindowsError(
             f"{n} windows of {window_seconds}s between {lo} and {hi}; raise max_windows if intended")
     feats = _window_aggregates(with_bin(packets.select("ts_us", "op", "src_mac", "src_ip", "dst_ip"), lo, w_us))

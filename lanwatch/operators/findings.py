@@ -62,6 +62,12 @@ def findings_from_detections(detections: DataFrame, packets: DataFrame, lo: int,
         "device_mac", "device_ip", *FLAG_NAMES, "unsolicited_reply")
 
 
+def event_key():
+    """Key of a finding: absolute window start, device MAC and IP (the same for batches and streams)."""
+    return F.concat_ws("|", F.round(F.col("window_start") * 1e6).cast("long").cast("string"), "device_mac",
+                       F.coalesce("device_ip", F.lit("")))
+
+
 def as_maps(findings: DataFrame, extra_flags: dict | None = None) -> DataFrame:
     """Pack flag columns into ``flags`` (name -> bool) and ``confidence`` maps."""
     names = list(FLAG_NAMES) + list((extra_flags or {}).keys())

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,8 +63,7 @@ def read_incidents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
+    """Ask the file system that Hadoop resolves the path to; a bare path belongs to its default one."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -64,7 +64,7 @@ def create_requests(incidents: DataFrame, created_at: str, start_number: int = 0
         F.col("details.risk.explanation").alias("reason"),
     )
     alerts, _ = validate_actions(alerts)
-    numbered = _dense_index(alerts, list(order_cols)[0] if len(order_cols) == 1 else "incident_id", "_n")
+    numbered = _dense_index(alerts, list(order_cols), "_n")
     return numbered.select(
         F.concat(F.lit("resp-"), (F.col("_n") + F.lit(start_number + 1)).cast("string")).alias("request_id"),
         "incident_id", "action", "target", "reason",

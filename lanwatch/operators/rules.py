@@ -83,15 +83,18 @@ def _info(**fields: Column) -> Column:
     return F.struct(*parts)
 
 
-def detection_id(rule_no: Column, seq: Column) -> Column:
-    """Deterministic id, so re-running a job rewrites the same rows."""
-    return F.sha2(F.concat_ws("|", rule_no.cast("string"), seq.cast("string")), 256)
+def detection_id(rule_no: Column) -> Column:
+    """Deterministic id over rule, time, IP, MAC and packet, so a re-run rewrites the same rows and
+    captures, whose packet numbers start alike, do not share ids."""
+    return F.sha2(F.concat_ws("|", rule_no.cast("string"), F.col("ts_us").cast("string"),
+                              F.coalesce("src_ip", F.lit("")), F.coalesce("src_mac", F.lit("")),
+                              F.col("seq").cast("string")), 256)
 
 
 def _detections(df: DataFrame, rule_no: int, event_type: Column, severity: Column,
                 reason: Column, info: Column) -> DataFrame:
     return df.select(
-        detection_id(F.lit(rule_no), F.col("seq")).alias("detection_id"),
+        detection_id(F.lit(rule_no)).alias("detection_id"),
         F.lit(rule_no).alias("rule_no"), F.lit(RULE_NAMES.get(rule_no, f"rule {rule_no}")).alias("rule"),
         "seq", "ts_us", event_type.alias("event_type"), severity.alias("severity"),
         reason.alias("reason"), F.col("src_ip").alias("device_ip"), F.col("src_mac").alias("device_mac"),

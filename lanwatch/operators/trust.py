@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.joins import broadcast_if_small
 from ..functions.mac import normalize_mac
 
 TRUST_SCHEMA = T.StructType([
@@ -73,15 +72,13 @@ def list_devices(store: DataFrame) -> DataFrame:
 
 
 def trusted_flag(events: DataFrame, store: DataFrame, mac_col: str = "device_mac",
-                 ip_col: str = "device_ip", out: str = "trusted",
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                 ip_col: str = "device_ip", out: str = "trusted") -> DataFrame:
     """T4: ``trusted`` = MAC in the store and (stored ip null, event ip null, or equal).
 
-    The store is a dimension table; it is broadcast after its size is
-    checked, otherwise joined with a shuffle.
+    A plain left join: Spark broadcasts the store if its size is below the session's threshold, else
+    shuffles and splits the rows of a hot MAC.
     """
     dim = store.select(F.col("mac").alias("_t_mac"), F.col("ip").alias("_t_ip"))
-    dim = broadcast_if_small(dim, max_broadcast_rows)
     j = events.join(dim, normalize_mac(F.col(mac_col)) == F.col("_t_mac"), "left")
     ok = F.col("_t_mac").isNotNull() & (F.col("_t_ip").isNull() | F.col(ip_col).isNull()
                                          | (F.col("_t_ip") == F.col(ip_col)))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import functions as F
 
 from ..operators import dataset as N
+from ..session import scratch
 from ..sources import fixture
 from ..sources import packets as S
 from .catalog import register
@@ -47,11 +47,19 @@ def capture_roundtrip(spark, sf_dir):
 
 
 @register("session_union", """
-SELECT 'events.parquet' AS session_file, count(*) AS records FROM events""")
+SELECT CAST(seq % 2 AS INTEGER) AS session, sender_mac, operation, count(*) AS records
+FROM (SELECT seq, src_mac AS sender_mac, CASE op WHEN 1 THEN 'request' WHEN 2 THEN 'reply' ELSE 'unknown' END AS operation
+      FROM packets) GROUP BY ALL""")
 def session_union(spark, sf_dir):
-    _, counts = S.read_sessions(spark, [os.path.join(sf_dir, "events.parquet")], fmt="parquet",
-                                columns=["event_id", "ts", "user_id", "event_type"])
-    return counts
+    """Two sessions whose files have their columns in different orders, read as one by name."""
+    cap = S.canonical_to_capture(fixture.packets(spark, sf_dir), keep=["seq"])
+    paths = [scratch(spark, f"session-{k}") for k in (0, 1)]
+    for k, path in enumerate(paths):
+        part = cap.where(F.col("seq") % 2 == k).withColumn("session", F.lit(k))
+        part.select(*sorted(part.columns, reverse=bool(k))).write.option("header", True).csv(path)
+    recs, _ = S.read_sessions(spark, paths, columns=["session", "sender_mac", "operation"])
+    return (recs.groupBy(F.col("session").cast("int").alias("session"), "sender_mac", "operation")
+            .agg(F.count(F.lit(1)).alias("records")))
 
 
 @register("dataset_profile", """

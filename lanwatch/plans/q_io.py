@@ -6,32 +6,28 @@ fresh sub-folder per call) and read the result back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import forest as M
 from ..operators import incidents as I
 from ..operators import rules as R
-from ..session import checkpoint_root
+from ..operators import trust as T
+from ..session import scratch
 from ..sources import fixture
 from ..sources import packets as S
 from ..sources import sinks as K
 from .catalog import register
+from .q_risk import _FINDINGS, _TRUST, _incidents, trust_store
 from .q_rules import _ALL
 
 _PKT = "seq, ts_us, op, src_mac, dst_mac, src_ip, dst_ip"
 
 
-def _scratch(spark, name: str) -> str:
-    return f"{checkpoint_root(spark).rstrip('/')}/lanwatch-io/{name}-{uuid.uuid4().hex}"
-
-
 @register("csv_roundtrip", f"SELECT {_PKT} FROM packets")
 def csv_roundtrip(spark, sf_dir):
     """S5 + S1: packets written as ML-dialect CSV, read back through the contract."""
     p = fixture.packets(spark, sf_dir)
-    path = _scratch(spark, "packets-csv")
+    path = scratch(spark, "packets-csv")
     K.write_csv(p.select((F.col("ts_us") / F.lit(1e6)).alias("timestamp"), "op", "src_mac", "dst_mac",
                          "src_ip", "dst_ip", F.col("seq").alias("pkt_seq")), path)
     back = S.read_packet_csv(spark, path, keep=["pkt_seq"])
@@ -49,16 +45,29 @@ def detection_report(spark, sf_dir):
     return rep.select("total_alerts", F.col("statistics.total_detections").alias("total_detections"))
 
 
-@register("incident_roundtrip")
+@register("incident_roundtrip", """
+SELECT sha256(concat_ws('|', CAST(CAST(round(window_start * 1000000) AS BIGINT) AS VARCHAR), device_mac,
+                        coalesce(device_ip, ''))) AS incident_id, level AS severity, 'ARP_ANOMALY' AS incident_type,
+       device_mac, score, rule_findings
+FROM risk, (VALUES (1), (2)) twice(n)""", _FINDINGS)
 def incident_roundtrip(spark, sf_dir):
-    """Incidents appended twice as JSON Lines, read back (rows-only)."""
-    from .q_risk import _incidents
+    """Incidents appended twice as JSON Lines, read back: two rows for each."""
     inc = _incidents(spark, sf_dir)
-    path = _scratch(spark, "incidents")
+    path = scratch(spark, "incidents")
     I.append_incidents(inc, path)
     I.append_incidents(inc, path)
-    return I.read_incidents(spark, path).select("incident_id", "severity", "incident_type",
-                                                F.col("details.device_mac").alias("device_mac"))
+    return I.read_incidents(spark, path).select(
+        "incident_id", "severity", "incident_type", F.col("details.device_mac").alias("device_mac"),
+        (F.col("details.risk.score") + F.lit(0.0)).alias("score"),
+        F.array_join("details.risk.rule_findings", ", ").alias("rule_findings"))
+
+
+@register("state_load", "SELECT mac, ip, label, added_at FROM store", _TRUST)
+def state_load(spark, sf_dir):
+    """S11 + T3 list: the trust table saved, loaded under its schema and listed."""
+    path = scratch(spark, "trust")
+    K.save_state(trust_store(spark, sf_dir), path)
+    return T.list_devices(K.load_state(spark, path, T.TRUST_SCHEMA))
 
 
 @register("artifact_roundtrip")
@@ -66,7 +75,7 @@ def artifact_roundtrip(spark, sf_dir):
     """Fitted forest saved as parquet tables and loaded; scores must agree."""
     from . import service
     feats, params, model, preds = service.ml_chain(fixture.packets(spark, sf_dir))
-    path = _scratch(spark, "model")
+    path = scratch(spark, "model")
     M.save_model(model, spark, path)
     again = M.predict(M.load_model(spark, path), feats, scaler=params)
     return again.select("window_start", F.col("anomaly_score").alias("anomaly_score_loaded")).join(
@@ -79,6 +88,6 @@ def metrics_sink(spark, sf_dir):
     from ..operators import evaluate as E
     p = fixture.packets_with_label(spark, sf_dir)
     m = E.evaluate(E.rule_predictions(p, R.run_rules(p)), label_coding="zero_one")
-    path = _scratch(spark, "metrics")
+    path = scratch(spark, "metrics")
     K.write_metrics(m, path)
     return spark.read.json(path)

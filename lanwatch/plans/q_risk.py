@@ -11,7 +11,7 @@ from ..operators import incidents as I
 from ..operators import responses as Q
 from ..operators import rules as R
 from ..operators import trust as T
-from ..operators.findings import FLAG_NAMES, as_maps, findings_from_detections
+from ..operators.findings import FLAG_NAMES, as_maps, event_key, findings_from_detections
 from ..sources import fixture
 from . import service
 from .catalog import register
@@ -134,16 +134,22 @@ rs AS (SELECT *,
                       CASE WHEN gateway_mapping_change THEN 'gateway_mapping_change' END], lambda x: x IS NOT NULL)
          AS active
        FROM ev),
-cmb AS (SELECT *, least(100.0, greatest(0.0, CASE WHEN trusted THEN 0.6 * rule_score * 0.9 ELSE 0.6 * rule_score END))
-          AS combined FROM rs),
+sc AS (SELECT *, CASE WHEN bin % 5 <> 4 THEN (bin % 7 - 4) / 8.0 END AS a, bin % 3 = 1 AS flagged FROM rs),
+ms AS (SELECT *, CASE WHEN a IS NULL THEN CASE WHEN flagged THEN 100.0 ELSE 0.0 END
+                      WHEN a >= 0 AND NOT flagged THEN 0.0
+                      ELSE least(100.0, greatest(0.0, CASE WHEN flagged THEN greatest(-a / 0.5 * 100, 50.0) ELSE -a / 0.5 * 100 END))
+                 END AS ml FROM sc),
+cmb AS (SELECT *, least(100.0, greatest(0.0, (0.6 * rule_score + 0.4 * ml + CASE WHEN len(active) > 0 AND flagged THEN 10.0 ELSE 0.0 END)
+                                        * CASE WHEN trusted THEN 0.9 ELSE 1.0 END)) AS combined FROM ms),
 risk AS (SELECT bin, window_start, device_mac, device_ip, trusted,
            round(combined, 2) + 0.0 AS score,
            CASE WHEN combined < 25 THEN 'LOW' WHEN combined < 50 THEN 'MEDIUM' WHEN combined < 75 THEN 'HIGH'
                 ELSE 'CRITICAL' END AS level,
-           round(rule_score, 2) + 0.0 AS rule_score, CAST(0.0 AS DOUBLE) AS ml_score,
-           array_to_string(active, ', ') AS rule_findings, false AS ml_anomaly,
-           CASE WHEN len(active) = 0 AND NOT trusted THEN 'No significant detection evidence'
+           round(rule_score, 2) + 0.0 AS rule_score, CAST(round(ml, 2) AS DOUBLE) AS ml_score,
+           array_to_string(active, ', ') AS rule_findings, flagged AS ml_anomaly,
+           CASE WHEN len(active) = 0 AND NOT flagged AND a IS NULL AND NOT trusted THEN 'No significant detection evidence'
                 ELSE concat_ws('; ', CASE WHEN len(active) > 0 THEN 'Rule findings: ' || array_to_string(active, ', ') END,
+                                     CASE WHEN flagged THEN 'ML model marked the traffic window anomalous' WHEN a IS NOT NULL THEN printf('ML anomaly score=%.4f', a) END,
                                      CASE WHEN trusted THEN 'Trusted-device adjustment applied' END) END AS explanation
          FROM cmb)"""
 
@@ -164,8 +170,10 @@ def findings_q(spark, sf_dir):
 def _risk_events(spark, sf_dir):
     f = T.trusted_flag(_findings(spark, sf_dir), trust_store(spark, sf_dir))
     f = as_maps(f, {"unknown_device": ~F.col("trusted")})
-    return f.withColumn("risk", assess(F.col("flags"), F.col("confidence"), F.lit(None).cast("double"),
-                                       F.lit(False), F.col("trusted")))
+    # anomaly evidence made from the window's number: none, inliers, outliers, flagged ones without a score
+    score = F.when(F.col("bin") % 5 != 4, (F.col("bin") % 7 - 4) / F.lit(8.0))
+    return f.withColumn("risk", assess(F.col("flags"), F.col("confidence"), score,
+                                       F.col("bin") % 3 == 1, F.col("trusted")))
 
 
 @register("risk_assessment", """
@@ -184,13 +192,12 @@ def risk_assessment(spark, sf_dir):
 # ----------------------------------------------------------------- I1, Q1–Q4
 
 def _incidents(spark, sf_dir):
-    ev = _risk_events(spark, sf_dir).withColumn(
-        "event_key", F.concat_ws("|", F.col("bin").cast("string"), "device_mac", F.coalesce("device_ip", F.lit(""))))
+    ev = _risk_events(spark, sf_dir).withColumn("event_key", event_key())
     return I.build_incidents(ev, CREATED, ["event_key"])
 
 
 _REQ = _FINDINGS + """,
-inc AS (SELECT sha256(concat_ws('|', CAST(bin AS VARCHAR), device_mac, coalesce(device_ip, ''))) AS incident_id, *
+inc AS (SELECT sha256(concat_ws('|', CAST(CAST(round(window_start * 1000000) AS BIGINT) AS VARCHAR), device_mac, coalesce(device_ip, ''))) AS incident_id, *
         FROM risk),
 req AS (SELECT 'resp-' || CAST(row_number() OVER (ORDER BY incident_id) AS VARCHAR) AS request_id, incident_id,
                'ISOLATE_DEVICE' AS action, device_mac AS target_mac, device_ip AS target_ip,
@@ -199,7 +206,7 @@ req AS (SELECT 'resp-' || CAST(row_number() OVER (ORDER BY incident_id) AS VARCH
 
 
 @register("incident_build", """
-SELECT sha256(concat_ws('|', CAST(bin AS VARCHAR), device_mac, coalesce(device_ip, ''))) AS incident_id,
+SELECT sha256(concat_ws('|', CAST(CAST(round(window_start * 1000000) AS BIGINT) AS VARCHAR), device_mac, coalesce(device_ip, ''))) AS incident_id,
        'ARP_ANOMALY' AS incident_type, level AS severity, device_mac, device_ip, trusted AS trusted_device,
        score FROM risk""", _FINDINGS)
 def incident_build(spark, sf_dir):

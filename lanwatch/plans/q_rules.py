@@ -93,10 +93,12 @@ alld AS (
   SELECT rule_no, seq, ts_us, device_ip, device_mac, event_type, severity, reason FROM d3o UNION ALL
   SELECT rule_no, seq, ts_us, device_ip, device_mac, event_type, severity, reason FROM d4o UNION ALL
   SELECT rule_no, seq, ts_us, device_ip, device_mac, event_type, severity, reason FROM d5o),
-dets AS (SELECT sha256(concat_ws('|', CAST(rule_no AS VARCHAR), CAST(seq AS VARCHAR))) AS detection_id, *
+dets AS (SELECT sha256(concat_ws('|', CAST(rule_no AS VARCHAR), CAST(ts_us AS VARCHAR), 
+           coalesce(device_ip, ''), coalesce(device_mac, ''), CAST(seq AS VARCHAR))) AS detection_id, *
          FROM alld)"""
 
-_ID = "sha256(concat_ws('|', CAST(rule_no AS VARCHAR), CAST(seq AS VARCHAR))) AS detection_id"
+_ID = ("sha256(concat_ws('|', CAST(rule_no AS VARCHAR), CAST(ts_us AS VARCHAR), "
+       "coalesce(device_ip, ''), coalesce(device_mac, ''), CAST(seq AS VARCHAR))) AS detection_id")
 _BASE = "rule_no, seq, ts_us, device_ip, device_mac, event_type, severity, reason"
 
 

@@ -8,12 +8,10 @@ the watermark past every real packet (end of input); it is filtered out.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..schema import PACKET_SCHEMA, MODEL_FEATURES
-from ..session import checkpoint_root
+from ..session import scratch
 from ..sources import fixture
 from ..streaming import stream as V
 from .catalog import register
@@ -24,7 +22,7 @@ CLOSING_TS = 4_000_000_000 * 1_000_000
 
 
 def _land(spark, sf_dir):
-    base = f"{checkpoint_root(spark).rstrip('/')}/lanwatch-stream/{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     fixture.packets(spark, sf_dir).write.parquet(f"{base}/in/packets")
     spark.createDataFrame([(CLOSING_SEQ, CLOSING_TS, 1, "00:00:00:00:00:00", None, "0.0.0.0", None)],
                           PACKET_SCHEMA).write.parquet(f"{base}/in/closing")

@@ -18,7 +18,7 @@ from ..operators import features as W
 from ..operators import forest as M
 from ..operators import prep as P
 from ..operators import rules as R
-from ..operators.findings import as_maps, findings_from_detections
+from ..operators.findings import as_maps, event_key, findings_from_detections
 from ..operators.incidents import build_incidents
 from ..operators.responses import create_requests
 from ..operators.trust import trusted_flag
@@ -63,6 +63,5 @@ def end_to_end(packets: DataFrame, trust_store: DataFrame, created_at: str, wind
     f = f.join(preds.select("bin", "anomaly_score", "is_anomaly"), "bin", "left")
     f = trusted_flag(f, trust_store)
     f = as_maps(f, {"unknown_device": ~F.col("trusted")})
-    f = f.withColumn("event_key", F.concat_ws("|", F.col("bin").cast("string"), "device_mac",
-                                              F.coalesce("device_ip", F.lit(""))))
+    f = f.withColumn("event_key", event_key())
     return process_events(f, trust_store, created_at)

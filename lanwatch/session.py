@@ -6,8 +6,12 @@ helpers exist for tests, the bench and scripts.
 
 from __future__ import annotations
 
+import io
 import os
+import re
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -18,8 +22,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # keep small shuffles spread over the cores instead of merging them into one task
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -33,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
@@ -48,9 +51,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this application.
 
-    On a cluster ``spark.checkpoint.dir`` (or a directory already set on the
-    context) names a shared folder and is used as is.  Only when nothing is
-    set (local tests) do we create a scratch folder.
+    ``spark.checkpoint.dir`` (or a directory already set on the context) names a shared folder and is
+    used as is.  Where it is unset, only a local session (driver and executors in one process) gets
+    a scratch folder, deleted when it ends; on a cluster that would be a folder executors can't see, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,11 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="lanwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf)
-        except Exception:  # noqa: BLE001  (core conf not settable at run time: the context keeps it)
-            pass
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf = tempfile.mkdtemp(prefix="lanwatch-ckpt-")
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"file://{conf}")
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -72,6 +75,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name on the shared storage; Hadoop deletes it when the application ends."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/lanwatch-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def materialize(df):
     """Cut lineage of a small intermediate that several later steps read.
 
@@ -87,19 +98,27 @@ _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``lanwatch`` importable on executors (Python workers).
+    """Make ``lanwatch`` importable on executors (Python workers), once per application.
 
-    Zips the package into the shared checkpoint folder once per application
-    and registers it with ``addPyFile`` (what ``--py-files`` does).
+    A zip of the package is written to the shared checkpoint folder through Hadoop's file system, whatever
+    storage that is, and registered with ``addPyFile`` (what ``--py-files`` does).
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    import shutil
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"lanwatch-{sc.applicationId}")
-    if "://" in out:
-        return  # remote storage: ship with --py-files instead
-    archive = shutil.make_archive(out, "zip", root_dir=os.path.dirname(pkg), base_dir="lanwatch")
-    sc.addPyFile(archive)
+    package = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    path = sc._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark), f"lanwatch-{sc.applicationId}.zip")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    out.write(data.getvalue())
+    out.close()
+    fs.deleteOnExit(path)
+    sc.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(sc.applicationId)

@@ -47,26 +47,13 @@ FROM (
 """
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that is coarser than the cluster (one small file, one row
-    group) over all cores; a no-op for inputs that already have at least as
-    many splits as the default parallelism (any large table)."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD API, e.g. a remote session): leave as is
-        return df
-    return df.repartition(par) if parts < par else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def packets_with_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical packets plus the ground-truth ``label`` column."""
-    events = spread(table(spark, sf_dir, "events").select(
-        "event_id", "event_type", "user_id", "props"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props")
     df = spark.sql(PACKET_VIEW_SQL, events=events)
     return df.selectExpr("seq", "ts_us", "CAST(op AS INT) AS op", "src_mac",
                          "dst_mac", "src_ip", "dst_ip", "CAST(label AS INT) AS label")

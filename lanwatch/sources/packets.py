@@ -8,9 +8,10 @@ frame, so the dropped count is a query rather than a print.
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,23 +30,58 @@ def _string_schema(cols) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
 
 
-def _header(spark: SparkSession, paths) -> list[str]:
-    # Reads only the header line(s); no data scan.
-    return spark.read.option("header", True).csv(paths).columns
+def _headers(spark: SparkSession, paths) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files that have it.  The first line of every file; one row a file comes to the driver."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("i"), "value").where("b = 0")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in lines.groupBy("f").agg(F.min_by("value", "i").alias("h")).orderBy("f").collect():
+        out.setdefault(tuple(next(csv.reader([r["h"]]))), []).append(r["f"])
+    return out
+
+
+def read_csv_by_name(spark: SparkSession, paths, required, what: str) -> DataFrame:
+    """CSV files as text columns, bound by each file's own header, plus ``_file``, ``_block`` and ``_id``.
+
+    Files whose headers differ in order or in further columns are read group by group and united by
+    name; a file that lacks a required column raises.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    frames = []
+    for header, files in _headers(spark, paths).items():
+        missing = [c for c in required if c not in header]
+        if missing:
+            raise ContractError(f"{what} is missing required columns {missing}; found {list(header)} in {files[0]}")
+        raw = spark.read.option("header", True).schema(_string_schema(header)).csv(files)
+        frames.append(raw.select(*[F.col(f"`{c}`") for c in header], F.col("_metadata.file_path").alias("_file"),
+                                 F.col("_metadata.file_block_start").alias("_block"),
+                                 F.monotonically_increasing_id().alias("_id")))
+    if not frames:
+        return spark.createDataFrame([], _string_schema([*required, "_file"])).selectExpr("*", "0L AS _block", "0L AS _id")
+    return union_frames(frames)
+
+
+def with_seq(raw: DataFrame) -> DataFrame:
+    """Number the rows by (file, place in the file), however the files were split.
+
+    Each block of a file brings one row (its count and first id) into a prefix sum; a row's number is
+    what lies before its block plus its place in it.
+    """
+    blocks = raw.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")) - F.col("_first")
+    return (raw.join(blocks.withColumn("_start", start).drop("_n", "_first"), ["_file", "_block"])
+            .withColumn("seq", F.col("_start") + F.col("_id")).drop("_start", "_block", "_id"))
 
 
 def read_packet_csv(spark: SparkSession, paths, split_rejects: bool = False, keep=()):
     """ML-dialect CSV (timestamp epoch seconds, op 1/2) -> canonical packets.
 
-    Returns the clean frame, or ``(clean, rejects)`` when ``split_rejects``.
+    Returns the clean frame, or ``(clean, rejects)`` when ``split_rejects``.  ``seq`` numbers the rows
+    by file and place in it.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    found = _header(spark, paths)
-    missing = [c for c in ML_PACKET_COLUMNS if c not in found]
-    if missing:
-        raise ContractError(f"packet CSV is missing required columns {missing}; found {found}")
-    raw = (spark.read.option("header", True).schema(_string_schema(found)).csv(paths)
-           .withColumn("seq", F.monotonically_increasing_id()))
+    raw = with_seq(read_csv_by_name(spark, paths, ML_PACKET_COLUMNS, "packet CSV")).drop("_file")
     return apply_packet_contract(raw, split_rejects, keep)
 
 
@@ -109,10 +145,12 @@ def canonical_to_capture(packets: DataFrame, keep=()) -> DataFrame:
     )
 
 
-def read_capture_csv(spark: SparkSession, paths) -> DataFrame:
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.option("header", True).schema(_string_schema(CAPTURE_COLUMNS)).csv(paths)
-            .select(*[_na(c).alias(c) for c in CAPTURE_COLUMNS]))
+def read_capture_csv(spark: SparkSession, paths, number: bool = False) -> DataFrame:
+    """Capture files, columns by name; ``number`` adds ``seq``, the row's place in the ordered files."""
+    raw = read_csv_by_name(spark, paths, CAPTURE_COLUMNS, "capture CSV")
+    if number:
+        raw = with_seq(raw)
+    return raw.select(*(["seq"] if number else []), *[_na(c).alias(c) for c in CAPTURE_COLUMNS])
 
 
 def read_sessions(spark: SparkSession, paths, fmt: str = "csv", columns=None) -> tuple[DataFrame, DataFrame]:
@@ -123,11 +161,12 @@ def read_sessions(spark: SparkSession, paths, fmt: str = "csv", columns=None) ->
     One scan serves all files; the count is a group-by on the file name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if fmt == "csv":
-        df = spark.read.option("header", True).csv(paths)
-    else:
-        df = spark.read.format(fmt).load(paths)
     cols = columns or CAPTURE_COLUMNS
+    if fmt == "csv":
+        recs = (read_csv_by_name(spark, paths, cols, "session file")
+                .select(*cols, F.element_at(F.split("_file", "/"), -1).alias("session_file")))
+        return recs, recs.groupBy("session_file").agg(F.count(F.lit(1)).alias("records"))
+    df = spark.read.format(fmt).load(paths)
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ContractError(f"sessions miss columns {missing}")

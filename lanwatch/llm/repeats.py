@@ -49,6 +49,7 @@ GRAM = 16
 LIMIT = 4096
 PART_BITS = 33          # a row number is part << 33 | place, as monotonically_increasing_id gives it
 FAR = 1 << 30
+FLUSH = 4096            # rows that a pass gathers before it hands them on
 
 CONTEXT = "core long, content long, row long, lo int, left int, n int"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -132,20 +133,29 @@ def _covered(starts: np.ndarray) -> list[tuple[int, int]]:
 
 # ---- passes over the texts -------------------------------------------------------------------
 
-@lru_cache(maxsize=4)
-def _side(folder: str, part: int) -> dict[int, list]:
-    """The side table's rows for one part of the texts, by row number."""
+@lru_cache(maxsize=1)
+def _side(folder: str, part: int) -> tuple[np.ndarray, pa.Table | None]:
+    """The side table's rows for one part of the texts, in order of row number, and these numbers."""
     import pyarrow.parquet as pq
     from pyarrow import fs
     store, path = _files(f"{folder}/part={part}")
-    out: dict[int, list] = {}
+    tables = []
     if store.get_file_info(path).type != fs.FileType.NotFound:
         for f in store.get_file_info(fs.FileSelector(path)):
             if f.path.endswith(".parquet"):
                 with store.open_input_file(f.path) as file:
-                    for r in pq.read_table(file).to_pylist():
-                        out.setdefault(r["row"], []).append(r)
-    return out
+                    tables.append(pq.read_table(file))
+    if not tables:
+        return np.zeros(0, np.int64), None
+    t = pa.concat_tables(tables).sort_by("row").combine_chunks()
+    return t.column("row").to_numpy(), t
+
+
+def _beside(folder: str, row: int) -> list[dict]:
+    """The side table's rows of one text."""
+    rows, t = _side(folder, row >> PART_BITS)
+    a, b = np.searchsorted(rows, [row, row + 1])
+    return t.slice(a, b - a).to_pylist() if b > a else []
 
 
 def _aside(df: DataFrame, name: str) -> str:
@@ -164,10 +174,17 @@ def _each(texts: DataFrame, make, schema: str) -> DataFrame:
     """Rows ``make(row, doc_id, raw)`` of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [x for row, d, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _encoded(b.column(2)), strict=True)
-                   for x in make(row, d, raw)]
+            out = []
+            for row, d, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _encoded(b.column(2)), strict=True):
+                out.extend(make(row, d, raw))
+                if len(out) >= FLUSH:
+                    yield batch(out)
+                    out = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), target, strict=True)], schema=target)
+                yield batch(out)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
     target = pa.schema([(n, _TYPES[t]) for n, t in (c.split() for c in schema.split(", "))])
     return texts.select("row", "doc_id", "text").mapInArrow(run, schema)
@@ -199,7 +216,7 @@ def remove_repeats(docs: DataFrame, limit: int | None = None) -> DataFrame:
     def cut(row: int, doc_id, raw: bytes):
         kept, at, removed, runs = hashlib.sha256(), 0, 0, 0
         view, stop = memoryview(raw), -1
-        for s in (x for r in _side(folder, row >> PART_BITS).get(row, []) for x in r["spans"]):
+        for s in (x for r in _beside(folder, row) for x in r["spans"]):
             if s["a"] > stop:
                 kept.update(view[at:s["a"]])
                 runs += 1
@@ -216,7 +233,7 @@ def _merged(texts: DataFrame, contexts_: DataFrame) -> DataFrame:
     folder, buckets = _aside(contexts_, "merge"), max(1, -(-contexts_.count() // LIMIT))
 
     def ship(row: int, _, raw: bytes):
-        return [(r["core"], r["content"], r["left"], r["n"], raw[r["lo"]:r["lo"] + r["n"] + LENGTH - 1]) for r in _side(folder, row >> PART_BITS).get(row, [])]
+        return [(r["core"], r["content"], r["left"], r["n"], raw[r["lo"]:r["lo"] + r["n"] + LENGTH - 1]) for r in _beside(folder, row)]
 
     def merge(t: pa.Table) -> pa.Table:
         core, left, n = [t.column(c).to_numpy().astype(np.int64) for c in ("core", "left", "n")]
@@ -235,7 +252,7 @@ def _counted(texts: DataFrame, contexts_: DataFrame) -> DataFrame:
     folder = _aside(contexts_, "count")
 
     def strings(row: int, _, raw: bytes):
-        for r in _side(folder, row >> PART_BITS).get(row, []):
+        for r in _beside(folder, row):
             for c in range(r["n"]):
                 d = xxhash.xxh3_128_digest(raw[r["lo"] + c:r["lo"] + c + LENGTH])
                 yield r["core"], r["content"], c, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE = 500_000
-SLICE_BYTES = 32 << 20     # text that is worked on at once
+SLICE_BYTES = 12 << 20     # text that is worked on at once
 
 
 def default_path() -> str:
@@ -36,46 +36,55 @@ class WordEncoder:
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.cache: dict[str, np.ndarray] = {}
-        self.marks = {m: self._each([m])[0] for m in ",."}
+        self.type = np.dtype(np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
+        self.cache: dict[str, bytes] = {}        # ids as bytes take a third of what small arrays do
+        self.marks = {"": b""} | {m: self._each([m])[0].tobytes() for m in ",."}
 
     def _each(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.type) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _stems(self, stems: list[str]) -> None:
         """Encode words of letters alone: one string, cut where a word ends."""
         ids = self._each([" ".join(stems)])[0]
-        ends = np.flatnonzero(self.ends[ids]) + 1
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.type.itemsize).tolist()
         if len(ends) != len(stems):      # a letter that the tokenizer doesn't take as one
-            self.cache.update(zip(stems, self._each(stems), strict=True))
+            self.cache.update(zip(stems, (x.tobytes() for x in self._each(stems)), strict=True))
         else:
-            self.cache.update(zip(stems, np.split(ids, ends[:-1]), strict=True))
+            raw = ids.tobytes()
+            self.cache.update(zip(stems, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
 
-    def words(self, words: list[str]) -> list[np.ndarray]:
+    def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word; a word of letters, perhaps with a comma or full stop, goes by its stem."""
-        keys = []
+        stems, ends = [], []
         for w in words:
-            stem, mark = (w[:-1], w[-1]) if w[-1:] in (",", ".") and len(w) > 1 else (w, "")
-            keys.append((stem, mark) if stem.isalpha() and "İ" not in stem else (w, None))
-        new = {s for s, _ in keys}.difference(self.cache)
+            mark = w[-1:] if w[-1:] in (",", ".") and len(w) > 1 else ""
+            stem = w[:-1] if mark else w
+            if not (stem.isalpha() and "İ" not in stem):
+                stem, mark = w, ""
+            stems.append(stem)
+            ends.append(mark)
+        new = set(stems).difference(self.cache)
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
-            new = {s for s, _ in keys}
+            new = set(stems)
         if new:
             letters = [s for s in new if s.isalpha() and "İ" not in s]
             others = [s for s in new if not (s.isalpha() and "İ" not in s)]
             if letters:
                 self._stems(letters)
-            self.cache.update(zip(others, self._each(others), strict=True))
+            self.cache.update(zip(others, (x.tobytes() for x in self._each(others)), strict=True))
         get, marks = self.cache.__getitem__, self.marks
-        return [np.concatenate((get(s), marks[m])) if m else get(s) for s, m in keys]
+        return [get(s) + marks[m] for s, m in zip(stems, ends, strict=True)]
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, where each text's begin, with the end).  No text is null."""
+        """(ids of all texts in a row, where each text's begin, with the end).  No text is null.
+
+        Ids have 16 bits if the vocabulary allows.
+        """
         texts = texts.cast(pa.large_string())        # before slicing: kernels misread a cast slice
         parts = [self._slice(texts.slice(a, b - a)) for a, b in _slices(texts)]
         if not parts:
-            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+            return np.zeros(0, self.type), np.zeros(1, np.int64)
         counts = np.concatenate([c for _, c in parts])
         return np.concatenate([i for i, _ in parts]), np.concatenate(([0], np.cumsum(counts)))
 
@@ -94,14 +103,16 @@ class WordEncoder:
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         each = self.words(coded.dictionary.to_pylist())
-        size = np.array([len(x) for x in each], np.int64)
-        flat = np.concatenate(each) if each else np.zeros(0, np.uint32)
-        at = np.concatenate(([0], np.cumsum(size)))[:-1]
+        size = np.fromiter(map(len, each), np.int32, len(each)) // self.type.itemsize
+        flat = np.frombuffer(b"".join(each), self.type)
+        at = np.cumsum(size, dtype=np.int32) - size
         index = coded.indices.to_numpy()
-        n = size[index] if len(index) else np.zeros(0, np.int64)
-        upto = np.concatenate(([0], np.cumsum(n)))
-        ids = flat[np.repeat(at[index] - upto[:-1], n) + np.arange(upto[-1])] if len(index) else flat[:0]
-        counts = upto[bounds[1:]] - upto[bounds[:-1]]
+        n = size[index]
+        upto = np.concatenate((np.zeros(1, np.int32), np.cumsum(n, dtype=np.int32)))
+        take = np.repeat(at[index] - upto[:-1], n)
+        take += np.arange(upto[-1], dtype=np.int32)
+        ids = flat[take]
+        counts = (upto[bounds[1:]] - upto[bounds[:-1]]).astype(np.int64)
         if len(rare):
             where = np.concatenate(([0], np.cumsum(counts)))
             pieces = np.split(ids, where[1:-1])

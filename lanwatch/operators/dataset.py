@@ -95,31 +95,34 @@ def inject_anomalies(records: DataFrame, n: int = 4000, seed: int = 42,
                      key: str = "seq") -> DataFrame:
     """``n`` labelled spoof rows.
 
-    Draw ``i`` picks a source row uniformly with replacement and replaces its
-    sender MAC by a different MAC observed in the data (uniform over the
-    others), sets the operation to reply and labels it 1.  Draws and MAC
-    choices come from seeded hashes, so the output is repeatable.  The draw
-    table has ``n`` rows (a parameter), everything else is an equi-join.
+    Draw ``i`` picks a source row uniformly with replacement and replaces its sender MAC by another one
+    of the data, sets the operation to reply and labels it 1.  The draws' row numbers are ranked
+    among themselves; rank ``k`` stands for the row with the ``k``-th smallest seeded hash, so only the ``n`` rows
+    (and ``n + 1`` MACs) of least hash are kept, by a bounded top-n in every partition; nothing else is sorted.
     """
     spark = records.sparkSession
-    rows = _dense_index(records, key, "_row")
-    n_rows = rows.count()
-    macs = _dense_index(records.select("src_mac").where(F.col("src_mac").isNotNull()).distinct(),
-                        "src_mac", "_mac")
-    n_macs = macs.count()
+    n_rows = records.count()
+    senders = records.select("src_mac").where(F.col("src_mac").isNotNull()).distinct()
+    n_macs = senders.count()
     if n_rows == 0 or n_macs < 2:
         raise ValueError("need at least one record and two distinct sender MACs")
+    number = lambda cols: F.row_number().over(Window.orderBy(*cols)) - 1  # noqa: E731  over at most n + 1 rows
+    pool = (records.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), F.lit("row"))).orderBy("_h", key).limit(n)
+            .withColumn("_row", number(["_h", key])).drop("_h"))
+    macs = (senders.withColumn("_h", F.xxhash64("src_mac", F.lit(seed), F.lit("mac"))).orderBy("_h", "src_mac").limit(n + 1)
+            .select(F.col("src_mac").alias("_spoof"), number(["_h", "src_mac"]).alias("_mac")))
+    kept_macs = min(n + 1, n_macs)
     draws = spark.range(n).select(
         F.col("id").alias("draw"),
-        F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit("row")), F.lit(n_rows)).alias("_row"),
-        F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit("mac")), F.lit(n_macs - 1)).alias("_pick"),
-    )
-    picked = draws.join(rows, "_row").join(
-        macs.select(F.col("src_mac"), F.col("_mac").alias("_own")), "src_mac", "left")
-    picked = picked.withColumn(
-        "_mac", F.when(F.col("_own").isNotNull() & (F.col("_pick") >= F.col("_own")), F.col("_pick") + 1)
-        .otherwise(F.col("_pick")))
-    out = picked.join(macs.withColumnRenamed("src_mac", "_spoof"), "_mac")
+        F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit("row")), F.lit(n_rows)).alias("_at"),
+        F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit("mac")), F.lit(kept_macs)).alias("_pick"))
+    draws = draws.withColumn("_row", F.dense_rank().over(Window.orderBy("_at")) - 1)
+    picked = draws.join(pool, "_row")
+    # a draw that meets the row's own MAC takes the next one
+    own = macs.select(F.col("_spoof").alias("_own"), F.col("_mac").alias("_own_at"))
+    picked = picked.join(own, F.col("src_mac") == F.col("_own"), "left").withColumn(
+        "_mac", F.when(F.col("_own_at") == F.col("_pick"), (F.col("_pick") + 1) % kept_macs).otherwise(F.col("_pick")))
+    out = picked.join(macs, "_mac")
     return out.select(
         "draw", *[c for c in records.columns if c not in ("src_mac", "op")],
         F.col("_spoof").alias("src_mac"), F.lit(2).alias("op"),

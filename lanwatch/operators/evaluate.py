@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
+
 LABEL_CODINGS = ("plus_minus", "zero_one")
 HIST_BINS = 30
 
@@ -24,6 +26,8 @@ def score_distribution(preds: DataFrame) -> DataFrame:
     s = F.col("anomaly_score").cast("double")
     n = F.count(F.lit(1))
     anomalies = F.count_if(F.col("anomaly_prediction") == -1)
+    median, q25, q75 = exact_quantiles(preds, "anomaly_score", [0.5, 0.25, 0.75])
+    fixed = lambda q: _r(F.lit(q).cast("double"), 6)
     return preds.agg(
         n.alias("total_samples"),
         F.count_if(F.col("anomaly_prediction") == 1).alias("normal_count"),
@@ -31,9 +35,7 @@ def score_distribution(preds: DataFrame) -> DataFrame:
         _r(anomalies / F.greatest(n, F.lit(1)), 4).alias("anomaly_rate"),
         _r(F.avg(s), 6).alias("mean"), _r(F.stddev_pop(s), 6).alias("std"),
         _r(F.min(s), 6).alias("min"), _r(F.max(s), 6).alias("max"),
-        _r(F.percentile(s, 0.5), 6).alias("median"),
-        _r(F.percentile(s, 0.25), 6).alias("q25"), _r(F.percentile(s, 0.75), 6).alias("q75"),
-    )
+    ).select("*", fixed(median).alias("median"), fixed(q25).alias("q25"), fixed(q75).alias("q75"))
 
 
 def class_score_stats(preds: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.quantiles import exact_quantiles
 from ..schema import (FOREST_CONTAMINATION, FOREST_MAX_SAMPLES, FOREST_SEED, FOREST_TREES,
                       MODEL_FEATURES, require_columns)
 
@@ -198,7 +199,7 @@ def fit_isolation_forest(df: DataFrame, features=None, key: str = "window_start"
              .toPandas().sort_values(["tree", "node"]).reset_index(drop=True))
     model = ForestModel(features, psi, n_trees, contamination, seed, n, 0.0, nodes)
     scored = score_samples(data, model)
-    model.offset = float(scored.agg(F.percentile("_score", contamination)).first()[0])
+    model.offset = exact_quantiles(scored, "_score", [contamination])[0]
     return model
 
 

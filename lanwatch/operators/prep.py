@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..schema import MODEL_FEATURES, require_columns
 from .features import feature_summary
 
@@ -35,8 +36,7 @@ def fit_medians(df: DataFrame, cols=None) -> dict[str, float]:
     need = [c for c in cols if gaps[c] > 0]
     if not need:
         return {}
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in need]).first()
-    return {c: row[c] for c in need}
+    return {c: exact_quantiles(df, c, [0.5])[0] for c in need}
 
 
 def median_impute(df: DataFrame, cols=None, medians: dict[str, float] | None = None) -> DataFrame:

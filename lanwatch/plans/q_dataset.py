@@ -134,8 +134,7 @@ def record_type_distribution(spark, sf_dir):
 
 @register("anomaly_injection")  # seeded hash draws: rows-only check + pytest properties
 def anomaly_injection(spark, sf_dir):
-    normal = S.canonical_to_capture(fixture.packets(spark, sf_dir)) \
-        .withColumn("seq", F.monotonically_increasing_id())
+    normal = S.canonical_to_capture(fixture.packets_with_label(spark, sf_dir).where("label = 0"), keep=["seq"])
     recs = normal.select("seq", "timestamp", F.col("sender_ip"), F.col("sender_mac").alias("src_mac"),
                          "target_ip", "target_mac", F.lit(1).alias("op"))
     out = N.inject_anomalies(recs, n=4000, seed=42)
@@ -145,6 +144,22 @@ def anomaly_injection(spark, sf_dir):
                       "label", "record_type")
 
 
+@register("anomaly_injection_check", """
+SELECT 4000 AS rows, 4000 AS spoofed, 4000 AS known_macs, 4000 AS normal_sources, 4000 AS labelled""")
+def anomaly_injection_check(spark, sf_dir):
+    """N7's properties: every row is a normal record whose MAC became another known one, a labelled reply."""
+    normal = fixture.packets_with_label(spark, sf_dir).where("label = 0").drop("label")
+    out = N.inject_anomalies(normal, n=4000, seed=42)
+    source = normal.select("seq", F.col("src_mac").alias("own"), F.col("src_ip").alias("own_ip"), F.col("ts_us").alias("own_ts"))
+    macs = normal.select(F.col("src_mac").alias("known")).distinct()
+    x = (out.join(source, "seq", "left").join(macs, F.col("src_mac") == F.col("known"), "left"))
+    return x.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("src_mac") != F.col("own")).alias("spoofed"),
+                 F.count("known").alias("known_macs"),
+                 F.count_if((F.col("own_ip") == F.col("src_ip")) & (F.col("own_ts") == F.col("ts_us"))).alias("normal_sources"),
+                 F.count_if((F.col("label") == 1) & (F.col("op") == 2)
+                            & (F.col("record_type") == "simulated_attack")).alias("labelled"))
+
+
 @register("packet_features", """
 SELECT seq,
        CASE WHEN op = 1 THEN 0 WHEN op = 2 THEN 1 END AS operation,

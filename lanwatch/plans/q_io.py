@@ -17,6 +17,7 @@ from ..sources import fixture
 from ..sources import packets as S
 from ..sources import sinks as K
 from .catalog import register
+from .q_ml import _CONF
 from .q_risk import _FINDINGS, _TRUST, _incidents, trust_store
 from .q_rules import _ALL
 
@@ -82,7 +83,10 @@ def artifact_roundtrip(spark, sf_dir):
         preds.select("window_start", "anomaly_score"), "window_start")
 
 
-@register("metrics_sink")
+@register("metrics_sink", """
+SELECT 'supervised' AS evaluation_mode, n AS total_samples, tn AS true_negative, fp AS false_positive,
+       fn AS false_negative, tp AS true_positive, round(p1, 4) AS precision, round(r1, 4) AS recall,
+       round(f1, 4) AS f1_score, round(fp / greatest(fp + tn, 1), 4) AS false_positive_rate FROM m2""", _CONF)
 def metrics_sink(spark, sf_dir):
     """Evaluation metrics written as one JSON document and read back."""
     from ..operators import evaluate as E

@@ -243,3 +243,38 @@ SELECT 'supervised' AS evaluation_mode, n AS total_samples, tn AS true_negative,
        round(f1, 4) AS f1_score, round(fp / greatest(fp + tn, 1), 4) AS false_positive_rate FROM m2""", _CONF)
 def evaluate_auto(spark, sf_dir):
     return E.evaluate(_rule_preds(spark, sf_dir), label_coding="zero_one")
+
+
+@register("evaluate_unsupervised", """
+SELECT 'unsupervised' AS evaluation_mode, count(*) AS total_samples,
+       count(*) FILTER (WHERE anomaly_prediction = -1) AS anomaly_count,
+       round(count(*) FILTER (WHERE anomaly_prediction = -1) / greatest(count(*), 1), 4) AS anomaly_rate,
+       round(quantile_cont(anomaly_score, 0.5), 6) + 0.0 AS median,
+       round(quantile_cont(anomaly_score, 0.75), 6) + 0.0 AS q75 FROM preds""", _RP)
+def evaluate_unsupervised(spark, sf_dir):
+    """E7 without labels: the score distribution."""
+    d = E.evaluate(_rule_preds(spark, sf_dir).drop("label"))
+    return d.select("evaluation_mode", "total_samples", "anomaly_count", "anomaly_rate", _z("median").alias("median"), _z("q75").alias("q75"))
+
+
+@register("forest_check", """
+SELECT count(*) AS windows, count(*) AS scored, true AS share_holds, true AS signs_agree, true AS summary_agrees,
+       count(*) AS loaded_alike FROM wf""", _BINNED)
+def forest_check(spark, sf_dir):
+    """M1-M6 and S10 by their properties: every window is scored, the flagged share is the contamination, signs
+    and flags agree, M6's summary counts them, and the saved and loaded model scores alike."""
+    from ..session import scratch
+    feats, params, model, preds = _chain(spark, sf_dir)
+    preds = materialize(preds)
+    path = scratch(spark, "model")
+    M.save_model(model, spark, path)
+    again = M.predict(M.load_model(spark, path), feats, scaler=params).select("window_start", F.col("anomaly_score").alias("again"))
+    summary, _ = M.predict_summary(preds)
+    flagged = F.count_if("is_anomaly")
+    x = preds.join(again, "window_start").agg(
+        F.count(F.lit(1)).alias("windows"), F.count_if(~F.isnan("anomaly_score")).alias("scored"),
+        (flagged <= F.ceil(F.count(F.lit(1)) * model.contamination)).alias("share_holds"),
+        F.bool_and((F.col("anomaly_prediction") == -1) == F.col("is_anomaly")).alias("signs_agree"),
+        flagged.alias("flagged"), F.count_if(F.abs(F.col("again") - F.col("anomaly_score")) < 1e-9).alias("loaded_alike"))
+    return (x.join(summary.select("samples", "anomalous"), (F.col("samples") == F.col("windows")) & (F.col("anomalous") == F.col("flagged")), "left")
+            .select("windows", "scored", "share_holds", "signs_agree", F.col("samples").isNotNull().alias("summary_agrees"), "loaded_alike"))

@@ -252,6 +252,35 @@ def response_workflow(spark, sf_dir):
         F.coalesce("errors", F.lit(0)).alias("errors"))
 
 
+@register("response_rejects", """
+SELECT request_id, 'REJECTED' AS status, 'admin' AS approved_by, 2 AS errors,
+       'Unsupported defensive action: SHUT_DOWN' AS unsupported FROM req""", _REQ)
+def response_rejects(spark, sf_dir):
+    """Q2/Q3: an action outside the list is refused; a rejected request can't be approved or executed."""
+    reqs = _requests(spark, sf_dir)
+    _, refused = Q.validate_actions(reqs.withColumn("action", F.lit("shut_down")))
+    at = F.lit("2024-01-03T12:00:00+00:00").alias("at")
+    cmds = reqs.select("request_id", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("order"), F.lit(c).alias("command"), F.lit("admin").alias("admin"), at)
+        for k, c in enumerate(("reject", "approve", "execute"), 1)])).alias("c")).select("request_id", "c.*")
+    state, errors = Q.apply_commands(reqs, cmds)
+    n_err = errors.groupBy("request_id").agg(F.count(F.lit(1)).cast("int").alias("errors"))
+    return (state.join(n_err, "request_id").join(refused.select("request_id", F.col("error").alias("unsupported")), "request_id")
+            .select("request_id", "status", "approved_by", "errors", "unsupported"))
+
+
+@register("end_to_end_check", """
+SELECT count(*) AS incidents, count(*) AS distinct_ids, count(*) AS levels_follow_scores FROM fnd""", _FINDINGS)
+def end_to_end_check(spark, sf_dir):
+    """X1 by its properties: one incident for each finding, ids distinct, levels by score."""
+    p = fixture.packets(spark, sf_dir)
+    _, incidents, _ = service.end_to_end(p, trust_store(spark, sf_dir), CREATED)
+    score = F.col("details.risk.score")
+    level = F.when(score < 25, "LOW").when(score < 50, "MEDIUM").when(score < 75, "HIGH").otherwise("CRITICAL")
+    return incidents.agg(F.count(F.lit(1)).alias("incidents"), F.count_distinct("incident_id").alias("distinct_ids"),
+                         F.count_if(F.col("severity") == level).alias("levels_follow_scores"))
+
+
 # ----------------------------------------------------------------- X1 (rows-only: forest inside)
 
 @register("end_to_end")

@@ -269,3 +269,23 @@ def alert_routing(spark, sf_dir):
 @register("detection_json")  # JSON text formatting differs between engines: rows-only + pytest
 def detection_json(spark, sf_dir):
     return H.detection_json(_dets(spark, sf_dir))
+
+
+@register("detection_json_fields", """
+SELECT detection_id, event_type, severity, device_ip AS ip, device_mac AS mac, ts_us FROM dets""", _ALL)
+def detection_json_fields(spark, sf_dir):
+    """H5: the JSON documents, parsed again field by field."""
+    doc = F.from_json("json", "detection_id string, event_type string, severity string, timestamp string, "
+                              "affected_device struct<ip:string,mac:string>")
+    d = H.detection_json(_dets(spark, sf_dir)).select(doc.alias("d"))
+    return d.select("d.detection_id", "d.event_type", "d.severity", "d.affected_device.ip", "d.affected_device.mac",
+                    F.unix_micros(F.to_timestamp("d.timestamp")).alias("ts_us"))
+
+
+@register("history_clear", """
+SELECT 'before' AS moment, count(*) AS detections FROM dets UNION ALL SELECT 'after', 0""", _ALL)
+def history_clear(spark, sf_dir):
+    """H6: the history before and after it is cleared."""
+    dets = _dets(spark, sf_dir)
+    size = lambda df, name: df.agg(F.lit(name).alias("moment"), F.count(F.lit(1)).alias("detections"))
+    return size(dets, "before").union(size(H.clear_history(dets), "after"))

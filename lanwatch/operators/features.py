@@ -4,8 +4,8 @@ Windows are anchored at the first packet and half-open ``[start, start+w)``;
 every window between the first and one past the last packet is emitted, empty
 ones with all features 0.  The grid is ``ceil(span / w) + 1`` windows long.
 
-Plan: one integer bin per packet, then a chain of pre-aggregated group-bys
-(bin, mac, ip) -> (bin, mac) -> (bin).  No ``collect_set``: a busy window never
+Plan: one integer bin per packet, then a chain of pre-aggregated group-bys over one scan:
+(bin, mac, ip) with (bin, target), then the distinct MACs and addresses of a bin, then the bin.  No ``collect_set``: a busy window never
 builds an array, and every level is partially aggregated before its shuffle,
 so a window that holds a third of all packets costs one row per
 (mac, ip) pair in the shuffle, not one per packet.
@@ -43,38 +43,44 @@ def with_bin(packets: DataFrame, lo: int, w_us: int) -> DataFrame:
 
 def _window_aggregates(binned: DataFrame) -> DataFrame:
     """Per non-empty bin: the ten features (no grid)."""
-    lvl1 = binned.groupBy("bin", "src_mac", "src_ip").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("op") == 1).alias("n_req"),
-        F.count_if(F.col("op") == 2).alias("n_rep"),
-    )
-    lvl2 = lvl1.groupBy("bin", "src_mac").agg(
-        F.sum("n").alias("n"), F.sum("n_req").alias("n_req"),
-        F.sum("n_rep").alias("n_rep"), F.count(F.lit(1)).alias("n_ips"),
-    )
+    # one scan: every packet brings its sender pair and its target address, told apart by ``kind``
+    none = F.lit(None).cast("string")
+    lvl1 = (binned.select("bin", "op", F.explode(F.array(
+                F.struct(F.lit("sender").alias("kind"), F.col("src_mac").alias("mac"), F.col("src_ip").alias("ip")),
+                F.struct(F.lit("target").alias("kind"), none.alias("mac"), F.col("dst_ip").alias("ip")))).alias("x"))
+            .select("bin", "op", "x.*").where("kind = 'sender' OR ip IS NOT NULL")
+            .groupBy("bin", "kind", "mac", "ip").agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count_if(F.col("op") == 1).alias("n_req"),
+                F.count_if(F.col("op") == 2).alias("n_rep")))
+    # the distinct MACs (with their packets), sender IPs and target IPs of each window
+    zero = F.lit(0).cast("long")
+    lvl2 = (lvl1.select("bin", F.explode(F.when(F.col("kind") == "sender", F.array(
+                F.struct(F.lit("mac").alias("kind"), F.col("mac").alias("key"), "n", "n_req", "n_rep", F.lit(1).cast("long").alias("pairs")),
+                F.struct(F.lit("source").alias("kind"), F.col("ip").alias("key"), zero.alias("n"), zero.alias("n_req"),
+                         zero.alias("n_rep"), zero.alias("pairs")))).otherwise(F.array(
+                F.struct(F.lit("target").alias("kind"), F.col("ip").alias("key"), zero.alias("n"), zero.alias("n_req"),
+                         zero.alias("n_rep"), zero.alias("pairs"))))).alias("x"))
+            .select("bin", "x.*").groupBy("bin", "kind", "key")
+            .agg(*[F.sum(c).alias(c) for c in ("n", "n_req", "n_rep", "pairs")]))
     lvl3 = lvl2.groupBy("bin").agg(
         F.sum("n").alias("total"),
         F.sum("n_req").alias("arp_request_count"),
         F.sum("n_rep").alias("arp_reply_count"),
-        F.count(F.lit(1)).alias("unique_src_macs"),
-        F.sum("n_ips").alias("ip_mac_pair_count"),
+        F.count_if(F.col("kind") == "mac").alias("unique_src_macs"),
+        F.count_if(F.col("kind") == "source").alias("unique_src_ips"),
+        F.count_if(F.col("kind") == "target").alias("unique_dst_ips"),
+        F.sum("pairs").alias("ip_mac_pair_count"),
         F.max("n").alias("max_packets_per_mac"),
     )
-    src_ips = (lvl1.groupBy("bin", "src_ip").agg(F.count(F.lit(1)).alias("_c"))
-               .groupBy("bin").agg(F.count(F.lit(1)).alias("unique_src_ips")))
-    dst_ips = (binned.where(F.col("dst_ip").isNotNull())
-               .groupBy("bin", "dst_ip").agg(F.count(F.lit(1)).alias("_c"))
-               .groupBy("bin").agg(F.count(F.lit(1)).alias("unique_dst_ips")))
     req = F.col("arp_request_count")
     rep = F.col("arp_reply_count")
     return (
-        lvl3.join(src_ips, "bin", "left").join(dst_ips, "bin", "left")
-        .select(
+        lvl3.select(
             "bin", "total", "arp_request_count", "arp_reply_count",
             F.round(rep / F.greatest(req, F.lit(1)), 6).alias("reply_request_ratio"),
             "unique_src_macs", "unique_src_ips",
-            F.coalesce("unique_dst_ips", F.lit(0).cast("long")).alias("unique_dst_ips"),
-            "ip_mac_pair_count", "max_packets_per_mac",
+            "unique_dst_ips", "ip_mac_pair_count", "max_packets_per_mac",
             (F.col("ip_mac_pair_count") - F.col("unique_src_macs")).alias("mac_ip_change_count"),
             F.round(F.greatest(rep - req, F.lit(0)) / F.greatest(F.col("total"), F.lit(1)), 6)
             .alias("unsolicited_reply_ratio"),
@@ -84,17 +90,18 @@ def _window_aggregates(binned: DataFrame) -> DataFrame:
 
 def engineer_features(packets: DataFrame, window_seconds: float = DEFAULT_WINDOW_SECONDS,
                       max_windows: int | None = None, include_bin: bool = False,
-                      anchor: str = "first") -> DataFrame:
+                      anchor: str = "first", bounds: tuple | None = None) -> DataFrame:
     """One row per window, ``window_start`` in epoch seconds (double).
 
     ``anchor="first"`` starts the grid at the first packet (documented
     behaviour); ``anchor="epoch"`` aligns it to multiples of the window, as
-    streaming windows are.  ``max_windows`` (none by default) makes a longer grid an error.
+    streaming windows are.  ``bounds`` (``time_bounds`` of the packets) saves a scan if the caller has
+    them.  ``max_windows`` (none by default) makes a longer grid an error.
     """
     require_columns(packets, ["ts_us", "op", "src_mac", "src_ip", "dst_ip"], "packets")
     spark: SparkSession = packets.sparkSession
     w_us = int(round(window_seconds * US))
-    lo, hi, _ = time_bounds(packets)
+    lo, hi, _ = bounds or time_bounds(packets)
     if lo is not None and anchor == "epoch":
         lo = lo - lo % w_us
     cols = (["bin"] if include_bin else []) + WINDOW_COLUMNS

@@ -156,9 +156,9 @@ risk AS (SELECT bin, window_start, device_mac, device_ip, trusted,
 
 def _findings(spark, sf_dir):
     p = fixture.packets(spark, sf_dir)
-    lo, _, _ = W.time_bounds(p)
-    wf = W.engineer_features(p, include_bin=True)
-    return findings_from_detections(R.run_rules(p), p, lo, wf)
+    bounds = W.time_bounds(p)
+    wf = W.engineer_features(p, include_bin=True, bounds=bounds)
+    return findings_from_detections(R.run_rules(p), p, bounds[0], wf)
 
 
 @register("findings_from_detections", f"""

@@ -40,10 +40,10 @@ def process_events(events: DataFrame, trust_store: DataFrame, created_at: str,
     return ev, incidents, requests
 
 
-def ml_chain(packets: DataFrame, window_seconds: float = 30, **forest_kw):
+def ml_chain(packets: DataFrame, window_seconds: float = 30, bounds: tuple | None = None, **forest_kw):
     """Features -> impute -> scale -> fit -> predict (unscaled input + scaler)."""
     # one row per window, read by every fitting step: computed once
-    feats = materialize(W.engineer_features(packets, window_seconds, include_bin=True))
+    feats = materialize(W.engineer_features(packets, window_seconds, include_bin=True, bounds=bounds))
     feats = P.median_impute(feats)
     params = P.scaler_params(P.fit_scaler(feats))
     scaled = P.transform_scaler(feats, params)
@@ -55,11 +55,11 @@ def ml_chain(packets: DataFrame, window_seconds: float = 30, **forest_kw):
 def end_to_end(packets: DataFrame, trust_store: DataFrame, created_at: str, window_seconds: float = 30,
                semantics: str = "documented", gateways=None, **forest_kw):
     """X1 from packets: returns (assessed, incidents, requests)."""
-    lo, _, _ = W.time_bounds(packets)
-    feats, _, _, preds = ml_chain(packets, window_seconds, **forest_kw)
+    bounds = W.time_bounds(packets)
+    feats, _, _, preds = ml_chain(packets, window_seconds, bounds, **forest_kw)
     preds = materialize(preds)
     dets = R.run_rules(packets, gateways=gateways, semantics=semantics)
-    f = findings_from_detections(dets, packets, lo, feats, window_seconds)
+    f = findings_from_detections(dets, packets, bounds[0], feats, window_seconds)
     f = f.join(preds.select("bin", "anomaly_score", "is_anomaly"), "bin", "left")
     f = trusted_flag(f, trust_store)
     f = as_maps(f, {"unknown_device": ~F.col("trusted")})

@@ -49,13 +49,15 @@ def validate_actions(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def create_requests(incidents: DataFrame, created_at: str, start_number: int = 0,
-                    order_cols=("incident_id",), action: str = DEFAULT_ACTION) -> DataFrame:
+                    order_cols=("incident_id",), action: str = DEFAULT_ACTION,
+                    existing: DataFrame | None = None) -> DataFrame:
     """Q1: one PENDING request per HIGH/CRITICAL incident, ids ``resp-<n>``.
 
-    Numbers continue after ``start_number`` (the size of the existing
-    request table) in ``order_cols`` order; the numbering is a distributed
+    Numbers continue after the rows of ``existing``, the stored request table, or after ``start_number``, in ``order_cols`` order; the numbering is a distributed
     dense index, not a single-task window.
     """
+    if existing is not None:
+        start_number = existing.count()
     alerts = incidents.where(F.col("severity").isin("HIGH", "CRITICAL")).select(
         *[c for c in order_cols if c != "incident_id"],
         "incident_id",

@@ -25,6 +25,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.mac import normalize_mac
 from .. import schema as S
 from ..session import materialize
 from . import sliding as SL
@@ -363,7 +364,10 @@ def rule_unusual_rate(packets: DataFrame, semantics: str = "documented",
 
 def rule_request_storm(packets: DataFrame, semantics: str = "documented",
                        window_s: int = S.STORM_WINDOW_S, targets: int = S.STORM_TARGETS) -> DataFrame:
-    """Requests only; distinct target IPs per sender MAC in the window > targets."""
+    """Requests only; distinct target IPs per sender MAC in the window > targets.
+
+    A request without a target counts as a request, not as a target, in either mode.
+    """
     _check(semantics)
     w_us = window_s * US
     req = _pk(packets).where(F.col("op") == S.OP_REQUEST)
@@ -375,7 +379,7 @@ def rule_request_storm(packets: DataFrame, semantics: str = "documented",
         wl = Window.partitionBy("src_mac", "_pb").orderBy("ts_us", "seq").rowsBetween(-(cap - 1), 0)
         h = h.withColumn("_last", F.collect_list(F.struct("ts_us", "dst_ip")).over(wl)).where("_own")
         recent = F.filter("_last", lambda e: e["ts_us"] > F.col("ts_us") - F.lit(w_us))
-        h = (h.withColumn("_tg", F.array_sort(F.array_distinct(F.transform(recent, lambda e: e["dst_ip"]))))
+        h = (h.withColumn("_tg", F.array_sort(F.array_distinct(F.array_compact(F.transform(recent, lambda e: e["dst_ip"])))))
               .withColumn("_u", F.size("_tg").cast("long"))
               .withColumn("_r", (2 * F.size(recent)).cast("long"))
               .where(F.col("_u") > targets)
@@ -549,14 +553,18 @@ def registered_rules() -> list[str]:
 
 
 def run_rules(packets: DataFrame, rules=None, gateways=None, semantics: str = "documented",
-              skip_failing: bool = False) -> DataFrame:
+              skip_failing: bool = False, normalize_macs: bool = False) -> DataFrame:
     """Every rule over the same packets, detections unioned.
 
+    ``normalize_macs`` reads two spellings of a sender MAC (case, ``-``, white space) as one.
+
     A rule that fails to build (bad user rule) is skipped when
     ``skip_failing``; errors inside a running job fail the job, as a
     distributed job should.
     """
     names = rules or registered_rules()
+    if normalize_macs:
+        packets = packets.withColumn("src_mac", normalize_mac(F.col("src_mac")))
     outs = []
     shared = {}
     ip_combined = semantics == "documented" and {"ip_mac_change", "duplicate_ip", "gateway_change"} <= set(names)

@@ -86,3 +86,26 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_rules_may_normalise_macs(spark):
+    from tests.conftest import make_packets
+    macs = ["AA-BB-CC-00-00-01", "aa:bb:cc:00:00:01", " aa:bb:CC:00:00:01 "]
+    p = make_packets(spark, [(i, 1_700_000_000_000_000 + i, 1, macs[i % 3], "d", "10.0.0.9", "10.0.0.1") for i in range(9)])
+    rules = ["ip_mac_change", "duplicate_ip", "gateway_change"]
+    assert R.run_rules(p, rules).count() > 0
+    assert R.run_rules(p, rules, normalize_macs=True).count() == 0
+
+
+def test_missing_targets_are_no_target(spark):
+    from tests.conftest import make_packets
+    rows = [(i, 1_700_000_000_000_000 + i, 1, "aa", "d", "10.0.0.9", f"10.0.1.{i}" if i < 20 else None) for i in range(21)]
+    for semantics in ("documented", "observed"):
+        assert R.rule_request_storm(make_packets(spark, rows), semantics).count() == 0
+
+
+def test_numbers_continue_after_the_store(spark):
+    inc = spark.createDataFrame([("i1",), ("i2",)], "incident_id string").selectExpr(
+        "*", "'HIGH' AS severity", "named_struct('device_mac', 'm', 'device_ip', 'i', 'risk', named_struct('explanation', 'e')) AS details")
+    first = Q.create_requests(inc, "t")
+    assert sorted(r.request_id for r in Q.create_requests(inc, "t", existing=first).collect()) == ["resp-3", "resp-4"]

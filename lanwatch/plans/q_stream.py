@@ -15,6 +15,7 @@ from ..session import scratch
 from ..sources import fixture
 from ..streaming import stream as V
 from .catalog import register
+from .q_risk import _TRUST, trust_store
 from .q_rules import _ALL
 
 CLOSING_SEQ = 10 ** 15
@@ -97,14 +98,26 @@ def stream_mac_rules(spark, sf_dir):
                                                         "device_ip", "device_mac")
 
 
-@register("stream_risk")  # rows-only: incidents per micro-batch
+@register("stream_risk", """
+SELECT sha256(concat_ws('|', CAST(w AS VARCHAR), device_mac, coalesce(device_ip, ''))) AS incident_id, device_mac, device_ip, trusted,
+       CAST(round(score, 2) AS DOUBLE) AS score,
+       CASE WHEN score < 25 THEN 'LOW' WHEN score < 50 THEN 'MEDIUM' WHEN score < 75 THEN 'HIGH' ELSE 'CRITICAL' END AS severity
+FROM (SELECT *, CASE WHEN trusted THEN 0.9 ELSE 1.0 END * 0.6 * least(100.0,
+               CASE WHEN gw THEN 35.0 ELSE 0.0 END + CASE WHEN change THEN 30.0 ELSE 0.0 END + CASE WHEN dup THEN 20.0 ELSE 0.0 END
+               + CASE WHEN high THEN 10.0 ELSE 0.0 END + CASE WHEN trusted THEN 0.0 ELSE 10.0 END) AS score
+      FROM (SELECT f.*, s.mac IS NOT NULL AND (s.ip IS NULL OR f.device_ip IS NULL OR s.ip = f.device_ip) AS trusted
+            FROM f LEFT JOIN store s ON s.mac = lower(f.device_mac)))""", _ALL + "," + _TRUST + """,
+f AS (SELECT ts_us - ts_us % 30000000 AS w, device_mac, device_ip, bool_or(event_type = 'GATEWAY_MAPPING_CHANGE') AS gw,
+             bool_or(event_type IN ('IP_MAC_MAPPING_CHANGE', 'ARP_SPOOFING_ATTACK')) AS change,
+             bool_or(event_type = 'DUPLICATE_IP_CLAIM') AS dup,
+             bool_or(event_type IN ('UNUSUAL_ARP_ACTIVITY', 'MAC_FLOODING', 'ARP_REQUEST_STORM')) AS high FROM dets GROUP BY ALL)""")
 def stream_risk(spark, sf_dir):
-    """V6: detections stream -> trust (stream-static) -> risk -> incidents per batch."""
-    from .q_risk import trust_store
+    """V6: detections of all five rules -> trust (stream-static) -> risk -> incidents, the last score of each."""
     base = _land(spark, sf_dir)
-    dets = V.stream_mac_rules(_src(spark, base))
-    q = V.stream_risk(dets.where(F.col("seq") < CLOSING_SEQ), trust_store(spark, sf_dir),
-                      f"{base}/incidents", f"{base}/ck/risk", "2024-01-03T00:00:00+00:00")
-    q.awaitTermination()
-    return spark.read.json(f"{base}/incidents").select("incident_id", "severity",
-                                                        F.col("details.device_mac").alias("device_mac"))
+    for name, rules in (("mac", V.stream_mac_rules), ("ip", V.stream_ip_rules)):
+        dets = rules(_src(spark, base)).where(F.col("seq") < CLOSING_SEQ)
+        V.stream_risk(dets, trust_store(spark, sf_dir), f"{base}/incidents", f"{base}/ck/risk-{name}",
+                      "2024-01-03T00:00:00+00:00", name=name).awaitTermination()
+    return V.current_incidents(spark, f"{base}/incidents").select(
+        "incident_id", "severity", "details.device_mac", "details.device_ip", F.col("details.trusted_device").alias("trusted"),
+        (F.col("details.risk.score") + F.lit(0.0)).alias("score"))

@@ -30,7 +30,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from .. import schema as S
 from ..functions.risk import assess
 from ..operators.findings import FINDING_EVENTS
-from ..operators.incidents import build_incidents
+from ..operators.incidents import INCIDENT_SCHEMA, build_incidents
 from ..operators.trust import trusted_flag
 from ..session import ship_package
 
@@ -212,9 +212,9 @@ def detection_findings(dets: DataFrame, window_seconds: int = 30) -> DataFrame:
         *[F.col("event_type").isin(evts).alias(name) for name, evts in FINDING_EVENTS.items()])
 
 
-def risk_batch(dets: DataFrame, trust_store: DataFrame, created_at: str) -> DataFrame:
-    """V6 body for one micro-batch: findings per (window, device), risk, incidents."""
-    f = detection_findings(dets).groupBy("window_us", "device_mac", "device_ip").agg(
+def risk_batch(findings: DataFrame, trust_store: DataFrame, created_at: str) -> DataFrame:
+    """V6 body: findings (one or more rows per window and device), trust, risk, incidents."""
+    f = findings.groupBy("window_us", "device_mac", "device_ip").agg(
         *[F.bool_or(n).alias(n) for n in FINDING_EVENTS])
     f = trusted_flag(f, trust_store)
     names = list(FINDING_EVENTS) + ["unknown_device"]
@@ -227,17 +227,47 @@ def risk_batch(dets: DataFrame, trust_store: DataFrame, created_at: str) -> Data
     return build_incidents(f, created_at, ["event_key"])
 
 
-def stream_risk(dets: DataFrame, trust_store: DataFrame, incident_path: str, checkpoint: str,
-                created_at: str, trigger: dict | None = None):
-    """V6: start a query that appends incidents per micro-batch.
+FINDING_SCHEMA = ("window_us long, device_mac string, device_ip string, "
+                  + ", ".join(f"{n} boolean" for n in FINDING_EVENTS) + ", stream string, batch long, hour long")
+
 
-    Each batch is written to ``<incident_path>/batch=<id>`` with overwrite,
-    so a retried batch replaces its own output (exactly-once per batch).
+def stream_risk(dets: DataFrame, trust_store: DataFrame, incident_path: str, checkpoint: str,
+                created_at: str, trigger: dict | None = None, name: str = "rules"):
+    """V6: start a query that scores every window and device on all detections seen so far.
+
+    A micro-batch stores its findings, one row per window and device, under ``<incident_path>-findings``, by
+    stream, batch and hour of the window.  The windows and devices it touched are then scored again from the
+    stored findings of all batches and streams (only their hours are read), and go to
+    ``<incident_path>/stream=<name>/batch=<id>``.  Both writes overwrite the batch's own folder, so a
+    retried batch replaces its output.  Spark allows one stateful rule operator in a query, so rules 1-3 and
+    rules 4-5 are two queries with different names and one log.  An incident keeps its id; evidence only grows, so
+    ``current_incidents`` reads the highest score of each.
     """
+    store_path = f"{incident_path}-findings"
+
     def write(batch: DataFrame, batch_id: int):
-        inc = risk_batch(batch, trust_store, created_at)
-        inc.write.mode("overwrite").json(f"{incident_path}/batch={batch_id}")
+        spark = batch.sparkSession
+        keys = ["window_us", "device_mac", "device_ip"]
+        new = (detection_findings(batch).groupBy(*keys).agg(*[F.bool_or(n).alias(n) for n in FINDING_EVENTS])
+               .withColumn("hour", F.expr(f"window_us div {3600 * S.US}")))
+        own = f"{store_path}/stream={name}/batch={batch_id}"
+        new.write.mode("overwrite").partitionBy("hour").parquet(own)
+        stored = spark.read.schema(FINDING_SCHEMA).option("basePath", store_path).parquet(store_path)
+        here = stored.where((F.col("stream") == name) & (F.col("batch") == batch_id))
+        lo, hi = here.agg(F.min("hour"), F.max("hour")).first()
+        touched = here.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        known = stored.where(F.col("hour").between(lo, hi)) if lo is not None else here
+        match = [known[k].eqNullSafe(touched[f"_{k}"]) for k in keys]
+        inc = risk_batch(known.join(touched, match, "left_semi"), trust_store, created_at)
+        inc.write.mode("overwrite").json(f"{incident_path}/stream={name}/batch={batch_id}")
 
     w = dets.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+def current_incidents(spark: SparkSession, incident_path: str) -> DataFrame:
+    """Every incident of the streams that share this log, with all its evidence."""
+    log = spark.read.schema(INCIDENT_SCHEMA).json(incident_path).select(*INCIDENT_SCHEMA.names)
+    last = log.groupBy("incident_id").agg(F.max_by(F.struct(*INCIDENT_SCHEMA.names), "details.risk.score").alias("x"))
+    return last.select("x.*")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 from . import tokens
+from .memory import give_back
 
 END = 49407             # <|endoftext|> of the vocabulary; its ids fit 16 bits
 IDS = "<u2"
@@ -61,6 +62,8 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end: int = END, ids
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(batch)), pa.array(np.arange(n, n + len(batch))), batch.column(0)], ["file", "doc_no", "doc_id"])
                 n += len(batch)
+                batch = flat = starts = None
+                give_back()
         store.move(aside, f"{path}/{name}.bin")
 
     return C.staged(docs.select("doc_id", C.text_of().alias("text")).mapInArrow(write, "file string, doc_no long, doc_id long"), "flat-rows")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 from . import tokens
+from .memory import give_back
 
 WINDOW = 4096
 END = 2
@@ -55,6 +56,8 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
             cols = list(zip(*out, strict=True)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                              ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"])
+            batch = ids = at = own = part = out = cols = None
+            give_back()
 
     return docs.select("doc_id", C.text_of().alias("text")).mapInArrow(cut, PIECES)
 

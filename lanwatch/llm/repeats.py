@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 from .flatfiles import _files
+from .memory import give_back
 
 LENGTH = 400
 HALF = LENGTH // 2
@@ -182,6 +183,8 @@ def _each(texts: DataFrame, make, schema: str) -> DataFrame:
                     out = []
             if out:
                 yield batch(out)
+            b = out = raw = None
+            give_back()
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)

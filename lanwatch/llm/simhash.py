@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 from .graph import components
+from .memory import give_back
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -68,7 +69,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+        out = pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+        give_back()
+        return out
 
     return docs.select("doc_id", F.xxhash64(C.text_of()).alias("h"), simhash(F.col("text")).alias("fp"))
 

@@ -123,23 +123,15 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         *[f"limit_{m}" for m in FLOORS])
 
 
-def _digest() -> list:
-    return [F.xxhash64(C.text_of()).alias("a"), F.xxhash64(F.lit(1), C.text_of()).alias("b"), F.length(C.text_of()).alias("n")]
-
-
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows of ``docs`` that the rules keep, with all their columns.
 
-    A verdict depends on text, lang and source alone, so the rejected ones are a table of digests and
-    the rows are those that are not in it; Spark broadcasts it only below its size threshold.
+    Rows and measures are written once, side by side, so texts are measured once and never shuffled: the
+    limits, one row for each language and source, join the written table.
     """
-    measured = C.staged(_measures(docs.select("text", "lang", "source", *_digest())).drop("text"), "quality")
+    measured = C.staged(_measures(C.packed(docs, "text", "lang", "source")).drop("text"), "quality")
     limit = C.staged(limits(sketches(measured)), "limits")
-    key = ["a", "b", "n", "lang", "source"]
-    bad = C.staged(judged(measured, limit).filter("not kept").select(*[F.col(k).alias(f"_{k}") for k in key]).distinct(), "rejected")
-    rows = C.packed(docs, "text", "lang", "source").select("_row", "lang", "source", *_digest())
-    same = [rows[k].eqNullSafe(bad[f"_{k}"]) if k in ("lang", "source") else rows[k] == bad[f"_{k}"] for k in key]
-    return C.unpacked(rows.join(bad, same, "left_anti"))
+    return C.unpacked(judged(measured, limit).filter("kept"))
 
 
 ORACLE = rf"""

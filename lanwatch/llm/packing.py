@@ -2,16 +2,21 @@
 
 1. Every whole text is tokenised once, its end id added, and cut into full windows and a rest.  A
    piece keeps its place, length and checksum; ids do not travel.
-2. Pieces are dealt at random (by a hash of their row number) into groups of about ``GROUP``
-   pieces, as many groups as the corpus needs, so a task's memory is bounded and no key is hot.
+2. Pieces are numbered in the order in which the table was written (number of the part file, row in
+   it, place in the text): a prefix sum over the pieces of each ``BLOCK`` rows, then a rank within the
+   block.  Consecutive ranges of about ``GROUP`` pieces are the groups, as many as the corpus needs, so a
+   task's memory is bounded and no key is hot.
 3. A group is packed longest piece first.  A segment tree indexed by remaining capacity counts the open
    windows; its descent finds the least capacity that holds the piece, else a window opens.
+4. Windows are numbered by group, then by their earliest piece, so ``sequence_id`` rises in the order of
+   the table: after the mixing stage, with training position.  Best fit moves a piece by at most its group.
 
 A window is padded to ``WINDOW`` tokens, except one whose tokens are a power of two.
 
-Edge cases: null text counts as empty (its end id alone); equal lengths are packed by row number;
+Edge cases: null text counts as empty (its end id alone); equal lengths are packed in the table's order;
 repeated rows are packed as often as they occur; a very long text becomes many full windows; an empty
-table gives an empty result; extra columns are ignored.
+table gives an empty result; extra columns are ignored; rows of a table that is not read from files are in
+the order of their partitions.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -32,8 +38,21 @@ from .memory import give_back
 WINDOW = 4096
 END = 2
 GROUP = 4096
+BLOCK = 1024       # rows whose pieces are counted together
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, file string, row long"
+
+
+def _written_at(docs: DataFrame) -> tuple[Column, Column]:
+    """(file, row in it): sorted by both, rows are in the order in which the table was written."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta["row_index"]).schema      # plain tables and some formats have none
+    except AnalysisException:
+        return F.lit(""), F.monotonically_increasing_id()
+    # part numbers have five digits or more, and Spark lists files by size
+    number = F.lpad(F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1), 18, "0")
+    return F.concat(number, F.lit(" "), meta["file_path"]), meta["row_index"]
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
@@ -41,25 +60,45 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
     C.for_python(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        encode, row = tokens.encoder(tokenizer).batch, TaskContext.get().partitionId() << 36
+        encode = tokens.encoder(tokenizer).batch
         for batch in batches:
             ids, at = encode(batch.column(1))
-            doc_ids = batch.column(0).to_pylist()
-            out = []
-            for d, a, b in zip(doc_ids, at[:-1].tolist(), at[1:].tolist(), strict=True):
+            out, of = [], []
+            for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
                 own = np.append(ids[a:b], np.uint32(end)).astype("<u4")
                 for k in range(0, len(own), window):
                     part = own[k:k + window]
-                    out.append((d, k, len(part), zlib.crc32(part.tobytes()), len(own), row))
-                    row += 1
-            cols = list(zip(*out, strict=True)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"])
-            batch = ids = at = own = part = out = cols = None
+                    out.append((k, len(part), zlib.crc32(part.tobytes()), len(own)))
+                    of.append(i)
+            cols, of = list(zip(*out, strict=True)) if out else [()] * 4, pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(of), *[pa.array(c, pa.int64()) for c in cols], batch.column(2).take(of), batch.column(3).take(of)],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "file", "row"])
+            batch = ids = at = own = part = out = of = cols = None
             give_back()
 
-    return docs.select("doc_id", C.text_of().alias("text")).mapInArrow(cut, PIECES)
+    file, row = _written_at(docs)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_of().alias("text"),
+                       file.alias("file"), row.alias("row")).mapInArrow(cut, PIECES)
+
+
+def _grouped(cut: DataFrame, group: int) -> DataFrame:
+    """Add ``at``, the piece's number in the order of the table, and ``group``, its range of about ``group`` of them."""
+    block = F.floor(F.col("row") / BLOCK)
+    blocks = cut.groupBy("file", block.alias("block")).agg(F.count("*").alias("n"))
+    # prefix sums in two levels: files, one row each, and the blocks of a file
+    upto = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = blocks.groupBy("file").agg(F.sum("n").alias("n"))
+    every = Window.partitionBy(F.lit(0))
+    files = files.select("file", upto(every.orderBy("file")).alias("files_before"), F.sum("n").over(every).alias("total"))
+    starts = C.staged(blocks.withColumn("blocks_before", upto(Window.partitionBy("file").orderBy("block"))).drop("n")
+                      .join(files, "file"), "piece-blocks")
+    groups = F.greatest(F.lit(1), F.ceil(F.col("total") / group))
+    rank = F.row_number().over(Window.partitionBy("file", "block").orderBy("row", "start")) - 1
+    return (cut.withColumn("block", block).withColumn("rank", rank).join(starts, ["file", "block"])
+            .withColumn("at", F.col("files_before") + F.col("blocks_before") + F.col("rank"))
+            .withColumn("groups", groups).withColumn("group", F.expr("at * groups div total"))
+            .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "at", "group"))
 
 
 class Capacities:
@@ -112,21 +151,22 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
 def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end: int = END, group: int = GROUP) -> DataFrame:
     """Pieces with their sequence, offset and padded length."""
     cut = C.staged(pieces(docs, tokenizer or tokens.default_path(), window, end), "pieces")
-    groups = max(1, -(-cut.count() // group))
 
     def place(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "row"], ascending=[False, True], kind="stable").reset_index(drop=True)
+        part = part.sort_values(["length", "at"], ascending=[False, True], kind="stable").reset_index(drop=True)
         at = np.array(best_fit(part["length"].tolist(), window), np.int64).reshape(-1, 2)
         total = np.bincount(at[:, 0], weights=part["length"].to_numpy()).astype(np.int64)[at[:, 0]]
-        part["sequence_id"] = (part["group"].to_numpy() << 32) + at[:, 0]
+        # windows by their earliest piece
+        first = np.full(at[:, 0].max(initial=-1) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(first, at[:, 0], part["at"].to_numpy())
+        part["sequence_id"] = (part["group"].to_numpy() << 32) + first.argsort().argsort()[at[:, 0]]
         part["offset"] = at[:, 1]
         part["padded"] = np.where(total & (total - 1), window, total)
-        return part.drop(columns=["row", "group"])
+        return part.drop(columns=["at", "group"])
 
     out = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
            "sequence_id long, offset long, padded long")
-    return (cut.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
-            .groupBy("group").applyInPandas(place, out))
+    return _grouped(cut, group).groupBy("group").applyInPandas(place, out)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lanwatch.llm import packing, tokens
+from lanwatch.llm import common, mixing, packing, tokens
 from tests.llm.util import docs_frame
 
 
@@ -81,3 +81,31 @@ def test_groups_and_empty(spark):
     assert got.groupby("doc_id").length.sum().tolist() == [3 * (i % 7) + 1 for i in range(100)]
     assert got.groupby("sequence_id").length.sum().max() <= 16
     assert packing.pack(docs_frame(spark, [])).collect() == []
+
+
+def test_sequences_follow_the_written_order(spark, tmp_path):
+    # part files of falling and rising sizes: Spark lists them by size, not by number
+    folder, rows = str(tmp_path / "t"), []
+    for k, n in enumerate((5, 60, 1, 90, 30)):
+        part = [(len(rows) + i, "word " * (1 + (len(rows) + i) * 7 % 40)) for i in range(n)]
+        docs_frame(spark, part).coalesce(1).sort("doc_id").write.parquet(f"{folder}-{k}")
+        (tmp_path / "t").mkdir(exist_ok=True)
+        made, = (tmp_path / f"t-{k}").glob("part-*")
+        (tmp_path / "t" / made.name.replace("part-00000", f"part-{k + 99997:05d}")).write_bytes(made.read_bytes())
+        rows += part
+    got = packing.pack(spark.read.parquet(folder), window=16, group=20).toPandas().sort_values(["doc_id", "start"])
+    n = len(got)
+    groups = -(-n // 20)
+    assert (got.sequence_id // 2**32).tolist() == [k * groups // n for k in range(n)]
+    first = got.assign(at=range(n)).groupby("sequence_id")["at"].min()
+    assert first.is_monotonic_increasing
+
+
+def test_sequences_follow_the_curriculum(spark):
+    rows = [(i, f"word{i} " * (5 + i % 30), "en", "abc"[i % 3]) for i in range(600)]
+    mixed = common.staged(mixing.ordered(docs_frame(spark, rows)).select("_row.*", "position"), "mixed")
+    where = mixed.select("doc_id", "position").toPandas().groupby("doc_id").position.agg(["min", "max"])
+    got = packing.pack(mixed, group=40).toPandas().join(where, "doc_id")
+    once = got[got["min"] == got["max"]]
+    by_group = once.groupby(once.sequence_id // 2**32)["min"].agg(["min", "max"])
+    assert len(by_group) > 5 and (by_group["max"].to_numpy()[:-1] <= by_group["min"].to_numpy()[1:]).all()

@@ -1,14 +1,17 @@
 """Personal data: keyed surrogates that keep type, format, gender and script (operator 3, native).
 
 Detection.  One pattern finds e-mail and IPv4 addresses, phone, card and social security numbers, access keys,
-passwords and tokens after their name, and names after a title.  A mention is a row of parts, each literal
-(a title, ``password=``) or an entity (kind, canonical form): digits alone for numbers, lower case for e-mail and
-names.  So one phone number in two notations, or a surname with and without a given name, is one entity.
+passwords and tokens after their name, and names after a title: up to five words, initials and particles, with
+hyphens and apostrophes.  A text with such names is searched a second time, with its own names added to the
+pattern, so that they are found without a title too.  A mention is a row of parts, each literal (a title,
+``password=``, a particle) or an entity (kind, canonical form): digits alone for numbers, lower case for e-mail
+and for each word of a name.  So one phone number in two notations, or a surname with and without a given
+name, is one entity.  Its gender is what the titles before it as a given name agree on in the whole corpus.
 
 Dictionary.  The distinct entities of the corpus get surrogates from a keyed SHA-256 of key, kind, attempt
 and canonical form: each letter or digit is replaced within its class; cards keep their first digit and a right
 check digit, addresses come from ranges that no one can own, names are made of syllables with endings
-of the title's gender in the mention's script.  A surrogate is taken only if it is no entity's canonical
+of the entity's gender in the mention's script.  A surrogate is taken only if it is no entity's canonical
 form and no other entity of its kind has it; entities that lose try again with the next attempt, whose
 surrogates grow from the ``WIDEN``-th on, so rounds end.  Distinct entities thus stay distinct.
 
@@ -39,6 +42,19 @@ MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "Κύριος"]
 EITHER = ["Dr", "Prof"]
 
 WORD = r"[\p{L}\p{N}_]"
+TITLE = "|".join(FEMALE + MALE + EITHER)
+PARTICLES = ["de", "da", "do", "dos", "das", "di", "del", "della", "der", "den", "des", "du", "la", "le", "las", "los", "y", "e",
+             "van", "von", "vom", "zu", "zur", "ten", "ter", "bin", "ibn", "al", "el"]
+PARTICLE = f"(?:{'|'.join(PARTICLES)})"
+_JOINED = rf"(?:['’\-](?!s(?!{WORD}))[\p{{L}}\p{{M}}]+)"
+#: one word of a name, or an initial
+NAME = (rf"(?:(?:[dl]['’])?\p{{Lu}}(?:[\p{{L}}\p{{M}}]+{_JOINED}{{0,3}}|{_JOINED}{{1,3}})"
+        r"|\p{Lu}\.|\p{Lu}(?= \p{Lu}\p{L}))")
+#: more forms of phone numbers: + or 00 and a country, ten digits, a trunk 0 and groups
+PHONES = [rf"\+[1-9](?:[ .\-/]?(?:\([0-9]{{1,4}}\)|[0-9])){{6,14}}(?!{WORD}|\.[0-9])",
+          rf"00 ?[1-9](?:[ .\-/]?[0-9]){{7,12}}(?!{WORD}|\.[0-9])",
+          rf"(?<![\-/])(?:1?[2-9]|0[1-9])[0-9]{{9}}(?!{WORD}|\.[0-9])",
+          *[rf"0[1-9](?=(?:{sep}?[0-9]){{7,9}}(?!{sep}?[0-9]|{WORD}))[0-9]{{0,3}}(?:{sep}[0-9]{{2,8}}){{1,4}}(?!{WORD})" for sep in (" ", r"\.", r"\-")]]
 #: kind -> pattern; the first that matches a place names it
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9\-])",
@@ -47,8 +63,9 @@ PATTERNS = {
     "address": rf"(?<![\p{{L}}\p{{N}}_.])(?:[0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}(?!{WORD}|\.[0-9])",
     "social": rf"(?<!{WORD})[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?!{WORD})",
     "card": rf"(?<!{WORD})[3-6](?:[0-9]{{12,18}}|[0-9]{{3}}(?:[ \-][0-9]{{4}}){{3}})(?!{WORD})",
-    "phone": rf"(?<![\p{{L}}\p{{N}}_+.])(?:\+?[0-9]{{1,3}}[ .\-]?)?(?:\([0-9]{{2,4}}\)[ .\-]?[0-9]{{3,4}}|[0-9]{{3}}[ .\-][0-9]{{3}})[ .\-][0-9]{{4}}(?!{WORD})",
-    "person": rf"(?<!{WORD})(?:{'|'.join(FEMALE + MALE + EITHER)})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+    "phone": rf"(?<![\p{{L}}\p{{N}}_+.])(?:(?:\+?[0-9]{{1,3}}[ .\-]?)?(?:\([0-9]{{2,4}}\)[ .\-]?[0-9]{{3,4}}|[0-9]{{3}}[ .\-][0-9]{{3}})[ .\-][0-9]{{4}}(?!{WORD})"
+             rf"|{'|'.join(PHONES)})",
+    "person": rf"(?<!{WORD})(?:(?:{TITLE})\.?[ \n]){{1,3}}(?:{PARTICLE} ){{0,3}}{NAME}(?:(?:(?<=\.)| )(?:{PARTICLE} ){{0,3}}{NAME}){{0,4}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # a text without any of these characters or titles has no mention
@@ -70,29 +87,54 @@ def _kind(m: Column) -> Column:
     return out
 
 
-def _part(kind, canon, raw) -> Column:
+def _part(kind, canon, raw, gender="") -> Column:
     as_text = lambda x: F.lit(x).cast("string") if x is None or isinstance(x, str) else x
-    return F.struct(as_text(kind).alias("kind"), as_text(canon).alias("canon"), as_text(raw).alias("raw"))
+    return F.struct(as_text(kind).alias("kind"), as_text(canon).alias("canon"), as_text(raw).alias("raw"), as_text(gender).alias("gender"))
+
+
+def _title(m: Column) -> Column:
+    return F.regexp_extract(m, rf"^((?:(?:{TITLE})\.?[ \n])+)", 1)
+
+
+def _name_words(m: Column) -> Column:
+    """Words, initials and what separates them, of a person's mention without its title."""
+    return F.regexp_extract_all(F.substr(m, F.length(_title(m)) + 1), F.lit(r"[ \-]+|[^ \-.]+\.?"), F.lit(0))
+
+
+def _person(m: Column) -> Column:
+    """Parts of a person's mention: each word an entity, titles, particles and separators literal."""
+    title, words = _title(m), _name_words(m)
+    says = lambda titles: F.rlike(title, F.lit(rf"(?:^|[ \n])(?:{'|'.join(titles)})\.?[ \n]"))
+    gender = F.when(says(FEMALE) & ~says(MALE), "f").when(says(MALE) & ~says(FEMALE), "m").otherwise("")
+
+    def one(t: Column, i: Column) -> Column:
+        script = F.lit("latin")
+        for s, (pattern, _, _) in SCRIPTS.items():
+            script = F.when(F.rlike(t, F.lit(f"^{pattern}")), s).otherwise(script)
+        initial = F.rlike(t, F.lit(r"^\p{Lu}\.?$"))
+        literal = F.rlike(t, F.lit(r"^[ \-]+$")) | t.isin(PARTICLES)
+        # a surname has no gender: what follows the last space is one
+        given = F.exists(F.slice(words, i + 1, F.size(words)), lambda x: x.contains(" "))
+        return _part(F.when(literal, F.lit(None)).otherwise(F.concat(F.when(initial, "initial-").otherwise("name-"), script, F.lit("-"))),
+                     F.when(~literal, F.lower(t)), t, F.when(given, gender).otherwise(""))
+
+    return F.concat(F.array(_part(None, None, title)), F.transform(words, one))
+
+
+def _names(m: Column) -> Column:
+    """The distinct words of the titled names among mentions, in the cases in which they may be written, longest first."""
+    words = F.filter(F.flatten(F.transform(F.filter(m, lambda x: F.length(_title(x)) > 0), _name_words)),
+                     lambda t: F.rlike(t, F.lit(r"^[\p{L}\p{M}'’]{2,}$")) & ~t.isin(PARTICLES))
+    cases = F.array_distinct(F.flatten(F.transform(words, lambda t: F.array(t, F.upper(t), F.initcap(t)))))
+    return F.transform(F.sort_array(F.transform(cases, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))), False), lambda x: x["t"])
 
 
 def _parts(m: Column) -> Column:
     """The parts of one mention; literals have no kind."""
     kind = _kind(m)
     value = F.regexp_extract(m, r"([0-9A-Za-z_\-+/]{8,})$", 1)
-    title = F.regexp_extract(m, r"^(\S+ )", 1)
-    gender = (F.when(F.rtrim(title).isin(*FEMALE, *[f"{t}." for t in FEMALE]), "f")
-              .when(F.rtrim(title).isin(*MALE, *[f"{t}." for t in MALE]), "m").otherwise(""))
-    names = F.split(F.substr(m, F.length(title) + 1), " ")
-    script = F.lit("latin")
-    for s, (pattern, _, _) in SCRIPTS.items():
-        script = F.when(F.rlike(m, F.lit(f" {pattern}")), s).otherwise(script)
-    given = F.get(names, F.lit(0))
     digits = F.regexp_replace(m, r"[^0-9]", "")
-    return (F.when(kind == "person", F.when(
-                F.size(names) == 2, F.array(
-                    _part(None, None, title), _part(F.concat(F.lit("given-"), script, F.lit("-"), gender), F.lower(given), given),
-                    _part(None, None, " "), _part(F.concat(F.lit("family-"), script, F.lit("-")), F.lower(F.get(names, F.lit(1))), F.get(names, F.lit(1)))))
-                .otherwise(F.array(_part(None, None, title), _part(F.concat(F.lit("family-"), script, F.lit("-")), F.lower(given), given))))
+    return (F.when(kind == "person", _person(m))
             .when(kind == "secret", F.array(_part(None, None, F.substr(m, F.lit(1), F.length(m) - F.length(value))), _part(kind, value, value)))
             .when(kind.isin("card", "phone", "social"), F.array(_part(kind, digits, m)))
             .otherwise(F.array(_part(kind, F.when(kind == "email", F.lower(m)).otherwise(m), m))))
@@ -164,6 +206,7 @@ def _written(kind: Column, raw: Column, found: Column) -> Column:
         (a["at"] + is_digit(c).cast("int")).alias("at")))
     return (F.when(found.isNull(), raw)
             .when(kind.isin("card", "phone", "social"), F.concat(spread["out"], F.substr(found, spread["at"])))
+            .when(kind.startswith("initial-"), F.concat(F.upper(F.substr(found, F.lit(1), F.lit(1))), F.substr(raw, F.lit(2))))
             .when(kind.contains("-"), F.when(raw == F.upper(raw), F.upper(found)).otherwise(F.initcap(found)))
             .when((kind == "email") & (raw == F.upper(raw)), F.upper(found))
             .otherwise(found))
@@ -171,10 +214,13 @@ def _written(kind: Column, raw: Column, found: Column) -> Column:
 
 def dictionary(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, found): a surrogate for each distinct entity, distinct within its kind and no entity's own form."""
-    real = C.staged(entities.groupBy("kind", "canon").count().drop("count"), "entities")
+    # a gender holds if no mention tells the other; "f" < "m"
+    told = F.when(F.col("gender") != "", F.col("gender"))
+    real = C.staged(entities.groupBy("kind", "canon").agg(
+        F.when(F.min(told) == F.max(told), F.min(told)).otherwise("").alias("gender")), "entities")
     taken, left, attempt = None, real, 0
     while True:
-        tried = C.staged(left.withColumn("found", surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), key)), "tried")
+        tried = C.staged(left.withColumn("found", surrogate(F.concat("kind", "gender"), F.col("canon"), F.lit(attempt), key)), "tried")
         # one entity for each surrogate; equality is judged without case, as mentions are
         first = tried.groupBy("kind", F.lower("found").alias("low")).agg(F.min(F.struct("canon", "found")).alias("x"))
         won = first.select("kind", "x.canon", "x.found", "low").join(
@@ -195,14 +241,20 @@ def _digest(t: str) -> Column:
 
 def _replaced(texts: DataFrame, key: str) -> DataFrame:
     """(id, new, n) for each distinct text that has a mention; ``texts`` has one column, text."""
+    own = F.concat(F.lit(rf"{ANY}|(?<!{WORD})(?:"), F.array_join(_names(F.col("m")), "|"), F.lit(rf")(?!{WORD})"))
+    titled = F.exists("m", lambda x: F.length(_title(x)) > 0)
     mentions = (texts.filter(F.rlike("text", F.lit(HINT)))
                 .withColumn("m", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).filter(F.size("m") > 0)
-                .select(_digest("text").alias("id"), F.split("text", ANY).alias("pieces"), "m")
+                # a text's own names are found without a title too
+                .withColumn("own", F.when(titled & (F.size(_names(F.col("m"))) > 0), own))
+                .select(_digest("text").alias("id"),
+                        F.when(F.col("own").isNull(), F.split("text", ANY)).otherwise(F.split("text", F.col("own"))).alias("pieces"),
+                        F.when(F.col("own").isNull(), F.col("m")).otherwise(F.regexp_extract_all("text", F.col("own"), F.lit(0))).alias("m"))
                 .groupBy("id").agg(F.first("pieces").alias("pieces"), F.first("m").alias("m")))
     mentions = C.staged(mentions.withColumn("parts", F.transform("m", _parts)).drop("m"), "mentions")
     parts = (mentions.select("id", F.posexplode("parts").alias("i", "p"))
-             .select("id", "i", F.posexplode("p").alias("k", "x")).select("id", "i", "k", "x.kind", "x.canon", "x.raw"))
-    known = dictionary(parts.filter("kind is not null").select("kind", "canon"), key)
+             .select("id", "i", F.posexplode("p").alias("k", "x")).select("id", "i", "k", "x.kind", "x.canon", "x.raw", "x.gender"))
+    known = dictionary(parts.filter("kind is not null").select("kind", "canon", "gender"), key)
     # each part brings the piece of text before its mention; a text's parts are bounded by the text
     written = (parts.join(known, ["kind", "canon"], "left")
                .select("id", "i", "k", _written(F.col("kind"), F.col("raw"), F.col("found")).alias("w"))

@@ -91,3 +91,31 @@ def test_stage(spark):
 def test_clean_text_is_left_alone(spark):
     clean = ["Version 1.2.3 of 2024-01-02, 10 000 people, 3.14159; token passes.", "The password is secret: yes", "a@b", "12345", "e.g. Dr. who 555-1234"]
     assert sorted(run(spark, list(enumerate(clean)))) == [(i, t, 0) for i, t in enumerate(clean)]
+
+
+def test_names_of_any_form_and_without_title(spark):
+    people = {"Mr. John Smith left. Later Smith and John Smith came back; SMITH's too.": ["John", "Smith", "SMITH"], "Mr John Paul Smith sat": ["John", "Paul", "Smith"],
+              "Dr Anne-Marie Curie sat": ["Anne", "Marie", "Curie"], "Ms Maria de la Cruz sat": ["Maria", "Cruz"], "we saw Mr O'Brien, and O'Brien saw us": ["O'Brien", "Brien"],
+              "Mrs J. Smith sat": ["J.", "Smith"], "Herr Prof. Dr. Müller saß, Müller": ["Müller"], "Mr.\nJ.R. Tolkien": ["Tolkien"], "Herr von Braun": ["Braun"]}
+    got = run(spark, list(enumerate(people)))
+    for i, new, _ in got:
+        for w in list(people.values())[i]:
+            assert not regex.search(rf"(?<!\p{{L}}){re.escape(w)}(?!\p{{L}})", new), new
+    by = {i: (t, n) for i, t, n in got}
+    m = regex.fullmatch(r"Mr\. (\p{L}+) (\p{L}+) left\. Later (\p{L}+) and (\p{L}+) (\p{L}+) came back; (\p{L}+)'s too\.", by[0][0])
+    assert m and m[2] == m[3] == m[5] == m[6].capitalize() and m[1] == m[4] and m[6].isupper() and by[0][1] == 5
+    assert regex.fullmatch(r"Ms \p{L}+ de la \p{L}+ sat", by[3][0]) and regex.fullmatch(r"Mrs \p{Lu}\. (\p{L}+) sat", by[5][0]).group(1) == m[2]
+
+
+def test_gender_is_the_entitys(spark):
+    got = dict((i, t) for i, t, _ in run(spark, [(1, "Mr John Smith"), (2, "Dr John Smith"), (3, "Mr Alex Roe"), (4, "Ms Alex Roe"), (5, "Ms Eve Roe")]))
+    given = {i: t.split()[1] for i, t in got.items()}
+    assert given[1] == given[2] and given[1].endswith("o") and given[3] == given[4] and given[3].endswith("is") and given[5].endswith("a")
+
+
+def test_phones_of_any_grouping(spark):
+    phones = ["+15551234567", "5551234567", "+33 1 42 68 53 00", "+49 30 901820", "+44 20 7946 0958", "+34 912 345 678", "01 42 68 53 00", "030 901820", "0033142685300", "+44 (0)20 7946 0958"]
+    for i, t, n in run(spark, [(i, f"call {p}, now") for i, p in enumerate(phones)]):
+        assert n == 1 and t != f"call {phones[i]}, now" and re.sub("[0-9]", "0", t) == re.sub("[0-9]", "0", f"call {phones[i]}, now"), t
+    clean = ["on 01.02.2024 12:30", "at 1700000000", "sum 10 000 000", "550e8400-e29b-41d4-a716-446655440000", "2024-01-02 03:04", "0.5551234567"]
+    assert sorted(run(spark, list(enumerate(clean)))) == [(i, t, 0) for i, t in enumerate(clean)]

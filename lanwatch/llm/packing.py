@@ -13,10 +13,10 @@
 
 A window is padded to ``WINDOW`` tokens, except one whose tokens are a power of two.
 
-Edge cases: null text counts as empty (its end id alone); equal lengths are packed in the table's order;
-repeated rows are packed as often as they occur; a very long text becomes many full windows; an empty
-table gives an empty result; extra columns are ignored; rows of a table that is not read from files are in
-the order of their partitions.
+Edge cases: null text counts as empty (its end id alone); strings of special tokens are these tokens, as the
+tokenizer has it; equal lengths are packed in the table's order; repeated rows are packed as often as they
+occur; a very long text becomes many full windows; an empty table gives an empty result; extra columns are
+ignored; rows of a table that is not read from files are in the order of their partitions.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
     C.for_python(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer).batch
+        encode = tokens.encoder(tokenizer, special=True).batch
         for batch in batches:
             ids, at = encode(batch.column(1))
             out, of = [], []

@@ -5,11 +5,15 @@ encoded once and its ids are gathered for all its places.  The words of a batch
 by Arrow; ids of word stems are kept between batches in a cache of ``CACHE`` entries at most, emptied
 when full.  Texts with characters from U+0300 on (where normalisation may join characters) go through the
 tokenizer whole.  The ids are those of the tokenizer over the whole text.
+
+Strings of special tokens in a text are ordinary text, or with ``special`` these tokens, as the tokenizer
+has it by itself; texts that may hold one then go through the tokenizer whole too.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -28,11 +32,14 @@ def default_path() -> str:
 class WordEncoder:
     """Ids of a word-end tokenizer (one that drops white space and marks word ends by ``</w>``)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.whole.encode_special_tokens = not special
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()] if special else []
+        # how the special tokens begin, before any letter: what is not there holds none
+        self.mark = re.match(r"[^\w\s]*", os.path.commonprefix(added)).group() if added else None
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -94,6 +101,9 @@ class WordEncoder:
         raw = np.frombuffer(data, np.uint8)[start[0]:start[-1]] if data is not None else np.zeros(0, np.uint8)
         high = np.flatnonzero(raw >= 0xCC) + start[0]        # first bytes of U+0300 and above
         rare = np.unique(np.searchsorted(start, high, side="right") - 1) if len(high) else np.zeros(0, np.int64)
+        if self.mark is not None:
+            marked = pc.match_substring(texts, self.mark).to_numpy(zero_copy_only=False)
+            rare = np.union1d(rare, np.flatnonzero(marked)).astype(np.int64)
         if len(rare):
             plain = np.ones(len(texts), bool)
             plain[rare] = False
@@ -132,6 +142,6 @@ def _slices(texts: pa.Array):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, special: bool = False) -> WordEncoder:
     """One for each Python worker and vocabulary."""
-    return WordEncoder(path)
+    return WordEncoder(path, special)

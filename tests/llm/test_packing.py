@@ -109,3 +109,15 @@ def test_sequences_follow_the_curriculum(spark):
     once = got[got["min"] == got["max"]]
     by_group = once.groupby(once.sequence_id // 2**32)["min"].agg(["min", "max"])
     assert len(by_group) > 5 and (by_group["max"].to_numpy()[:-1] <= by_group["min"].to_numpy()[1:]).all()
+
+
+def test_special_tokens_are_the_unmodified_tokenizers(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokens.default_path())
+    texts = ODD + ["a<|endoftext|>b", "<|startoftext|>", "x <|other|> <|", "<|ENDOFTEXT|> y", "a <|endoftext|>"] + [" ".join(ODD)]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert 49407 in want[len(ODD)]
+    ids, at = tokens.WordEncoder(tokens.default_path(), special=True).batch(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    got = packing.pack(docs_frame(spark, list(enumerate(texts)))).toPandas().sort_values("doc_id")
+    assert got.ids_crc32.tolist() == [zlib.crc32(np.array([*x, 2], "<u4").tobytes()) for x in want]

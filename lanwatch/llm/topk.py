@@ -151,7 +151,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embe
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     table = C.staged(_table(valid, pivots(valid, dim)), "pivot-table")
     hashed = F.xxhash64("vec_id", "v")
-    rows = C.staged(_blocks(table, BLOCK, hashed), "candidates")
+    # the row's number splits equal rows too; the table is written, so each row keeps its block
+    rows = C.staged(_blocks(table, BLOCK, F.xxhash64("vec_id", "v", F.monotonically_increasing_id())), "candidates")
     members = F.collect_list(F.struct("vec_id", "v", "d")).alias("x")          # about BLOCK rows, by the split above
     blocks = C.staged(rows.groupBy("block").agg(members), "candidate-blocks")
     asked = C.staged(rows.filter(F.coalesce(queries, F.lit(False))).dropDuplicates(["vec_id", "v"])
@@ -165,8 +166,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embe
     known = C.staged(asked.join(floor, F.col("query") == F.col("_q"), "left").drop("_q"), "known")
     packed = (_blocks(known, QUERIES, F.col("query")).groupBy("block")
               .agg(F.collect_list(F.struct("vec_id", "v", "d", "query", "floor")).alias("q")).drop("block"))
-    n = blocks.count()
-    pairs = packed.select("q", F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1)))).alias("block")).join(blocks, "block")
+    last = blocks.agg(F.max("block")).first()[0]         # some below it may be empty
+    pairs = packed.select("q", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("block")).join(blocks, "block")
     return _best(_search(pairs, dim, k), k).select("query_id", "rank", "vec_id", "score")
 
 

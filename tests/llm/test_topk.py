@@ -53,3 +53,14 @@ def test_bounds_eliminate():
         s[i] = -np.inf
         want = np.lexsort((ids, -s))[:5]
         assert (best == want).all() and (scores == s[want]).all() and done < 2000
+
+
+def test_equal_rows_beside_a_second_cell(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    rows = [(1, [1.0, 0.0])] * 60 + [(100 + i, [-5.0 - i / 64, 9.0]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = topk.search(df, F.col("vec_id") == 101, 29).collect()
+    ints = [(i, [int(64 * x // 1) for x in v]) for i, v in rows]
+    q = dict(ints)[101]
+    want = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), i) for i, v in ints if i != 101)[:29]
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(k, i, -s) for k, (s, i) in enumerate(want, 1)]

@@ -97,11 +97,13 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def em(n: np.ndarray, start: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(proportions, log-likelihoods) of each row of counts; a zero in ``start`` stays zero."""
-    pi, total = start, n.sum(axis=1, keepdims=True)
+    pi, total, going = start.copy(), n.sum(axis=1, keepdims=True), np.arange(len(n))
     for _ in range(MAX_STEPS):
-        new = pi * ((n / (pi @ p)) @ p.T) / total
-        change, pi = np.abs(new - pi).max(), new
-        if change < TOLERANCE:
+        now = pi[going]
+        pi[going] = now * ((n[going] / (now @ p)) @ p.T) / total[going]
+        # each row stops on its own change, whatever the others do
+        going = going[np.abs(pi[going] - now).max(axis=1) >= TOLERANCE]
+        if not len(going):
             break
     return pi, (n * np.log(pi @ p)).sum(axis=1)
 

@@ -67,3 +67,14 @@ def test_edges(spark):
     assert pred[1][0] == "en" and pred[None][0] == "fr"
     assert language.language_mixture(docs_frame(spark, [])).collect() == []
     assert [r.lang_pred for r in language.language_mixture(docs_frame(spark, [(1, "abc")])).collect()] == ["und"]
+
+
+def test_a_texts_result_does_not_depend_on_its_batch():
+    r = np.random.default_rng(1)
+    p = r.dirichlet(np.full(200, 0.5), 4) * 0.99 + 0.01 / 200
+    p /= p.sum(axis=1, keepdims=True)
+    n = np.array([r.multinomial(r.integers(20, 3000), r.dirichlet(np.full(4, 0.5)) @ p) for _ in range(40)])
+    start = np.full((40, 4), 0.25)
+    together, _ = language.em(n, start, p)
+    alone = np.concatenate([language.em(n[i:i + 1], start[:1], p)[0] for i in range(40)])
+    assert np.abs(together - alone).max() < 1e-12 and (start == 0.25).all()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import flatfiles, language, licenses, mixing, packing, quality, repeats, simhash, surrogates, topk
+from . import flatfiles, language, licenses, mixing, packing, quality, repeats, runs, simhash, surrogates, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,8 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op8_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(C.table(spark, sf_dir, "documents"))
+
+
+@register()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.planted(C.table(spark, sf_dir, "documents"))))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import flatfiles, language, licenses, merkle, mixing, packing, quality, repeats, runs, simhash, surrogates, topk
+from . import flatfiles, language, licenses, merkle, mixing, packing, pages, quality, repeats, runs, simhash, surrogates, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +82,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     return merkle.verify(docs, merkle.lowered(docs))
+
+
+@register()
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(C.table(spark, sf_dir, "pages"))

@@ -9,8 +9,8 @@
 3. Lines inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are
    known by their element, role, class or id; they take no part from the start.
 4. The seeds choose the region: the ``article`` or ``main`` elements that hold a seed (the outermost of nested ones;
-   all of them if none holds one).  On a page without these, the region is the deepest element that holds more than
-   half of the seeds' characters, less its lines that are links alone.
+   all of them if none holds one).  On a page without these, the region is the deepest element that holds over three
+   quarters of the seeds' characters, less its lines that are links alone.
 5. All lines of the region are the text, joined by two line feeds: short paragraphs and headings of the article are
    kept, however low their ratio.
 
@@ -254,7 +254,7 @@ def content(lines: list[Line], regions: set[int]) -> list[Line]:
                 held[n] = held.get(n, 0) + len(x.text)
     total = sum(len(x.text) for x, s in zip(lines, seed, strict=True) if s)
     # numbers rise in page order, so of nested elements the deepest has the greatest
-    region = max((n for n, c in held.items() if 2 * c > total), default=None)
+    region = max((n for n, c in held.items() if 4 * c > 3 * total), default=None)
     inside = [x for x in lines if region is None or region in x.around]
     return [x for x in inside if x.linked < len(x.text)] or inside
 

@@ -1,7 +1,8 @@
 """Best-fit decreasing packing of documents into fixed windows (operator 10).
 
 1. Every whole text is tokenised once, its end id added, and cut into full windows and a rest.  A
-   piece keeps its place, length and checksum; ids do not travel.
+   piece keeps its place, length and checksum; ids do not travel.  Texts come to Python in Arrow batches bounded in
+   bytes and are worked on in slices of a few MB, whose pieces leave before the next slice.
 2. Pieces are numbered in the order in which the table was written (number of the part file, row in
    it, place in the text): a prefix sum over the pieces of each ``BLOCK`` rows, then a rank within the
    block.  Consecutive ranges of about ``GROUP`` pieces are the groups, as many as the corpus needs, so a
@@ -16,7 +17,7 @@ A window is padded to ``WINDOW`` tokens, except one whose tokens are a power of
 Edge cases: null text counts as empty (its end id alone); strings of special tokens are these tokens, as the
 tokenizer has it; equal lengths are packed in the table's order; repeated rows are packed as often as they
 occur; a very long text becomes many full windows; an empty table gives an empty result; extra columns are
-ignored; rows of a table that is not read from files are in the order of their partitions.
+ignored; rows of a table that is not read from files are in the order of their partitions, a partition for a file.
 """
 
 from __future__ import annotations
@@ -40,19 +41,20 @@ END = 2
 GROUP = 4096
 BLOCK = 1024       # rows whose pieces are counted together
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, file string, row long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, file long, row long"
 
 
-def _written_at(docs: DataFrame) -> tuple[Column, Column]:
-    """(file, row in it): sorted by both, rows are in the order in which the table was written."""
+def _written_at(docs: DataFrame) -> tuple[Column, Column, Column]:
+    """(number of the part file, its name's hash, row in it): sorted by these, rows are in the order in which the table was written."""
     try:
         meta = docs.metadataColumn("_metadata")
         docs.select(meta["row_index"]).schema      # plain tables and some formats have none
     except AnalysisException:
-        return F.lit(""), F.monotonically_increasing_id()
+        row = F.monotonically_increasing_id()      # partition number above, place in it in the lower 33 bits
+        return F.shiftright(row, 33), F.lit(0).cast("long"), row.bitwiseAND(F.lit((1 << 33) - 1))
     # part numbers have five digits or more, and Spark lists files by size
-    number = F.lpad(F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1), 18, "0")
-    return F.concat(number, F.lit(" "), meta["file_path"]), meta["row_index"]
+    number = F.regexp_extract(meta["file_name"], r"^part-(\d+)", 1)
+    return F.coalesce(number.try_cast("long"), F.lit(-1).cast("long")), F.xxhash64(meta["file_path"]), meta["row_index"]
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
@@ -60,42 +62,49 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END
     C.for_python(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(tokenizer, special=True).batch
+        slices = tokens.encoder(tokenizer, special=True).slices
         for batch in batches:
-            ids, at = encode(batch.column(1))
-            out, of = [], []
-            for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-                own = np.append(ids[a:b], np.uint32(end)).astype("<u4")
-                for k in range(0, len(own), window):
-                    part = own[k:k + window]
-                    out.append((k, len(part), zlib.crc32(part.tobytes()), len(own)))
-                    of.append(i)
-            cols, of = list(zip(*out, strict=True)) if out else [()] * 4, pa.array(of, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(of), *[pa.array(c, pa.int64()) for c in cols], batch.column(2).take(of), batch.column(3).take(of)],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "file", "row"])
-            batch = ids = at = own = part = out = of = cols = None
-            give_back()
-
-    file, row = _written_at(docs)
+            for first, ids, at in slices(batch.column(1)):
+                total = np.diff(at) + 1                          # with the end id
+                n = -(-total // window)
+                of = np.repeat(np.arange(len(total)), n)
+                start = (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * window
+                sums = np.empty(len(of), np.int64)
+                k = 0
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    own = np.append(ids[a:b], np.uint32(end)).astype("<u4")
+                    for p in range(0, len(own), window):
+                        sums[k] = zlib.crc32(own[p:p + window])
+                        k += 1
+                rows = pa.array(first + of)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), pa.array(start), pa.array(np.minimum(total[of] - start, window)), pa.array(sums),
+                     pa.array(total[of]), *[batch.column(c).take(rows) for c in (2, 3, 4)]],
+                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "file", "row"])
+                ids = own = rows = None
+                give_back()
+            batch = None
+
+    part, file, row = _written_at(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), C.text_of().alias("text"),
-                       file.alias("file"), row.alias("row")).mapInArrow(cut, PIECES)
+                       part.alias("part"), file.alias("file"), row.alias("row")).mapInArrow(cut, PIECES)
 
 
 def _grouped(cut: DataFrame, group: int) -> DataFrame:
     """Add ``at``, the piece's number in the order of the table, and ``group``, its range of about ``group`` of them."""
     block = F.floor(F.col("row") / BLOCK)
-    blocks = cut.groupBy("file", block.alias("block")).agg(F.count("*").alias("n"))
+    name = ["part", "file"]
+    blocks = cut.groupBy(*name, block.alias("block")).agg(F.count("*").alias("n"))
     # prefix sums in two levels: files, one row each, and the blocks of a file
     upto = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    files = blocks.groupBy("file").agg(F.sum("n").alias("n"))
+    files = blocks.groupBy(*name).agg(F.sum("n").alias("n"))
     every = Window.partitionBy(F.lit(0))
-    files = files.select("file", upto(every.orderBy("file")).alias("files_before"), F.sum("n").over(every).alias("total"))
-    starts = C.staged(blocks.withColumn("blocks_before", upto(Window.partitionBy("file").orderBy("block"))).drop("n")
-                      .join(files, "file"), "piece-blocks")
+    files = files.select(*name, upto(every.orderBy(*name)).alias("files_before"), F.sum("n").over(every).alias("total"))
+    starts = C.staged(blocks.withColumn("blocks_before", upto(Window.partitionBy(*name).orderBy("block"))).drop("n")
+                      .join(files, name), "piece-blocks")
     groups = F.greatest(F.lit(1), F.ceil(F.col("total") / group))
-    rank = F.row_number().over(Window.partitionBy("file", "block").orderBy("row", "start")) - 1
-    return (cut.withColumn("block", block).withColumn("rank", rank).join(starts, ["file", "block"])
+    rank = F.row_number().over(Window.partitionBy(*name, "block").orderBy("row", "start")) - 1
+    return (cut.withColumn("block", block).withColumn("rank", rank).join(starts, [*name, "block"])
             .withColumn("at", F.col("files_before") + F.col("blocks_before") + F.col("rank"))
             .withColumn("groups", groups).withColumn("group", F.expr("at * groups div total"))
             .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "at", "group"))
@@ -150,7 +159,8 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
 
 def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end: int = END, group: int = GROUP) -> DataFrame:
     """Pieces with their sequence, offset and padded length."""
-    cut = C.staged(pieces(docs, tokenizer or tokens.default_path(), window, end), "pieces")
+    with C.arrow_batches(docs.sparkSession):
+        cut = C.staged(pieces(docs, tokenizer or tokens.default_path(), window, end), "pieces")
 
     def place(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "at"], ascending=[False, True], kind="stable").reset_index(drop=True)

@@ -2,8 +2,8 @@
 
 A text is cut at ASCII white space, which no token of the word vocabulary spans, so that every word is
 encoded once and its ids are gathered for all its places.  The words of a batch are dictionary-encoded
-by Arrow; ids of word stems are kept between batches in a cache of ``CACHE`` entries at most, emptied
-when full.  Texts with characters from U+0300 on (where normalisation may join characters) go through the
+by Arrow; ids of word stems are kept between batches in a cache of ``CACHE`` entries and ``CACHE_BYTES`` at most,
+emptied when full.  Texts with characters from U+0300 on (where normalisation may join characters) go through the
 tokenizer whole.  The ids are those of the tokenizer over the whole text.
 
 Strings of special tokens in a text are ordinary text, or with ``special`` these tokens, as the tokenizer
@@ -21,7 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE = 500_000
-SLICE_BYTES = 12 << 20     # text that is worked on at once
+CACHE_BYTES = 64 << 20     # of the cache, with what Python's objects take
+ENTRY = 130                # bytes of an entry besides its word and ids
+SLICE_BYTES = 3 << 20      # text that is worked on at once
 
 
 def default_path() -> str:
@@ -45,6 +47,7 @@ class WordEncoder:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.type = np.dtype(np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
         self.cache: dict[str, bytes] = {}        # ids as bytes take a third of what small arrays do
+        self.held = 0
         self.marks = {"": b""} | {m: self._each([m])[0].tobytes() for m in ",."}
 
     def _each(self, texts: list[str]) -> list[np.ndarray]:
@@ -62,8 +65,10 @@ class WordEncoder:
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word; a word of letters, perhaps with a comma or full stop, goes by its stem."""
-        stems, ends = [], []
-        for w in words:
+        each = list(map(self.cache.get, words))
+        unknown, stems, ends = [i for i, e in enumerate(each) if e is None], [], []
+        for i in unknown:
+            w = words[i]
             mark = w[-1:] if w[-1:] in (",", ".") and len(w) > 1 else ""
             stem = w[:-1] if mark else w
             if not (stem.isalpha() and "İ" not in stem):
@@ -71,17 +76,27 @@ class WordEncoder:
             stems.append(stem)
             ends.append(mark)
         new = set(stems).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:
+        if len(self.cache) + len(new) > CACHE or self.held > CACHE_BYTES:
             self.cache.clear()
-            new = set(stems)
+            self.held, new = 0, set(stems)
         if new:
             letters = [s for s in new if s.isalpha() and "İ" not in s]
             others = [s for s in new if not (s.isalpha() and "İ" not in s)]
             if letters:
                 self._stems(letters)
             self.cache.update(zip(others, (x.tobytes() for x in self._each(others)), strict=True))
+            self.held += sum(len(s) + ENTRY for s in new) + sum(len(self.cache[s]) for s in new)
         get, marks = self.cache.__getitem__, self.marks
-        return [get(s) + marks[m] for s, m in zip(stems, ends, strict=True)]
+        for i, s, m in zip(unknown, stems, ends, strict=True):
+            each[i] = get(s) + marks[m]
+        return each
+
+    def slices(self, texts: pa.Array):
+        """(first text, ids of a few texts in a row, where each text's begin, with the end), a slice at a time.  No text is null."""
+        texts = texts.cast(pa.large_string())        # before slicing: kernels misread a cast slice
+        for a, b in _slices(texts):
+            ids, counts = self._slice(texts.slice(a, b - a))
+            yield a, ids, np.concatenate(([0], np.cumsum(counts)))
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin, with the end).  No text is null.

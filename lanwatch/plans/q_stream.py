@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from ..schema import PACKET_SCHEMA, MODEL_FEATURES
 from ..session import scratch
 from ..sources import fixture
+from ..streaming import incremental as I
 from ..streaming import stream as V
 from .catalog import register
 from .q_risk import _TRUST, trust_store
-from .q_rules import _ALL
+from .q_rules import _ALL, _ID, _base, _hist_str
 
 CLOSING_SEQ = 10 ** 15
 CLOSING_TS = 4_000_000_000 * 1_000_000
@@ -121,3 +122,55 @@ def stream_risk(spark, sf_dir):
     return V.current_incidents(spark, f"{base}/incidents").select(
         "incident_id", "severity", "details.device_mac", "details.device_ip", F.col("details.trusted_device").alias("trusted"),
         (F.col("details.risk.score") + F.lit(0.0)).alias("score"))
+
+
+def _one_file(df, path):
+    df.coalesce(1).write.parquet(path)
+
+
+def _closing(spark):
+    return spark.createDataFrame([(CLOSING_SEQ, CLOSING_TS, 1, "00:00:00:00:00:00", None, "0.0.0.0", None)], PACKET_SCHEMA)
+
+
+def _incremental(spark, base, delay_seconds=10):
+    src = V.read_packet_stream(spark, f"{base}/in/*", max_files_per_trigger=1)
+    I.stream_rules(src, f"{base}/rules", f"{base}/ck", delay_seconds=delay_seconds).awaitTermination()
+
+
+@register("stream_rules_record", f"""
+SELECT {_ID}, * FROM (SELECT * FROM d1o UNION ALL BY NAME SELECT * FROM d2o UNION ALL BY NAME SELECT * FROM d3o
+                      UNION ALL BY NAME SELECT * FROM d4o UNION ALL BY NAME SELECT * FROM d5o)""", _ALL)
+def stream_rules_record(spark, sf_dir):
+    """All rules over a stream in several triggers, whole detection records."""
+    base = scratch(spark, "stream-record")
+    p = fixture.packets(spark, sf_dir)
+    lo, hi = p.agg(F.min("ts_us"), F.max("ts_us")).first()
+    cuts = [lo, lo + (hi - lo) // 3, lo + 2 * (hi - lo) // 3, hi + 1]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        _one_file(p.where((F.col("ts_us") >= a) & (F.col("ts_us") < b)), f"{base}/in/{k}")
+    _one_file(_closing(spark), f"{base}/in/closing")
+    _incremental(spark, base)
+    d = I.detections(spark, f"{base}/rules").where(F.col("seq") < CLOSING_SEQ)
+    cpm = F.col("info.claims_per_mac")
+    plain = ("previous_mac", "change_number", "change_count", "claiming_mac_count", "total_claims", "packet_count", "is_flood",
+             "unique_targets", "total_requests")
+    return d.select(
+        *_base(d), *[F.col(f"info.{c}").alias(c) for c in plain],
+        _hist_str(F.col("info.change_history")).alias("history"), _hist_str(F.col("info.gateway_history")).alias("gateway_history"),
+        F.array_join("info.claiming_macs", ",").alias("claiming_macs"), F.array_join("info.target_ips", ",").alias("target_ips"),
+        F.array_join(F.transform(F.map_keys(cpm), lambda k: F.concat(k, F.lit(":"), F.element_at(cpm, k).cast("string"))), ",").alias("claims_per_mac"))
+
+
+@register("stream_late_data", """
+SELECT src_ip, count(*) AS late_rows, min(ts_us) AS first_us, max(ts_us) AS last_us
+FROM packets WHERE seq % 50 = 7 AND ts_us <= (SELECT max(ts_us) - 10000000 FROM packets WHERE seq % 50 <> 7) GROUP BY src_ip""")
+def stream_late_data(spark, sf_dir):
+    """V5: every fiftieth packet comes after the clock has passed nearly all of their times; the ledger counts them."""
+    base = scratch(spark, "stream-late")
+    p = fixture.packets(spark, sf_dir)
+    tardy = F.col("seq") % 50 == 7
+    _one_file(p.where(~tardy), f"{base}/in/0")
+    _one_file(p.where(tardy), f"{base}/in/1")
+    _incremental(spark, base)
+    return I.late_counts(spark, f"{base}/rules").groupBy("src_ip").agg(
+        F.sum("late_rows").alias("late_rows"), F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"))

@@ -59,25 +59,30 @@ def with_event_time(df: DataFrame, watermark: str = "2 minutes") -> DataFrame:
 # ------------------------------------------------------------------ V2
 
 def stream_window_features(packets: DataFrame, window_seconds: int = 30) -> DataFrame:
-    """Chained window aggregates: (window, mac) then (window)."""
-    w = F.window("ts", f"{window_seconds} seconds")
-    per_mac = packets.groupBy(w.alias("w"), "src_mac").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("op") == 1).alias("n_req"),
-        F.count_if(F.col("op") == 2).alias("n_rep"),
-        F.collect_set("src_ip").alias("ips"),
-        F.collect_set("dst_ip").alias("dsts"),
-    ).select(F.window_time("w").alias("wt"), "w", "src_mac", "n", "n_req", "n_rep", "ips", "dsts")
-    per_win = per_mac.groupBy(
-        F.window("wt", f"{window_seconds} seconds").alias("w2")).agg(
-        F.sum("n").alias("total"),
-        F.sum("n_req").alias("arp_request_count"),
-        F.sum("n_rep").alias("arp_reply_count"),
-        F.count(F.lit(1)).alias("unique_src_macs"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("ips")))).cast("long").alias("unique_src_ips"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("dsts")))).cast("long").alias("unique_dst_ips"),
-        F.sum(F.size("ips")).cast("long").alias("ip_mac_pair_count"),
-        F.max("n").alias("max_packets_per_mac"),
+    """Chained window aggregates: one small row per (window, distinct thing), then counts per window.
+
+    A packet states four facts: its MAC, its sender IP, its target IP and its (IP, MAC) pair were seen.  The first
+    aggregate keeps one row a fact, whose state is a few numbers; the second counts the rows by kind.
+    """
+    length = f"{window_seconds} seconds"
+    fact = lambda kind, a, b=None: F.struct(
+        F.lit(kind).alias("kind"), F.col(a).alias("a"), (F.col(b) if b else F.lit(None).cast("string")).alias("b"))
+    facts = packets.select("ts", "op", F.explode(F.array(
+        fact("mac", "src_mac"), fact("src", "src_ip"), fact("dst", "dst_ip"), fact("pair", "src_mac", "src_ip"))).alias("f"))
+    once = facts.groupBy(F.window("ts", length).alias("w"), "f").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("op") == 1).alias("n_req"), F.count_if(F.col("op") == 2).alias("n_rep"),
+    ).select(F.window_time("w").alias("wt"), "f", "n", "n_req", "n_rep")
+    known = lambda kind, c="f.a": F.count_if((F.col("f.kind") == kind) & F.col(c).isNotNull())
+    of_mac = lambda c: F.when(F.col("f.kind") == "mac", F.col(c))
+    per_win = once.groupBy(F.window("wt", length).alias("w2")).agg(
+        F.sum(of_mac("n")).alias("total"),
+        F.sum(of_mac("n_req")).alias("arp_request_count"),
+        F.sum(of_mac("n_rep")).alias("arp_reply_count"),
+        F.count_if(F.col("f.kind") == "mac").alias("unique_src_macs"),
+        known("src").alias("unique_src_ips"),
+        known("dst").alias("unique_dst_ips"),
+        known("pair", "f.b").alias("ip_mac_pair_count"),
+        F.max(of_mac("n")).alias("max_packets_per_mac"),
     )
     req, rep = F.col("arp_request_count"), F.col("arp_reply_count")
     return per_win.select(

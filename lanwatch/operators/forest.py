@@ -181,6 +181,30 @@ def score_samples(df: DataFrame, model: ForestModel, out: str = "_score") -> Dat
     return df.withColumn(out, iforest_score(*[F.col(c).cast("double") for c in model.features]))
 
 
+def walk_scores(df: DataFrame, model: ForestModel, key: str, out: str = "_walked") -> DataFrame:
+    """Scores of (scaled) rows by joins with the node table, a level of the trees at a time; no Python runs.
+
+    Independent of ``score_samples`` in all but the nodes.  A row becomes one small row a tree, which stays in its
+    partition, as the node table (at most trees x 511 rows) is broadcast; rows of equal key and values share a score.
+    """
+    spark = df.sparkSession
+    table = model.nodes.assign(length=[d + c_factor(s) for d, s in zip(model.nodes["depth"], model.nodes["size"], strict=True)])
+    nodes = spark.createDataFrame(table[["tree", "node", "feature", "threshold", "left", "right", "length"]]).select(
+        F.col("tree").cast("int").alias("tree"), F.col("node").cast("int").alias("node"), F.col("feature").cast("int").alias("feature"),
+        "threshold", F.col("left").cast("int").alias("left"), F.col("right").cast("int").alias("right"), "length")
+    x = F.array(*[F.col(c).cast("double") for c in model.features])
+    at = df.select(F.col(key).alias("_key"), x.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(model.n_trees - 1))).alias("tree"),
+                   F.lit(0).alias("node"))
+    for _ in range(int(model.nodes["depth"].max())):
+        on = at.join(F.broadcast(nodes), ["tree", "node"])
+        below = F.when(F.get("x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = on.select("_key", "x", "tree", F.when(F.col("feature") < 0, F.col("node")).otherwise(below).alias("node"))
+    mean = at.join(F.broadcast(nodes), ["tree", "node"]).groupBy("_key", "x").agg(F.avg("length").alias("h"))
+    norm = c_factor(model.psi)
+    score = -F.pow(F.lit(2.0), -F.col("h") / F.lit(norm)) if norm > 0 else F.lit(-1.0)
+    return mean.select(F.col("_key").alias(key), score.alias(out))
+
+
 def fit_isolation_forest(df: DataFrame, features=None, key: str = "window_start",
                          n_trees: int = FOREST_TREES, max_samples: int = FOREST_MAX_SAMPLES,
                          contamination: float = FOREST_CONTAMINATION, seed: int = FOREST_SEED) -> ForestModel:

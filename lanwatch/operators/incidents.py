@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import INCIDENT_SOURCE, INCIDENT_TYPE
+from ..sources.sinks import append_commit
 
 RISK_TYPE = T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("level", T.StringType()),
@@ -50,16 +51,20 @@ def build_incidents(assessed: DataFrame, created_at: str | Column, key_cols=("ev
     )
 
 
-def append_incidents(incidents: DataFrame, path: str) -> None:
-    """Append-only JSON Lines log."""
-    incidents.select(*[f.name for f in INCIDENT_SCHEMA.fields]).write.mode("append").json(path)
+def append_incidents(incidents: DataFrame, path: str, commit: str | None = None) -> None:
+    """Append-only JSON Lines log; with a ``commit`` name, the same call again replaces what it added before."""
+    rows = incidents.select(*[f.name for f in INCIDENT_SCHEMA.fields])
+    if commit is None:
+        rows.write.mode("append").json(path)
+    else:
+        append_commit(rows, path, commit)
 
 
 def read_incidents(spark: SparkSession, path: str) -> DataFrame:
     """Every record; a missing log is empty; a corrupt line fails the read."""
     if not _exists(spark, path):
         return spark.createDataFrame([], INCIDENT_SCHEMA)
-    return spark.read.schema(INCIDENT_SCHEMA).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(INCIDENT_SCHEMA).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -640,3 +640,54 @@ def ip_mapping_state(packets: DataFrame, gateways=None, semantics: str = "docume
         F.coalesce("change_count", F.lit(0).cast("long")).alias("change_count"),
         F.col("last_change_us"),
     )
+
+
+SUMMARY_SCHEMA = ("src_ip string, first_seen_us long, last_seen_us long, packet_count long, reply_count long, change_count long, "
+                  "last_change_us long, first_mac string, last_mac string, first_op int")
+
+
+def mapping_summary(packets: DataFrame) -> DataFrame:
+    """Per IP, counts and the MACs at both ends of these packets; summaries of following stretches can be merged."""
+    pk = _pk(packets)
+    order = F.struct("ts_us", "seq")
+    ends = pk.groupBy("src_ip").agg(
+        F.min("ts_us").alias("first_seen_us"), F.max("ts_us").alias("last_seen_us"), F.count(F.lit(1)).alias("packet_count"),
+        F.count_if(F.col("op") == S.OP_REPLY).alias("reply_count"), F.min_by("src_mac", order).alias("first_mac"),
+        F.max_by("src_mac", order).alias("last_mac"), F.min_by("op", order).alias("first_op"))
+    ch = mac_changes(packets).groupBy("src_ip").agg(F.count(F.lit(1)).alias("change_count"), F.max("ts_us").alias("last_change_us"))
+    return ends.join(ch, "src_ip", "left").select(
+        "src_ip", "first_seen_us", "last_seen_us", "packet_count", "reply_count",
+        F.coalesce("change_count", F.lit(0).cast("long")).alias("change_count"), "last_change_us", "first_mac", "last_mac", "first_op")
+
+
+def merge_summaries(*stretches: DataFrame) -> DataFrame:
+    """One summary of stretches of packets that follow one another in (time, seq), the earliest first.
+
+    An IP whose MAC differs between the end of a stretch and its next appearance changed there, when it appeared.
+    Any grouping of the stretches gives the same result; one row an IP and stretch is shuffled.
+    """
+    rows = None
+    for k, s in enumerate(stretches):
+        part = s.withColumn("_k", F.lit(k))
+        rows = part if rows is None else rows.unionByName(part)
+    w = Window.partitionBy("src_ip").orderBy("_k")
+    joint = F.lag("last_mac").over(w).isNotNull() & (F.lag("last_mac").over(w) != F.col("first_mac"))
+    rows = rows.withColumn("_joint", joint).withColumn("_at", F.when(F.col("_joint"), F.col("first_seen_us")))
+    return rows.groupBy("src_ip").agg(
+        F.min("first_seen_us").alias("first_seen_us"), F.max("last_seen_us").alias("last_seen_us"),
+        F.sum("packet_count").alias("packet_count"), F.sum("reply_count").alias("reply_count"),
+        (F.sum("change_count") + F.count_if("_joint")).alias("change_count"),
+        F.greatest(F.max("last_change_us"), F.max("_at")).alias("last_change_us"),
+        F.min_by("first_mac", "_k").alias("first_mac"), F.max_by("last_mac", "_k").alias("last_mac"), F.min_by("first_op", "_k").alias("first_op"))
+
+
+def state_from_summary(summary: DataFrame, gateways=None, semantics: str = "documented") -> DataFrame:
+    """The rows of ``ip_mapping_state`` from a summary."""
+    _check(semantics)
+    gws = list(gateways) if gateways else list(S.DEFAULT_GATEWAYS)
+    first = F.lit(1 if semantics == "observed" else 0).cast("long")
+    reply = first * F.coalesce(F.col("first_op") == S.OP_REPLY, F.lit(False)).cast("long")
+    pc, rc = F.col("packet_count") - first, F.col("reply_count") - reply
+    return summary.select(
+        "src_ip", F.col("last_mac").alias("current_mac"), "first_seen_us", "last_seen_us", pc.alias("packet_count"), rc.alias("reply_count"),
+        (pc - rc).alias("request_count"), F.col("src_ip").isin(gws).alias("is_gateway"), "change_count", "last_change_us")

@@ -257,6 +257,54 @@ def evaluate_unsupervised(spark, sf_dir):
     return d.select("evaluation_mode", "total_samples", "anomaly_count", "anomaly_rate", _z("median").alias("median"), _z("q75").alias("q75"))
 
 
+def walk_evidence(feats, change=lambda model: model):
+    """One row: windows, scores equal to a walk by joins, flagged share within both bounds, a planted outlier first and far.
+
+    The forest is fitted on the windows and one more that is far out in every feature; ``change`` may replace it.
+    """
+    far = feats.agg(*[(F.max(c) * 10 + 1000).alias(c) for c in MODEL_FEATURES]).withColumn("window_start", F.lit(-1.0))
+    planted = materialize(feats.select("window_start", *MODEL_FEATURES).unionByName(far.select("window_start", *MODEL_FEATURES)))
+    params = P.fit_scaler(planted)
+    scaled = materialize(P.transform_scaler(planted, params))
+    model = change(M.fit_isolation_forest(scaled))
+    preds = materialize(M.predict(model, planted, scaler=params).select("window_start", "anomaly_score", "is_anomaly"))
+    walked = M.walk_scores(scaled, model, "window_start")
+    here = F.col("window_start") >= 0
+    x = preds.join(walked, "window_start").agg(
+        F.count_if(here).alias("windows"),
+        F.count_if(here & (F.abs(F.round(F.col("_walked") - F.lit(model.offset), 6) - F.col("anomaly_score")) < 2e-6)).alias("walked_alike"),
+        F.count_if("is_anomaly").alias("flagged"), F.count(F.lit(1)).alias("n"),
+        F.min(F.when(here, F.col("anomaly_score"))).alias("least"), F.max(F.when(~here, F.col("anomaly_score"))).alias("outlier"))
+    n, share = F.col("n"), F.lit(model.contamination)
+    low, high = F.greatest(F.floor(share * (n - 1)), F.lit(1)), F.ceil(share * n)
+    return x.select("windows", "walked_alike", F.col("flagged").between(low, high).alias("share_holds"),
+                    (F.col("outlier") < F.col("least")).alias("outlier_first"))
+
+
+@register("forest_walk", """
+SELECT count(*) AS windows, count(*) AS walked_alike, true AS share_holds, true AS outlier_first FROM wf""", _BINNED)
+def forest_walk(spark, sf_dir):
+    """M1-M4: scores equal a walk of the node table by joins, a two-sided share, and a planted outlier ranks first."""
+    return walk_evidence(_chain(spark, sf_dir)[0])
+
+
+@register("predict_summary_row", """
+SELECT count(*) AS samples, true AS classes_add_up, true AS shares_agree, true AS more_agrees, true AS scores_agree FROM wf""", _BINNED)
+def predict_summary_row(spark, sf_dir):
+    """M5 and M6: the summary row agrees with the scores it sums up."""
+    _, _, _, preds = _chain(spark, sf_dir)
+    preds = materialize(preds)
+    summary, _ = M.predict_summary(preds)
+    own = preds.agg(F.count_if("is_anomaly").alias("_a"), F.min("anomaly_score").alias("_lo"), F.max("anomaly_score").alias("_hi"),
+                    F.avg("anomaly_score").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
+    return summary.join(own, F.col("samples") == F.col("_n"), "left").select(
+        "samples", (F.col("normal") + F.col("anomalous") == F.col("samples")).alias("classes_add_up"),
+        (F.abs(F.col("anomalous_pct") - 100 * F.col("_a") / F.col("_n")) <= 0.05).alias("shares_agree"),
+        (F.col("more_anomalies") == F.greatest(F.col("_a") - 10, F.lit(0))).alias("more_agrees"),
+        (close("score_min", "_lo") & close("score_max", "_hi") & close("score_mean", "_m")).alias("scores_agree"))
+
+
 @register("forest_check", """
 SELECT count(*) AS windows, count(*) AS scored, true AS share_holds, true AS signs_agree, true AS summary_agrees,
        count(*) AS loaded_alike FROM wf""", _BINNED)

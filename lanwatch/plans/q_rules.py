@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import alerts as H
 from ..operators import rules as R
 from ..sources import fixture
+from ..sources import sinks as K
 from .catalog import register
 
 # ----------------------------------------------------------------- oracle CTEs
@@ -210,6 +211,31 @@ def ip_mapping_state(spark, sf_dir):
     return R.ip_mapping_state(_pk(spark, sf_dir))
 
 
+@register("ip_mapping_incremental", """
+SELECT p.src_ip, arg_max(src_mac, (ts_us, seq)) AS current_mac, min(ts_us) AS first_seen_us,
+       max(ts_us) AS last_seen_us, count(*) AS packet_count,
+       count(*) FILTER (WHERE op = 2) AS reply_count, count(*) FILTER (WHERE op IS DISTINCT FROM 2) AS request_count,
+       p.src_ip IN ('192.168.1.1', '10.0.0.1') AS is_gateway,
+       coalesce(any_value(c.n), 0) AS change_count, any_value(c.last_us) AS last_change_us
+FROM packets p LEFT JOIN (SELECT src_ip, count(*) AS n, max(ts_us) AS last_us FROM changes GROUP BY src_ip) c
+  ON c.src_ip = p.src_ip
+GROUP BY p.src_ip""", """
+lagged AS (SELECT *, lag(src_mac) OVER (PARTITION BY src_ip ORDER BY ts_us, seq) AS prev_mac FROM packets),
+changes AS (SELECT * FROM lagged WHERE prev_mac IS NOT NULL AND prev_mac <> src_mac)""")
+def ip_mapping_incremental(spark, sf_dir):
+    """The state of the first two thirds is saved, and merged with the summary of the rest."""
+    from ..session import scratch
+    p = _pk(spark, sf_dir)
+    lo, hi = p.agg(F.min("ts_us"), F.max("ts_us")).first()
+    cuts = [lo + (hi - lo) // 3, lo + 2 * (hi - lo) // 3]
+    parts = [p.where(F.col("ts_us") < cuts[0]), p.where((F.col("ts_us") >= cuts[0]) & (F.col("ts_us") < cuts[1])), p.where(F.col("ts_us") >= cuts[1])]
+    path = scratch(spark, "mapping-state")
+    for part in parts:
+        known = K.load_state(spark, path, spark.createDataFrame([], R.SUMMARY_SCHEMA).schema)
+        K.save_state(R.merge_summaries(known, R.mapping_summary(part)), path)
+    return R.state_from_summary(K.load_state(spark, path, spark.createDataFrame([], R.SUMMARY_SCHEMA).schema))
+
+
 @register("mac_change_log", "SELECT src_ip, seq, ts_us, prev_mac AS previous_mac, src_mac AS new_mac FROM changes", """
 lagged AS (SELECT *, lag(src_mac) OVER (PARTITION BY src_ip ORDER BY ts_us, seq) AS prev_mac FROM packets),
 changes AS (SELECT * FROM lagged WHERE prev_mac IS NOT NULL AND prev_mac <> src_mac)""")

@@ -77,15 +77,34 @@ class StateCorruptError(RuntimeError):
     pass
 
 
-def load_state(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A state table; a missing path is an empty table with ``schema``.
+def _path(spark: SparkSession, path: str):
+    """(Hadoop file system, path)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    A path that exists but cannot be read raises (silently dropping a trust
-    list would be unsafe).
+
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the snapshots that were saved in full, in order."""
+    fs, p = _path(spark, f"{path}/_commits")
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def load_state(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", version: int | None = None) -> DataFrame:
+    """A state table, by its last committed snapshot (or the ``version`` asked for).
+
+    A missing path is an empty table with ``schema``.  A path that exists but cannot be read raises (silently
+    dropping a trust list would be unsafe).  A folder without commits is read as a plain table.
     """
     from ..operators.incidents import _exists
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
+    versions = committed_versions(spark, path)
+    if version is not None and version not in versions:
+        raise StateCorruptError(f"state table at {path} has no version {version}")
+    if not versions and _exists(spark, f"{path}/_commits"):
+        return spark.createDataFrame([], schema)
+    if versions:
+        path = f"{path}/version={versions[-1] if version is None else version}"
     try:
         reader = spark.read.schema(schema)
         if fmt == "json":
@@ -97,6 +116,29 @@ def load_state(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
         raise StateCorruptError(f"state table at {path} is unreadable: {e}") from e
 
 
-def save_state(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Snapshot overwrite of a small state table."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def save_state(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 2) -> int:
+    """Save a snapshot as a folder of its own, then commit it; returns its version.
+
+    The commit is one small file that must not exist yet, so it is there or not, and of two writers of one version the
+    second fails.  A save that dies before it leaves the last snapshot as it was; what it wrote is overwritten by the
+    next save.  ``df`` may read the table that it replaces.  The last ``keep`` snapshots stay.
+    """
+    spark = df.sparkSession
+    versions = committed_versions(spark, path)
+    version = versions[-1] + 1 if versions else 0
+    fs, commits = _path(spark, f"{path}/_commits")
+    fs.mkdirs(commits)
+    df.write.mode("overwrite").format(fmt).save(f"{path}/version={version}")
+    fs.create(_path(spark, f"{path}/_commits/{version}")[1], False).close()
+    for old in versions[:max(0, len(versions) + 1 - keep)]:
+        # the commit goes first: no reader picks a folder that is about to go
+        fs.delete(_path(spark, f"{path}/_commits/{old}")[1], False)
+        fs.delete(_path(spark, f"{path}/version={old}")[1], True)
+    return version
+
+
+def append_commit(df: DataFrame, path: str, commit: str, fmt: str = "json") -> None:
+    """Add rows to a log under a name of the caller's; the same name again replaces them, so a retry doubles nothing."""
+    if not commit or any(c in commit for c in "/=\\"):
+        raise ValueError("a commit name is a plain word")
+    df.write.mode("overwrite").format(fmt).save(f"{path}/commit={commit}")

@@ -40,6 +40,10 @@ WINDOW = 4096
 END = 2
 GROUP = 4096
 BLOCK = 1024       # rows whose pieces are counted together
+# text that a worker tokenises at once, and its word cache: more of either saves time, as words are shared, and takes
+# memory; results are the same.  A stage of the pipeline shares its executor with what earlier stages left in the JVM
+SLICE, CACHE = 9 << 20, 96 << 20
+STAGE_SLICE, STAGE_CACHE = 3 << 20, 64 << 20
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, file long, row long"
 
@@ -57,14 +61,14 @@ def _written_at(docs: DataFrame) -> tuple[Column, Column, Column]:
     return F.coalesce(number.try_cast("long"), F.lit(-1).cast("long")), F.xxhash64(meta["file_path"]), meta["row_index"]
 
 
-def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, slice_bytes: int = SLICE, cache_bytes: int = CACHE) -> DataFrame:
     """One row for each piece of each document."""
     C.for_python(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices = tokens.encoder(tokenizer, special=True).slices
+        encoder = tokens.encoder(tokenizer, special=True, cache_bytes=cache_bytes)
         for batch in batches:
-            for first, ids, at in slices(batch.column(1)):
+            for first, ids, at in encoder.slices(batch.column(1), slice_bytes):
                 total = np.diff(at) + 1                          # with the end id
                 n = -(-total // window)
                 of = np.repeat(np.arange(len(total)), n)
@@ -157,10 +161,11 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end: int = END, group: int = GROUP) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, end: int = END, group: int = GROUP,
+         slice_bytes: int = SLICE, cache_bytes: int = CACHE) -> DataFrame:
     """Pieces with their sequence, offset and padded length."""
-    with C.arrow_batches(docs.sparkSession):
-        cut = C.staged(pieces(docs, tokenizer or tokens.default_path(), window, end), "pieces")
+    with C.arrow_batches(docs.sparkSession, f"{slice_bytes}b"):
+        cut = C.staged(pieces(docs, tokenizer or tokens.default_path(), window, end, slice_bytes, cache_bytes), "pieces")
 
     def place(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "at"], ascending=[False, True], kind="stable").reset_index(drop=True)
@@ -181,4 +186,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: the packed pieces of every row of ``docs``."""
-    return pack(docs)
+    return pack(docs, slice_bytes=STAGE_SLICE, cache_bytes=STAGE_CACHE)

@@ -34,7 +34,8 @@ def default_path() -> str:
 class WordEncoder:
     """Ids of a word-end tokenizer (one that drops white space and marks word ends by ``</w>``)."""
 
-    def __init__(self, path: str, special: bool = False):
+    def __init__(self, path: str, special: bool = False, cache_bytes: int | None = None):
+        self.most = CACHE_BYTES if cache_bytes is None else cache_bytes
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
@@ -76,7 +77,7 @@ class WordEncoder:
             stems.append(stem)
             ends.append(mark)
         new = set(stems).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE or self.held > CACHE_BYTES:
+        if len(self.cache) + len(new) > CACHE or self.held > self.most:
             self.cache.clear()
             self.held, new = 0, set(stems)
         if new:
@@ -91,10 +92,10 @@ class WordEncoder:
             each[i] = get(s) + marks[m]
         return each
 
-    def slices(self, texts: pa.Array):
+    def slices(self, texts: pa.Array, most: int | None = None):
         """(first text, ids of a few texts in a row, where each text's begin, with the end), a slice at a time.  No text is null."""
         texts = texts.cast(pa.large_string())        # before slicing: kernels misread a cast slice
-        for a, b in _slices(texts):
+        for a, b in _slices(texts, most):
             ids, counts = self._slice(texts.slice(a, b - a))
             yield a, ids, np.concatenate(([0], np.cumsum(counts)))
 
@@ -147,16 +148,16 @@ class WordEncoder:
         return ids, counts
 
 
-def _slices(texts: pa.Array):
-    """Ranges of texts of about ``SLICE_BYTES`` each."""
+def _slices(texts: pa.Array, most: int | None = None):
+    """Ranges of texts of about ``most`` (``SLICE_BYTES``) each."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    part = np.cumsum(size) // SLICE_BYTES
+    part = np.cumsum(size) // (SLICE_BYTES if most is None else most)
     cuts = np.flatnonzero(np.diff(part)) + 1 if len(part) else []
     edges = [0, *map(int, cuts), len(size)]
     return [(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, special: bool = False) -> WordEncoder:
+def encoder(path: str, special: bool = False, cache_bytes: int | None = None) -> WordEncoder:
     """One for each Python worker and vocabulary."""
-    return WordEncoder(path, special)
+    return WordEncoder(path, special, cache_bytes)

@@ -5,23 +5,28 @@ and so on; they share ``SHARE`` of all words by weight.  No target exceeds ``MAX
 source's words; the excess is shared again by weight among the others until none is above.  The table
 of sources is worked on by one window over one row per source.
 
-Taking.  A source is read in a fixed random order (an MD5 of doc_id and text, so reruns agree): whole passes
-first, then the documents whose words bring the sum nearest to the target.  Documents are taken whole, so
-a source is at most half a document off.  The running sum over a source, which may hold a third of all
-rows, is a prefix sum in two levels: within the 4096 buckets of the order, and over the buckets' sums.
+Taking.  A source is read in a fixed random order (an MD5 of doc_id, source and text, so reruns agree): whole
+passes first, then as many words of a last pass as the target leaves, so that the document at its end is taken in
+part and a source is less than a word off.  The running sum over a source, which may hold a third of all
+rows, is a prefix sum in two levels: within the 4096 buckets of the order, and over the buckets' sums.  Repeated
+rows have one key; they are dealt over ``SALTS`` groups that are counted before the sum, so no bucket holds them all.
 
 Curriculum.  A source's weight at time t in [0, 1] is ``target * (1 + s * (2 t - 1))``: its slope ``s`` runs
 from ``-SLOPE`` for the first source to ``SLOPE`` for the last, so that early sources fade out.  The integral
 is the share of its words demanded by t, ``(1 - s) t + s t**2``; the root of that quadratic gives every
-taken document, by the words taken before its middle, its training position.  ``ordered`` range-sorts by it.
-
-Edge cases: null text has size 0 and takes 0 words; null source is a source; null doc_id is ordered first;
-repeated rows have equal keys: they are taken alike within a tie, told apart by ``row``; an empty table gives
-an empty result; extra columns are ignored (operator) or carried (stage).
+taken copy, by the words taken before its middle, its training position.  ``mix`` gives both copies' positions and
+sorts by the first; ``ordered`` range-sorts the documents by it.  A table of documents holds whole texts, so ``ordered``
+has a copy taken in part if at least half of it is taken.
+
+Edge cases: null text has size 0 and takes 0 words; null source is a source; null doc_id is ordered like any
+other; repeated rows have equal keys and take consecutive places, whichever row comes first; very long texts are
+sized whole and taken like others; an empty table gives an empty result; extra columns are ignored (operator) or
+carried (stage).
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +40,7 @@ MAX_PASSES = 2
 SLOPE = 0.5
 BUCKET_DIGITS = 3        # hexadecimal digits of the order key: 4096 buckets a source
 SALT = "mix"
+SALTS = 256              # groups of the rows of one key
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -68,37 +74,56 @@ def targets(sizes: DataFrame) -> DataFrame:
     return t.select("source", "source_size", "target", "slope")
 
 
-def takes(docs: DataFrame) -> DataFrame:
-    """One row per document: key, size, source, target, copies taken and the curriculum position of each copy.
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_file`` and ``_at``, which tell its rows apart and stay the same when it is read again."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta["row_index"]).schema      # plain tables and some formats have none
+    except AnalysisException:
+        docs = C.staged(docs, "mix")
+        meta = docs.metadataColumn("_metadata")
+    return C.packed(docs, "doc_id", "text", "source").withColumns(
+        {"_file": F.xxhash64(meta["file_path"]), "_at": meta["row_index"]})
+
+
+def takes(placed: DataFrame) -> DataFrame:
+    """One row per document of ``_placed``: size, source, target, words taken and the position of each copy.
 
-    ``docs`` has doc_id, text, source.
+    ``copies`` counts the copies of which half or more is taken.
     """
-    rows = C.staged(docs.select(
-        "doc_id", "source", C.n_words(C.text_of()).alias("size"),
-        F.md5(F.concat(F.lit(SALT), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
-        F.xxhash64(C.text_of()).alias("h"))
+    order = F.concat(F.lit(SALT), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"),
+                     F.coalesce(F.concat(F.lit("+"), "source"), F.lit("-")), F.lit("\n"), C.text_of())
+    rows = C.staged(placed.select(
+        "_file", "_at", "doc_id", "source", C.n_words(C.text_of()).alias("size"), F.md5(order).alias("key"),
+        F.pmod("_at", F.lit(SALTS)).alias("salt"))
         .withColumn("bucket", F.conv(F.substring("key", 1, BUCKET_DIGITS), 16, 10).cast("int")), "sizes")
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("source", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("words_before"))
+    same = rows.groupBy("source", "bucket", "key", "salt").agg(F.sum("size").alias("words"))
+    sums = same.groupBy("source", "bucket").agg(F.sum("words").alias("words"))
+    upto = lambda w: F.coalesce(F.sum("words").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select("source", "bucket", upto(Window.partitionBy("source").orderBy("bucket")).alias("words_before"))
     goal = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")))
     plan = C.staged(starts.join(goal, starts.source.eqNullSafe(goal.source)).select(
         starts.source.alias("_source"), F.col("bucket").alias("_bucket"), "words_before", "source_size", "target", "slope"), "plan")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "h").rowsBetween(Window.unboundedPreceding, -1)
-    whole = F.least(F.lit(MAX_PASSES), F.floor(F.col("target") / F.col("source_size")))
-    return (rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-            .join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
-            .withColumn("at", F.col("words_before") + F.col("inside"))         # words of its source before it
-            .withColumn("passes", F.when(F.col("source_size") > 0, whole).otherwise(0))
-            .withColumn("extra", F.col("target") - F.col("passes") * F.col("source_size"))
-            # a document is in the last, partial pass if its middle lies before the end of that pass
-            .withColumn("copies", (F.col("passes") + ((F.col("passes") < MAX_PASSES)
-                                   & (F.col("at") + F.col("size") / 2 <= F.col("extra")) & (F.col("size") > 0)).cast("int")).cast("int"))
-            .withColumn("copies", F.when(F.col("size") > 0, F.col("copies")).otherwise(0))
-            .withColumn("taken", F.col("size") * F.col("copies"))
+    at = (same.withColumn("inside", upto(Window.partitionBy("source", "bucket").orderBy("key", "salt")))
+          .join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")))
+          .select("key", "salt", (F.col("words_before") + F.col("inside")).alias("first"), "source_size", "target", "slope"))
+    nth = F.row_number().over(Window.partitionBy("key", "salt").orderBy("_file", "_at")) - 1
+    passes = F.least(F.lit(MAX_PASSES), F.floor(F.col("target") / F.col("source_size")))
+    half = F.col("size") / 2
+    return (rows.withColumn("nth", nth).join(at, ["key", "salt"])
+            .withColumn("at", F.col("first") + F.col("nth") * F.col("size"))         # words of its source before it
+            .withColumn("passes", F.when(F.col("source_size") > 0, passes).otherwise(0))
+            .withColumn("extra", F.floor(F.col("target") - F.col("passes") * F.col("source_size") + 1e-6))
+            # words of the last, partial pass
+            .withColumn("part", F.when(F.col("passes") < MAX_PASSES, F.greatest(
+                F.lit(0), F.least("size", F.col("extra") - F.col("at")))).otherwise(0))
+            .withColumn("taken", (F.col("passes") * F.col("size") + F.col("part")).cast("long"))
+            .withColumn("copies", F.when(F.col("size") > 0, F.col("passes") + (F.col("part") >= half).cast("int")).otherwise(0).cast("int"))
             .withColumn("positions", F.transform(
-                F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>")),
-                lambda k: _position((k * F.col("source_size") + F.col("at") + F.col("size") / 2) / F.col("target")))))
+                F.when(F.col("taken") > 0, F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1))
+                .otherwise(F.array().cast("array<int>")),
+                lambda k: _position((k * F.col("source_size") + F.col("at")
+                                     + F.when(k < F.col("passes"), half).otherwise(F.col("part") / 2)) / F.col("target")))))
 
 
 def _position(share):
@@ -109,27 +134,19 @@ def _position(share):
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Size, target and words taken of every row of ``docs``, and the position of its first copy."""
-    return takes(docs.select("doc_id", "text", "source")).select(
-        "doc_id", "size", "source_size", "target", "taken",
-        F.round(F.get("positions", F.lit(0)), 9).alias("position"))
+    """Size, target and words taken of every row of ``docs``, whole copies and both copies' positions, by the first position."""
+    return takes(_placed(docs.select("doc_id", "text", "source"))).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies",
+        *[F.round(F.get("positions", F.lit(k)), 9).alias(name) for k, name in enumerate(("position", "position_2"))]
+    ).orderBy("position")
 
 
 def ordered(docs: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, all columns, range-sorted by training position."""
-    plan = takes(docs.select("doc_id", "text", "source")).select(
-        F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("source").alias("_s"), "positions").filter(F.size("positions") > 0)
-    # repeated rows share a key: their positions go to one of them
-    once = C.staged(plan.groupBy("_d", "_h", "_s").agg(
-        F.flatten(F.collect_list("positions")).alias("positions"), F.count("*").alias("n")), "positions")
-    rows = C.packed(docs, "doc_id", "text", "source").withColumn("_k", F.xxhash64(C.text_of())).drop("text")
-    twice = once.filter("n > 1")
-    if not twice.isEmpty():
-        same = [rows.doc_id.eqNullSafe(twice._d), rows._k == twice._h, rows.source.eqNullSafe(twice._s)]
-        again = rows.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_k", "source"])
-        rows = rows.join(twice, same, "left_anti").union(again)
-    joined = rows.join(once, rows.doc_id.eqNullSafe(once._d) & (rows._k == once._h) & rows.source.eqNullSafe(once._s))
-    return (joined.select("_row", F.explode("positions").alias("position"))
+    """The documents as often as the mix takes them (``_row``), range-sorted by training position."""
+    rows = _placed(docs)
+    plan = C.staged(takes(rows).filter("copies > 0").select(
+        "_file", "_at", F.explode(F.slice("positions", F.lit(1), F.col("copies"))).alias("position")), "positions")
+    return (rows.select("_row", "_file", "_at").join(plan, ["_file", "_at"]).select("_row", "position")
             .repartitionByRange("position").sortWithinPartitions("position"))
 
 
@@ -140,7 +157,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 ORACLE = rf"""
 WITH d AS (SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda v: v <> '')) AS size,
-                  md5('{SALT}' || coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+                  md5('{SALT}' || coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce('+' || source, '-') || chr(10) || coalesce(text, '')) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 n AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS place, count(*) OVER () AS k FROM s),
 w AS (SELECT *, ([5, 2, 1])[place % 3 + 1] AS weight, 1.5 * sum(source_size) OVER () AS budget, 2.0 * source_size AS cap FROM n),
@@ -154,9 +171,13 @@ a AS (SELECT d.*, t.source_size, t.target, t.slope,
              coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
              CASE WHEN t.source_size > 0 THEN least(2, floor(t.target / t.source_size)) ELSE 0 END AS passes
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, CASE WHEN size = 0 THEN 0 ELSE passes + CASE WHEN passes < 2 AND ahead + size / 2.0 <= target - passes * source_size THEN 1 ELSE 0 END END AS copies,
-             CASE WHEN target > 0 THEN least(1.0, (ahead + size / 2.0) / target) END AS u FROM a)
-SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken,
-       CASE WHEN copies > 0 THEN round(2 * u / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * u)), 9) END AS position
-FROM c
+c AS (SELECT *, CASE WHEN passes < 2 THEN greatest(0, least(size, floor(target - passes * source_size + 1e-6) - ahead)) ELSE 0 END AS part FROM a),
+e AS (SELECT *, passes * size + part AS taken,
+             CASE WHEN target > 0 THEN least(1.0, (ahead + CASE WHEN passes > 0 THEN size / 2.0 ELSE part / 2.0 END) / target) END AS u,
+             CASE WHEN target > 0 THEN least(1.0, (source_size + ahead + CASE WHEN passes > 1 THEN size / 2.0 ELSE part / 2.0 END) / target) END AS v FROM c)
+SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
+       CASE WHEN size = 0 THEN 0 ELSE passes + CASE WHEN part >= size / 2.0 THEN 1 ELSE 0 END END::INTEGER AS copies,
+       CASE WHEN taken > 0 THEN round(2 * u / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * u)), 9) END AS position,
+       CASE WHEN taken > size THEN round(2 * v / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * v)), 9) END AS position_2
+FROM e
 """

@@ -39,22 +39,28 @@ def test_targets_and_takes(spark):
         size[r[3]] += len((r[1] or "").split())
     want = reshared(size)
     source = {r[0]: r[3] for r in rows}
-    taken, most = Counter(), max(r.size for r in got)
+    taken, partly = Counter(), Counter()
     for r in got:
         s = source[r.doc_id]
         assert r.source_size == size[s] and r.target == pytest.approx(want[s])
-        assert r.taken in (0, r.size, 2 * r.size) and (r.position is None) == (r.taken == 0)
+        assert 0 <= r.taken <= 2 * r.size
+        assert (r.position is None) == (r.taken == 0) and (r.position_2 is None) == (r.taken <= r.size)
+        assert r.position_2 is None or r.position < r.position_2
         taken[s] += r.taken
+        partly[s] += r.size > 0 and r.taken % r.size > 0
     for s in size:
-        assert abs(taken[s] - want[s]) <= most
+        assert abs(taken[s] - want[s]) < 1 and partly[s] <= 1
+    first = [r.position for r in got if r.position is not None]
+    assert first == sorted(first)
     again = mixing.mix(docs_frame(spark, rows[::-1])).collect()
-    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.taken, r.position or 0)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.taken, r.position or 0, r.position_2 or 0)
     assert sorted(got, key=key) == sorted(again, key=key)
 
 
 def test_demand_follows_the_schedule(spark):
     rows = [(i, "w " * 10, None, s) for i, s in enumerate("ab" * 500)]
-    got = [(x, "ab"[r.doc_id % 2]) for r in mixing.takes(docs_frame(spark, rows)).collect() for x in r.positions]
+    got = [(x, "ab"[r.doc_id % 2]) for r in mixing.mix(docs_frame(spark, rows)).collect()
+           for x in (r.position, r.position_2) if x is not None]
     # the first source's weight falls from 1.5 to 0.5, the last one's rises
     for s, slope in (("a", -0.5), ("b", 0.5)):
         p = sorted(x for x, t in got if t == s)
@@ -69,7 +75,7 @@ def test_stage_repeats_and_orders(spark):
     assert out.columns == df.columns
     n = Counter((r.doc_id, r.text) for r in out.collect())
     want = Counter()
-    for r in mixing.takes(df.select("doc_id", "text", "source")).collect():
+    for r in mixing.mix(df).collect():
         text = next(x[1] for x in rows if x[0] == r.doc_id)
         want[(r.doc_id, text)] += r.copies
     assert n == +want
@@ -77,6 +83,18 @@ def test_stage_repeats_and_orders(spark):
     assert pos == sorted(pos)
 
 
+def test_repeated_rows(spark):
+    """Thousands of equal rows, without an id: each is taken by its own place, and the rows keep their other columns."""
+    rows = [(None, "a b c d", str(i), "x") for i in range(3000)] + [(i, "e f g", None, "yz"[i % 2]) for i in range(500)]
+    df = docs_frame(spark, rows)
+    got = [r for r in mixing.mix(df).collect() if r.doc_id is None]
+    assert len(got) == 3000 and abs(sum(r.taken for r in got) - got[0].target) < 1
+    out = mixing.ordered(df).select("_row.*", "position").filter("source = 'x'").collect()
+    assert len({r.position for r in out}) == len(out) == sum(r.copies for r in got)
+    n = Counter(r.lang for r in out)
+    assert max(n.values()) - min(n.get(str(i), 0) for i in range(3000)) <= 1
+
+
 def test_empty(spark):
     assert mixing.mix(docs_frame(spark, [])).collect() == []
     assert mixing.stage(spark, docs_frame(spark, []), "").collect() == []

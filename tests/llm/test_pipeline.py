@@ -36,7 +36,7 @@ def test_each_stage_against_its_input(stages):
     assert rows(kept) == Counter(r for r, c in zip(before, first, strict=True) if r[0] == c)
     new = {r.doc_id: r.text for r in surrogates.replace_personal_data(kept).collect()}
     assert rows(clean) == Counter((d, new[d], lang, s, len(new[d])) for d, _, lang, s, _ in rows(kept))
-    taken = {r.doc_id: r.taken // r.size if r.size else 0 for r in mixing.mix(clean).collect()}
+    taken = {r.doc_id: r.copies for r in mixing.mix(clean).collect()}
     assert rows(mixed) == +Counter({r: n * taken[r[0]] for r, n in rows(clean).items()})
 
 

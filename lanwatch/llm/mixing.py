@@ -138,7 +138,7 @@ def mix(docs: DataFrame) -> DataFrame:
     return takes(_placed(docs.select("doc_id", "text", "source"))).select(
         "doc_id", "size", "source_size", "target", "taken", "copies",
         *[F.round(F.get("positions", F.lit(k)), 9).alias(name) for k, name in enumerate(("position", "position_2"))]
-    ).orderBy("position")
+    ).orderBy("position", "doc_id", "source_size")       # the untaken share no position; ids spread them over ranges
 
 
 def ordered(docs: DataFrame) -> DataFrame:

@@ -11,15 +11,14 @@ updated before they look), the rate rule sees every packet twice in a
 200-entry buffer, the storm rule sees the last 50 requests twice.
 
 Sliding measures come from ``sliding`` (hot-key safe, exact); the member
-lists of rules 2 and 5 come from one sorted sweep per (key, time bucket)
-group that contains a firing packet.
+lists of rules 2 and 5 come from an interval join (``intervals``) in the
+(key, time bucket) groups that contain a firing packet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -28,6 +27,7 @@ from pyspark.sql import types as T
 from ..functions.mac import normalize_mac
 from .. import schema as S
 from ..session import materialize
+from . import intervals as I
 from . import sliding as SL
 
 SEMANTICS = ("documented", "observed")
@@ -118,90 +118,61 @@ def _pk(packets: DataFrame) -> DataFrame:
     return packets.select("seq", "ts_us", "op", "src_ip", "src_mac", "dst_ip")
 
 
-# ------------------------------------------------------------ window sweep
-
-_SWEEP_SCHEMA = ("seq long, ts_us long, _pb long, n_distinct long, n_rows long, own_rank long, "
-                 "members array<struct<value:string,n:long>>")
-
-
-def _sweeper(w_us: int, min_distinct: int, passthrough: list[str], max_members: int | None = None):
-    import heapq
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts_us", "seq"], kind="mergesort")
-        ts = pdf["ts_us"].to_numpy()
-        vals = pdf["_v"].to_numpy(dtype=object)
-        own = pdf["_own"].to_numpy(dtype=bool)
-        seqs = pdf["seq"].to_numpy()
-        extra = {c: pdf[c].to_numpy(dtype=object) for c in passthrough}
-        counts: dict = {}
-        lo = 0
-        rank = 0
-        idx, n_rows, ranks, members, n_dist = [], [], [], [], []
-        for i in range(len(pdf)):
-            v = vals[i]
-            if v is not None:
-                counts[v] = counts.get(v, 0) + 1
-            while ts[lo] <= ts[i] - w_us:
-                u = vals[lo]
-                if u is not None:
-                    counts[u] -= 1
-                    if counts[u] == 0:
-                        del counts[u]
-                lo += 1
-            if own[i]:
-                rank += 1
-                if len(counts) >= min_distinct:
-                    idx.append(i)
-                    n_rows.append(i - lo + 1)
-                    ranks.append(rank)
-                    keys = sorted(counts) if max_members is None else heapq.nsmallest(max_members, counts)
-                    members.append([{"value": k, "n": counts[k]} for k in keys])
-                    n_dist.append(len(counts))
-        res = pd.DataFrame({
-            "seq": pd.Series(seqs[idx], dtype="int64"),
-            "ts_us": pd.Series(ts[idx], dtype="int64"),
-            "_pb": pd.Series([int(pdf["_pb"].iloc[0])] * len(idx), dtype="int64"),
-            "n_distinct": pd.Series(n_dist, dtype="int64"),
-            "n_rows": pd.Series(n_rows, dtype="int64"),
-            "own_rank": pd.Series(ranks, dtype="int64"),
-        })
-        res["members"] = members
-        for c in passthrough:
-            res[c] = pd.Series(extra[c][idx], dtype=object)
-        return res
-    return sweep
-
-
-def sweep_firing_groups(laid: DataFrame, keys, fire: Column, w_us: int, min_distinct: int,
-                        passthrough, max_members: int | None = None) -> DataFrame:
-    """Sweep the ``(key, bucket)`` groups of a halo-laid frame that hold a
-    firing row.  ``laid`` must come partitioned and sorted by ``(key, _pb)``
-    (the output of a window over that layout): the group flag is a window
-    over the same partitioning and the pandas grouping reuses it, so no
-    shuffle is added."""
+# ------------------------------------------------------------ window members
+
+def firing_members(laid: DataFrame, keys, n_distinct: str, w_us: int, min_distinct: int,
+                   passthrough, max_members: int | None = None) -> DataFrame:
+    """Members of the window of each firing row of a halo-laid frame, by an interval join.
+
+    A row fires if it is its bucket's own and ``n_distinct`` reaches ``min_distinct``.  Only ``(key, bucket)``
+    groups that hold a firing row go on.  There each row enters at its place and leaves ``w`` later; between two
+    events of a value its count is constant, which gives intervals (value, count, from, to) in places of the group.
+    ``intervals.covering`` meets firing rows and intervals by equality on blocks of places, so a hot group is
+    spread and no pair is tried in vain.
+
+    With ``max_members`` the members are the smallest values, without counts, from the merged stretches in which a
+    value is present.  ``laid`` must come partitioned by ``(key, _pb)``: the windows here add no shuffle.
+    Result: keys, ``_pb``, ``passthrough``, seq, ts_us, n_distinct, n_rows (rows in the window), own_rank (the
+    row's number among its bucket's own rows), members (sorted; value, n).
+    """
     keys = SL._cols(keys)
-    cols = list(dict.fromkeys(list(keys) + list(passthrough)))
-    flag = F.max(fire.cast("int")).over(Window.partitionBy(*keys, "_pb"))
-    groups = laid.withColumn("_gf", flag).where(F.col("_gf") == 1)
-    schema = _SWEEP_SCHEMA + "".join(f", {c} string" for c in cols)
-    return (groups.select(*dict.fromkeys(cols + ["ts_us", "seq", "_v", "_pb", "_own"]))
-            .groupBy(*keys, "_pb").applyInPandas(_sweeper(w_us, min_distinct, cols, max_members), schema))
-
-
-def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int,
-                 passthrough=(), bucket_us: int | None = None, max_members: int | None = None) -> DataFrame:
-    """Rows whose key window ``(t - w, t]`` holds at least ``min_distinct``
-    distinct ``value``s, with the sorted ``(value, count)`` members.
-
-    One shuffle: the packets are laid out by ``(key, time bucket)`` with a
-    look-back halo; a JVM pass (delta events) measures every row; the groups
-    holding a firing row are then swept in arrival order by a pandas
-    function (O(rows + output) per group) on the same partitions.  A group
-    is bounded by the bucket length (10 x w by default), not by the key.
-    ``own_rank`` is the row's number among its bucket's own rows (for
-    running counts); ``passthrough`` string columns are carried to the
-    output; ``max_members`` keeps only the smallest members.
+    group = [*keys, "_pb"]
+    cols = [c for c in dict.fromkeys(passthrough) if c not in keys]
+    whole = Window.partitionBy(*group)
+    fires = F.col("_own") & (F.col(n_distinct) >= min_distinct)
+    x = (laid.select(*dict.fromkeys([*group, *cols, "ts_us", "seq", "_v", "_own"]), F.col(n_distinct).alias("n_distinct"), fires.alias("_f"))
+         .withColumn("_any", F.max("_f").over(whole)).withColumn("_size", 2 * F.count(F.lit(1)).over(whole))
+         .where("_any").drop("_any"))
+    event = F.explode(F.array(
+        F.struct(F.col("ts_us").alias("t"), F.lit(1).alias("kind"), F.lit(1).cast("long").alias("d")),
+        F.struct((F.col("ts_us") + F.lit(w_us)).alias("t"), F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("d"))))
+    order = Window.partitionBy(*group).orderBy("_e.t", "_e.kind", "seq")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    e = (x.withColumn("_e", event)
+         .withColumn("_pos", (F.row_number().over(order) - 1).cast("long"))
+         .withColumn("n_rows", F.sum("_e.d").over(so_far))
+         .withColumn("own_rank", F.sum((F.col("_own") & (F.col("_e.kind") == 1)).cast("long")).over(so_far)))
+    by_value = Window.partitionBy(*group, "_v").orderBy("_pos")
+    steps = (e.where(F.col("_v").isNotNull())
+             .withColumn("_n", F.sum("_e.d").over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    if max_members is not None:
+        # where a value appears and where it is gone again
+        steps = steps.where(F.col("_n") == F.col("_e.kind"))
+    steps = (steps.withColumn("_to", F.lead("_pos").over(by_value)).where(F.col("_n") > 0)
+             .withColumnRenamed("_pos", "_from"))
+    n = F.lit(None).cast("long") if max_members is not None else F.col("_n")
+    points = e.where(F.col("_f") & (F.col("_e.kind") == 1)).select(
+        *group, "_pos", "_size", *cols, "ts_us", "seq", "n_distinct", "n_rows", "own_rank")
+    return (I.covering(points, steps, group, F.struct(F.col("_v").alias("value"), n.alias("n")), max_members)
+            .withColumnRenamed("_items", "members"))
+
+
+def window_members(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int,
+                   passthrough=(), bucket_us: int | None = None, max_members: int | None = None) -> DataFrame:
+    """Rows whose key window ``(t - w, t]`` holds at least ``min_distinct`` distinct ``value``s, with the members.
+
+    One shuffle lays the packets out by ``(key, time bucket)`` with a look-back halo; delta events measure every
+    row; ``firing_members`` lists the members of those that fire.
     """
     keys = SL._cols(keys)
     cols = list(dict.fromkeys(list(keys) + list(passthrough)))
@@ -209,8 +180,7 @@ def window_sweep(rows: DataFrame, keys, value: str, w_us: int, min_distinct: int
     base = rows.select(*cols, "ts_us", "seq", F.col(value).cast("string").alias("_v"))
     laid = SL.distinct_on_halo(SL.with_halo(base, keys, w_us, b_us), keys, "_v", w_us, "_n", b_us,
                                keep_all=True)
-    return sweep_firing_groups(laid, keys, F.col("_own") & (F.col("_n") >= min_distinct), w_us,
-                               min_distinct, cols, max_members)
+    return firing_members(laid, keys, "_n", w_us, min_distinct, cols, max_members)
 
 
 # ------------------------------------------------------------ D1 / D3 shared
@@ -319,7 +289,7 @@ def rule_duplicate_ip(packets: DataFrame, semantics: str = "documented",
     w_us = window_s * US
     b_us = bucket_us or SL.default_halo_bucket(w_us)
     pk = _pk(packets)
-    hits = window_sweep(pk, "src_ip", "src_mac", w_us, high, passthrough=["src_mac"], bucket_us=b_us)
+    hits = window_members(pk, "src_ip", "src_mac", w_us, high, passthrough=["src_mac"], bucket_us=b_us)
     per_bucket = pk.groupBy("src_ip", SL._bucket("ts_us", b_us).alias("_pb")).agg(F.count(F.lit(1)).alias("_c"))
     offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_c").over(
         Window.partitionBy("src_ip").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
@@ -386,8 +356,8 @@ def rule_request_storm(packets: DataFrame, semantics: str = "documented",
               .withColumn("_targets", F.slice("_tg", 1, 10)))
         fired = h
     else:
-        fired = (window_sweep(req, "src_mac", "dst_ip", w_us, targets + 1, passthrough=["src_ip"],
-                              max_members=10)
+        fired = (window_members(req, "src_mac", "dst_ip", w_us, targets + 1, passthrough=["src_ip"],
+                                max_members=10)
                  .withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
                  .withColumn("_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10)))
     return _detections(
@@ -406,7 +376,7 @@ def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_
     """Rules 1, 2 and 3 (documented semantics) from one shuffle of the packets.
 
     One halo layout by ``(sender IP, bucket)`` serves: the firing-group pass
-    and member sweep of rule 2 and its per-bucket claim offsets; and the
+    and member lists of rule 2 and its per-bucket claim offsets; and the
     previous packet of every packet for rules 1 and 3 (``lag`` in the
     partition, whose halo rows are real earlier packets; only the first row
     of a partition without halo rows takes the last row of the nearest
@@ -420,14 +390,13 @@ def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_
     base = _pk(packets).select("src_ip", "ts_us", "seq", F.col("src_mac").alias("_v"))
     laid = SL.distinct_on_halo(SL.with_halo(base, "src_ip", w2, b_us), "src_ip", "_v", w2, "_n", b_us,
                                keep_all=True)
-    # ---- rule 2: sweep of firing groups, claim offsets per bucket
-    swept = sweep_firing_groups(laid, "src_ip", F.col("_own") & (F.col("_n") >= high), w2, high,
-                                ["src_ip", "_v"]).withColumnRenamed("_v", "src_mac")
+    # ---- rule 2: members of firing rows, claim offsets per bucket
+    fired = firing_members(laid.withColumn("src_mac", F.col("_v")), "src_ip", "_n", w2, high, ["src_mac"])
     per_bucket = laid.where("_own").groupBy("src_ip", "_pb").agg(F.count(F.lit(1)).alias("_c"))
     offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_c").over(
         Window.partitionBy("src_ip").orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0).cast("long"))).drop("_c")
-    y = swept.join(offsets, ["src_ip", "_pb"], "left")
+    y = fired.join(offsets, ["src_ip", "_pb"], "left")
     macs = F.transform("members", lambda m: m["value"])
     n = F.col("n_distinct")
     det2 = _detections(
@@ -463,7 +432,7 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
     One halo layout by ``(sender MAC, bucket)`` (look-back = the longer
     window) serves both rules.  One running-sum window carries three deltas:
     packets in 60 s (rule 4), distinct request targets and requests in 30 s
-    (rule 5).  The member sweep of rule 5 reads the same layout (the
+    (rule 5).  The member lists of rule 5 read the same layout (the
     exchange is reused).  Equal to ``rule_unusual_rate`` and
     ``rule_request_storm`` run separately.
     """
@@ -512,14 +481,13 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
         F.format_string(REASON_RATE, F.col("src_mac"), F.col("_n4")),
         _info(packet_count=F.col("_n4"), threshold=F.lit(limit), is_flood=is_flood,
               time_window=F.lit(rate_window_s)))
-    # rule 5: groups with a firing request, swept once over the same layout
-    swept = sweep_firing_groups(laid.where(F.col("op") == S.OP_REQUEST), "src_mac",
-                                F.col("_own") & (F.col("_u5") > targets), w5, targets + 1,
-                                ["src_mac", "src_ip"], max_members=10)
-    swept = (swept.withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
+    # rule 5: members of firing requests, from the same layout
+    fired = firing_members(laid.where(F.col("op") == S.OP_REQUEST), "src_mac", "_u5", w5, targets + 1,
+                           ["src_ip"], max_members=10)
+    fired = (fired.withColumn("_u", F.col("n_distinct")).withColumn("_r", F.col("n_rows"))
              .withColumn("_targets", F.slice(F.transform("members", lambda m: m["value"]), 1, 10)))
     det5 = _detections(
-        swept, 5, F.lit("ARP_REQUEST_STORM"), F.lit("HIGH"),
+        fired, 5, F.lit("ARP_REQUEST_STORM"), F.lit("HIGH"),
         F.format_string(REASON_STORM, F.col("src_mac"), F.col("_u"), F.lit(storm_window_s)),
         _info(unique_targets=F.col("_u"), total_requests=F.col("_r"), target_ips=F.col("_targets"),
               time_window=F.lit(storm_window_s)))

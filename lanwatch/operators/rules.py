@@ -103,6 +103,12 @@ def _detections(df: DataFrame, rule_no: int, event_type: Column, severity: Colum
     )
 
 
+def build_detections(rows: DataFrame, rule_no: int, event_type: Column, severity: Column, reason: Column,
+                     **info: Column) -> DataFrame:
+    """Detections of a user's rule (D10) from its firing packets; ``info`` takes fields of ``INFO_TYPE``."""
+    return _detections(rows, rule_no, event_type, severity, reason, _info(**info))
+
+
 def _none(packets: DataFrame, rule_no: int) -> DataFrame:
     empty = packets.where(F.lit(False))
     return _detections(empty, rule_no, F.lit(None).cast("string"), F.lit(None).cast("string"),
@@ -516,6 +522,11 @@ register_rule("unusual_rate", 4)(rule_unusual_rate)
 register_rule("request_storm", 5)(rule_request_storm)
 
 
+def unregister_rule(name: str) -> None:
+    """Take a user's rule out again."""
+    _REGISTRY.pop(name, None)
+
+
 def registered_rules() -> list[str]:
     return [n for n, _ in sorted(_REGISTRY.items(), key=lambda kv: kv[1][0])]
 

@@ -12,12 +12,14 @@ from ..operators import forest as M
 from ..operators import incidents as I
 from ..operators import rules as R
 from ..operators import trust as T
+from ..schema import MODEL_FEATURES
 from ..session import scratch
 from ..sources import fixture
 from ..sources import packets as S
 from ..sources import sinks as K
 from .catalog import register
-from .q_ml import _CONF
+from .q_features import _BINNED, FEATURE_LIST
+from .q_ml import _CONF, _chain
 from .q_risk import _FINDINGS, _TRUST, _incidents, trust_store
 from .q_rules import _ALL
 
@@ -95,3 +97,20 @@ def metrics_sink(spark, sf_dir):
     path = scratch(spark, "metrics")
     K.write_metrics(m, path)
     return spark.read.json(path)
+
+
+@register("prediction_json_fields", f"""
+SELECT window_start, 'IsolationForest' AS model_type, true AS coded_alike, true AS scored, {FEATURE_LIST} FROM wf""", _BINNED)
+def prediction_json_fields(spark, sf_dir):
+    """The written records, read again as JSON text and parsed field by field."""
+    _, _, _, preds = _chain(spark, sf_dir)
+    path = scratch(spark, "prediction-json")
+    K.write_prediction_json(preds, path)
+    doc = F.from_json("value", "window_start double, anomaly_prediction int, anomaly_score double, is_anomaly boolean, "
+                               "model_type string, features map<string,double>")
+    d = spark.read.text(path).select(doc.alias("d"))
+    feature = lambda c: F.element_at("d.features", c)
+    return d.select("d.window_start", "d.model_type",
+                    (F.when(F.col("d.is_anomaly"), -1).otherwise(1) == F.col("d.anomaly_prediction")).alias("coded_alike"),
+                    F.col("d.anomaly_score").isNotNull().alias("scored"),
+                    *[feature(c).cast("double" if c.endswith("ratio") else "long").alias(c) for c in MODEL_FEATURES])

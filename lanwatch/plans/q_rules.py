@@ -168,6 +168,29 @@ def rules_all(spark, sf_dir):
     return d.select("detection_id", "rule_no", "seq", "event_type", "severity", "device_ip", "device_mac")
 
 
+def _unspecified_sender(packets, semantics="documented"):
+    """A user's rule: a sender whose address is still unspecified."""
+    x = packets.where(F.col("src_ip") == "0.0.0.0")
+    return R.build_detections(x, 9, F.lit("SUSPICIOUS_ARP_RATE"), F.lit("LOW"),
+                              F.concat(F.lit("unspecified sender address from "), F.col("src_mac")))
+
+
+@register("rules_user", f"""
+SELECT {_ID}, {_BASE} FROM (
+  SELECT {_BASE} FROM d3o UNION ALL
+  SELECT 9 AS rule_no, seq, ts_us, src_ip AS device_ip, src_mac AS device_mac, 'SUSPICIOUS_ARP_RATE' AS event_type,
+         'LOW' AS severity, 'unspecified sender address from ' || src_mac AS reason
+  FROM packets WHERE src_ip = '0.0.0.0') x""", _D3)
+def rules_user(spark, sf_dir):
+    """A user's rule is registered, run beside a built-in one, and taken out again."""
+    R.register_rule("unspecified_sender", 9)(_unspecified_sender)
+    try:
+        d = R.run_rules(_pk(spark, sf_dir), rules=["gateway_change", "unspecified_sender"])
+    finally:
+        R.unregister_rule("unspecified_sender")
+    return d.select(*_base(d))
+
+
 _OBS = """
 o4w AS (SELECT *, 2 * least(count(*) OVER (PARTITION BY src_mac ORDER BY ts_us
                                 RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW), 100) AS n FROM packets),

@@ -62,3 +62,25 @@ def test_halo_requires_bucket_at_least_window(data):
     df, _, _ = data
     with pytest.raises(ValueError):
         SL.with_halo(df, "key", W, bucket_us=W - 1)
+
+
+def _window(pdf, key, t, seq):
+    g = pdf[(pdf.key == key) & (pdf.ts_us > t - W) & ((pdf.ts_us < t) | ((pdf.ts_us == t) & (pdf.seq <= seq)))]
+    return g
+
+
+def test_window_members_against_brute_force(data):
+    from lanwatch.operators import rules as R
+    df, pdf, exp = data
+    least = 4
+    own = {r.seq: r for r in pdf.itertuples()}
+    want = {s for s, (_, nd) in exp.items() if nd >= least}
+    for k in (None, 3):
+        out = R.window_members(df, "key", "val", W, least, bucket_us=B, max_members=k).collect()
+        assert {r["seq"] for r in out} == want and len(out) == len(want) > 100
+        for r in out:
+            g = _window(pdf, own[r["seq"]].key, r["ts_us"], r["seq"])
+            counts = g.val.dropna().value_counts().to_dict()
+            assert r["key"] == own[r["seq"]].key and r["n_rows"] == len(g) and r["n_distinct"] == len(counts)
+            members = [(m["value"], m["n"]) for m in r["members"]]
+            assert members == (sorted(counts.items()) if k is None else [(v, None) for v in sorted(counts)[:k]])

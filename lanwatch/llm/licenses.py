@@ -1,26 +1,28 @@
 """License scan by exact set-similarity join (operator 6, native).
 
-A text block is a line of a text; a template is a set of words.  A block matches a template when it
+A text block is a window of consecutive words of the whole text, line breaks ignored, that begins with a word of the
+template; a template is a set of words, and its windows are a quarter longer than its text (``span``), so that a
+wrapped or lightly edited notice is found and words scattered over a long text are not.  A block matches when it
 holds at least ``THRESHOLD`` of the template's words (containment).  The join is exact:
 
 * tokens are ordered by how many texts of the whole corpus hold them, rarest first;
-* prefix filter: a template of ``m`` words that needs ``k = ceil(THRESHOLD * m)`` of them is indexed
-  under its ``m - k + 1`` rarest words; a matching block holds at least one of these;
-* length filter: the block has ``k`` distinct words or more;
-* position filter: a prefix word at place ``i`` of the template that the block shares, first of the
-  shared ones, leaves at most ``m - i`` words in common, which must reach ``k``; likewise for the block,
-  counted over its words that any template has;
-* the containment itself is computed for the pairs that are left.
-
-A block also carries the four base phrases, whose words must stand consecutively; these are looked
-for in the words of the whole text, not of a line.
-
-Only lines of texts that hold a prefix word are turned into tokens, so the join sees few rows; the
-template index is bounded by the template list (a parameter), so it is broadcast.
-
-Edge cases: null text counts as empty; ties in token frequency are ordered by the word; repeated rows
-give repeated results; an empty table gives an empty result; extra columns are ignored; long lines
-are whole blocks.
+* prefix filter: a template of ``m`` words that needs ``k = ceil(THRESHOLD * m)`` of them is indexed under its
+  ``m - k + 1`` rarest words; a matching block holds at least one of these, so only the places of such words
+  (anchors) are looked at, with the ``span - 1`` words on either side;
+* length filter: the words around an anchor are ``k`` or more;
+* position filter: an anchor whose surroundings hold fewer than ``k`` of the template's words is dropped, and a
+  block counts under the anchor that is the rarest of the words it shares, at place ``i`` of the template, which
+  leaves at most ``m - i`` words in common;
+* the containment itself is computed for the blocks of the anchors that are left.
+
+A text also carries the four base phrases, whose words must stand consecutively.
+
+Only texts that hold a prefix word are cut into words for the join; an anchor carries at most ``2 * span - 1`` words,
+however long its text; the template index is bounded by the template list (a parameter), so it is broadcast.
+
+Edge cases: null text counts as empty; ties in token frequency are ordered by the word; repeated rows give repeated
+results; an empty table or an empty template list gives no block; extra columns, whatever their names, are ignored;
+very long texts are scanned whole, the words of one text at a time.
 """
 
 from __future__ import annotations
@@ -59,6 +61,11 @@ TEMPLATES = [
 THRESHOLD = 0.8
 
 
+def span(text: str) -> int:
+    """Words of a block for a template of this text."""
+    return math.ceil(1.25 * len(text.split()))
+
+
 def word_array(text: Column) -> Column:
     """Words of a text after lower-casing A-Z (the split leaves an empty piece at either end)."""
     return F.filter(F.split(C.lower_az(text), NON_WORD), lambda w: w != F.lit(""))
@@ -68,8 +75,8 @@ def template_table(spark, templates) -> DataFrame:
     rows = []
     for i, (label, text) in enumerate(templates):
         tokens = sorted(set(text.split()))
-        rows.append((i, label, tokens, len(tokens), math.ceil(round(THRESHOLD * len(tokens), 9))))
-    return spark.createDataFrame(rows, "template int, label string, tokens array<string>, m int, need int")
+        rows.append((i, label, tokens, len(tokens), math.ceil(round(THRESHOLD * len(tokens), 9)), span(text)))
+    return spark.createDataFrame(rows, "template int, label string, tokens array<string>, m int, need int, span int")
 
 
 def token_order(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -88,9 +95,9 @@ def _in_order(tokens: DataFrame, order: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Every (row id, line, template) with containment of at least ``THRESHOLD``, whole lines as blocks.
+    """Every (row id, template, block) with containment of at least ``THRESHOLD``.
 
-    ``docs`` has ``_id`` and ``text``.  Columns: _id, line (from 0), label, template, shared, m.
+    ``docs`` has ``_id`` and ``text``.  Columns: _id, start (of the block, in words from 0), label, template, shared, m.
     """
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
@@ -98,27 +105,41 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     order = C.staged(token_order(docs, vocabulary).coalesce(1), "tokens")
     table = template_table(spark, templates)
     index = C.staged(table.join(_in_order(table, order), "template").coalesce(1), "templates")
-    prefix = (index.select("template", "label", "ranked", "m", "need", F.posexplode("ranked").alias("i", "token"))
-              .filter("i <= m - need"))
+    prefix = (index.select("template", "label", "ranked", "m", "need", "span", F.posexplode("ranked").alias("i", "token"))
+              .filter("i <= m - need").drop("i"))
     rare = sorted(r[0] for r in prefix.select("token").distinct().collect())   # bounded by the template list
     if not rare:
         rare = [""]
-    # a text is split into lines only if a rare word occurs in it
+    reach = max((span(t) for _, t in templates), default=1) - 1
+    # a text is cut into words only if a rare word occurs in it
     probe = "(?i)(?:" + "|".join(rare) + ")"
-    lines = (docs.withColumn("_t", C.text_of()).filter(F.rlike("_t", F.lit(probe)))
-             .select("_id", F.posexplode(F.split("_t", "\n")).alias("line", "_t")).filter(F.rlike("_t", F.lit(probe)))
-             .withColumn("_b", F.array_distinct(word_array(F.col("_t"))))
-             .select("_id", "line", F.size("_b").alias("b"), F.filter("_b", lambda w: w.isin(vocabulary)).alias("known")))
-    found = (lines.select("_id", "line", "b", "known", F.explode(F.filter("known", lambda w: w.isin(rare))).alias("token"))
-             .join(F.broadcast(prefix), "token")                      # size bounded by the template list
-             .filter("b >= need")                                     # length
-             .withColumn("first", F.array_position("ranked", F.element_at(
-                 F.filter("ranked", lambda w: F.array_contains("known", w)), 1)).cast("int") - 1)
-             .filter("i = first")                                     # each pair once, by its first shared word
-             .filter((F.col("m") - F.col("i") >= F.col("need")) & (F.size("known") >= F.col("need")))   # position
-             .withColumn("shared", F.size(F.array_intersect("ranked", "known")))
-             .filter("shared >= need"))
-    return found.select("_id", "line", "label", "template", "shared", "m")
+    first = F.greatest(F.col("at") - F.lit(reach), F.lit(0))                   # of the words around the anchor
+    anchors = (docs.select("_id", C.text_of().alias("_t")).filter(F.rlike("_t", F.lit(probe)))
+               .withColumn("_w", word_array(F.col("_t")))
+               .withColumn("_a", F.filter(F.transform("_w", lambda w, i: F.when(w.isin(rare), i)), lambda i: i.isNotNull()))
+               .filter(F.size("_a") > 0)
+               .select("_id", F.explode(F.transform("_a", lambda i: F.struct(
+                   i.alias("at"), F.get("_w", i).alias("token"),
+                   F.slice("_w", F.greatest(i - F.lit(reach), F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("around")))).alias("_a"))
+               .select("_id", "_a.*").withColumn("first", first))
+    # the template's own reach within the words around
+    left = F.greatest(F.col("at") - F.col("span") + 1, F.col("first"))
+    near = (anchors.join(F.broadcast(prefix), "token")                       # size bounded by the template list
+            .withColumn("left", left)
+            .withColumn("around", F.slice("around", F.col("left") - F.col("first") + 1, 2 * F.col("span") - 1))
+            .filter(F.size("around") >= F.col("need"))                         # length
+            .filter(F.size(F.array_intersect("ranked", "around")) >= F.col("need")))   # position
+    blocks = F.filter(
+        F.transform(F.sequence(F.lit(1), F.col("at") - F.col("left") + 1), lambda s: F.struct(
+            (F.col("left") + s - 1).alias("start"), F.get("around", s - 1).alias("head"),
+            F.array_intersect("ranked", F.slice("around", s, F.col("span"))).alias("common"))),
+        lambda x: (F.size(x["common"]) >= F.col("need")) & (F.get(x["common"], F.lit(0)) == F.col("token"))
+        & F.array_contains("ranked", x["head"]))
+    found = near.select("_id", "template", "label", "m", F.explode(blocks).alias("b"))
+    # a block that holds its rarest word twice has two anchors
+    return (found.groupBy("_id", "template", F.col("b.start").alias("start"))
+            .agg(F.first("label").alias("label"), F.first(F.size("b.common")).alias("shared"), F.first("m").alias("m"))
+            .select("_id", "start", "label", "template", "shared", "m"))
 
 
 def _starts(w: Column, phrase: list[str]) -> Column:
@@ -163,17 +184,18 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
 
 
 def _sql() -> str:
-    values = ", ".join(f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(t.split())))}])" for i, (label, t) in enumerate(TEMPLATES))
+    values = ", ".join(f"({i}, '{label}', [{', '.join(repr(w) for w in sorted(set(t.split())))}], {span(t)})" for i, (label, t) in enumerate(TEMPLATES))
     phrases = ", ".join(f"('{label}', [{', '.join(repr(w) for w in p.split())}])" for p, label in PHRASES.items())
     non = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{C.UPPER}', '{C.LOWER}') AS x FROM documents),
 w AS (SELECT r, doc_id, x, list_filter(regexp_split_to_array(x, '{non}'), lambda v: v <> '') AS w FROM d),
-t(id, label, tokens) AS (VALUES {values}),
+t(id, label, tokens, span) AS (VALUES {values}),
 ph(label, p) AS (VALUES {phrases}),
-l AS (SELECT r, unnest(string_split(x, chr(10))) AS line FROM d),
-b AS (SELECT r, list_distinct(list_filter(regexp_split_to_array(line, '{non}'), lambda v: v <> '')) AS b FROM l),
-m AS (SELECT r, label, len(list_intersect(b, tokens)) AS shared, len(tokens) AS m FROM b, t WHERE shared >= ceil(round({THRESHOLD} * m, 9))),
+st AS (SELECT r, w, unnest(generate_series(1, len(w))) AS i FROM w),
+bl AS (SELECT r, label, len(list_intersect(tokens, w[i:i + span - 1])) AS shared, len(tokens) AS m
+       FROM st, t WHERE list_contains(tokens, w[i])),
+m AS (SELECT * FROM bl WHERE shared >= ceil(round({THRESHOLD} * m, 9))),
 mm AS (SELECT r, list(DISTINCT label) AS found, max(shared * 1.0::DOUBLE / m) AS score FROM m GROUP BY r),
 s AS (SELECT r, label, unnest(generate_series(1, len(w) - len(p) + 1)) AS i, w, p FROM w, ph WHERE len(w) >= len(p)),
 a AS (SELECT r, label, i - 1 AS i FROM s WHERE w[i:i + len(p) - 1] = p),

@@ -20,6 +20,8 @@ TRUST_SCHEMA = T.StructType([
     T.StructField("added_at", T.StringType(), True),
 ])
 
+PARTS = 16          # of the addresses of a MAC, in the join of events with the store
+
 
 def empty_store(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], TRUST_SCHEMA)
@@ -75,11 +77,13 @@ def trusted_flag(events: DataFrame, store: DataFrame, mac_col: str = "device_mac
                  ip_col: str = "device_ip", out: str = "trusted") -> DataFrame:
     """T4: ``trusted`` = MAC in the store and (stored ip null, event ip null, or equal).
 
-    A plain left join: Spark broadcasts the store if its size is below the session's threshold, else
-    shuffles and splits the rows of a hot MAC.
+    A left join on the MAC and a part of the addresses: each device of the store is there once for each of
+    ``PARTS`` parts, so that the events of a hot MAC are spread by their address.
     """
-    dim = store.select(F.col("mac").alias("_t_mac"), F.col("ip").alias("_t_ip"))
-    j = events.join(dim, normalize_mac(F.col(mac_col)) == F.col("_t_mac"), "left")
+    dim = store.select(F.col("mac").alias("_t_mac"), F.col("ip").alias("_t_ip"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))).alias("_t_part"))
+    part = F.pmod(F.xxhash64(F.col(ip_col)), F.lit(PARTS).cast("long"))
+    j = events.join(dim, (normalize_mac(F.col(mac_col)) == F.col("_t_mac")) & (part == F.col("_t_part")), "left")
     ok = F.col("_t_mac").isNotNull() & (F.col("_t_ip").isNull() | F.col(ip_col).isNull()
                                          | (F.col("_t_ip") == F.col(ip_col)))
-    return j.withColumn(out, ok).drop("_t_mac", "_t_ip")
+    return j.withColumn(out, ok).drop("_t_mac", "_t_ip", "_t_part")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..schema import PACKET_SCHEMA, MODEL_FEATURES
-from ..session import scratch
+from ..session import materialize, scratch
 from ..sources import fixture
 from ..streaming import incremental as I
 from ..streaming import stream as V
@@ -115,25 +115,24 @@ f AS (SELECT ts_us - ts_us % 30000000 AS w, device_mac, device_ip, bool_or(event
 def stream_risk(spark, sf_dir):
     """V6: detections of all five rules -> trust (stream-static) -> risk -> incidents, the last score of each."""
     base = _land(spark, sf_dir)
+    store = materialize(trust_store(spark, sf_dir))         # read by every micro-batch
     for name, rules in (("mac", V.stream_mac_rules), ("ip", V.stream_ip_rules)):
         dets = rules(_src(spark, base)).where(F.col("seq") < CLOSING_SEQ)
-        V.stream_risk(dets, trust_store(spark, sf_dir), f"{base}/incidents", f"{base}/ck/risk-{name}",
+        V.stream_risk(dets, store, f"{base}/incidents", f"{base}/ck/risk-{name}",
                       "2024-01-03T00:00:00+00:00", name=name).awaitTermination()
     return V.current_incidents(spark, f"{base}/incidents").select(
         "incident_id", "severity", "details.device_mac", "details.device_ip", F.col("details.trusted_device").alias("trusted"),
         (F.col("details.risk.score") + F.lit(0.0)).alias("score"))
 
 
-def _one_file(df, path):
-    df.coalesce(1).write.parquet(path)
-
-
 def _closing(spark):
     return spark.createDataFrame([(CLOSING_SEQ, CLOSING_TS, 1, "00:00:00:00:00:00", None, "0.0.0.0", None)], PACKET_SCHEMA)
 
 
-def _incremental(spark, base, delay_seconds=10):
-    src = V.read_packet_stream(spark, f"{base}/in/*", max_files_per_trigger=1)
+def _arrive(spark, base, name, rows, delay_seconds=10):
+    """Rows arrive, in as many files as there are tasks; one trigger takes them all, and the next arrival goes on from there."""
+    rows.write.parquet(f"{base}/in/{name}")
+    src = V.read_packet_stream(spark, f"{base}/in/*")
     I.stream_rules(src, f"{base}/rules", f"{base}/ck", delay_seconds=delay_seconds).awaitTermination()
 
 
@@ -147,9 +146,8 @@ def stream_rules_record(spark, sf_dir):
     lo, hi = p.agg(F.min("ts_us"), F.max("ts_us")).first()
     cuts = [lo, lo + (hi - lo) // 3, lo + 2 * (hi - lo) // 3, hi + 1]
     for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        _one_file(p.where((F.col("ts_us") >= a) & (F.col("ts_us") < b)), f"{base}/in/{k}")
-    _one_file(_closing(spark), f"{base}/in/closing")
-    _incremental(spark, base)
+        _arrive(spark, base, k, p.where((F.col("ts_us") >= a) & (F.col("ts_us") < b)))
+    _arrive(spark, base, "closing", _closing(spark))
     d = I.detections(spark, f"{base}/rules").where(F.col("seq") < CLOSING_SEQ)
     cpm = F.col("info.claims_per_mac")
     plain = ("previous_mac", "change_number", "change_count", "claiming_mac_count", "total_claims", "packet_count", "is_flood",
@@ -169,8 +167,7 @@ def stream_late_data(spark, sf_dir):
     base = scratch(spark, "stream-late")
     p = fixture.packets(spark, sf_dir)
     tardy = F.col("seq") % 50 == 7
-    _one_file(p.where(~tardy), f"{base}/in/0")
-    _one_file(p.where(tardy), f"{base}/in/1")
-    _incremental(spark, base)
+    _arrive(spark, base, 0, p.where(~tardy))
+    _arrive(spark, base, 1, p.where(tardy))
     return I.late_counts(spark, f"{base}/rules").groupBy("src_ip").agg(
         F.sum("late_rows").alias("late_rows"), F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"))

@@ -131,3 +131,22 @@ def test_entry_contract(spark):
     assert df.count() == 5 and "window_start" in df.columns
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(o) >= 50
+
+
+def test_incidents_appended_twice_are_computed_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from lanwatch.operators import incidents as I
+    from lanwatch.plans import catalog  # noqa: F401  loads the query modules in order
+    from lanwatch.plans import q_io
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([(f"i{k}", "t", "s", "k", "LOW", None) for k in range(5)], I.INCIDENT_SCHEMA)
+    monkeypatch.setattr(q_io, "_incidents", lambda *_: rows.withColumn("incident_id", noted("incident_id")))
+    monkeypatch.setattr(q_io, "scratch", lambda *_: str(tmp_path / "log"))
+    got = sorted(r.incident_id for r in q_io.incident_roundtrip(spark, "").collect())
+    assert got == sorted(2 * [f"i{k}" for k in range(5)]) and seen.value == 5

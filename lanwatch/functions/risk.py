@@ -80,19 +80,21 @@ def assess(flags: Column, confidence: Column, anomaly_score: Column, is_anomaly:
     flagged = F.coalesce(is_anomaly, F.lit(False))
     trusted = F.coalesce(trusted, F.lit(False))
     r_score, active = rule_score(flags, confidence)
+    # each term stands once in the score and the text, so that no label is formatted again for every branch
+    labels = [t[1] for t in rule_terms(flags, confidence)]
+    any_active = F.coalesce(*labels).isNotNull()
     m_score = ml_risk_score(anomaly_score, flagged, normal_reference, critical_reference)
-    combined = F.lit(RULE_SHARE) * r_score + F.lit(ML_SHARE) * m_score
-    combined = F.when((F.size(active) > 0) & flagged, combined + F.lit(AGREEMENT_BONUS)).otherwise(combined)
-    combined = F.when(trusted, combined * F.lit(TRUSTED_FACTOR)).otherwise(combined)
-    combined = clamp(combined)
-    parts = F.array(
-        F.when(F.size(active) > 0, F.concat(F.lit(EXPLAIN_RULES), F.array_join(active, ", "))),
+    bonus = F.when(flagged & any_active, F.lit(float(AGREEMENT_BONUS))).otherwise(F.lit(0.0))
+    factor = F.when(trusted, F.lit(float(TRUSTED_FACTOR))).otherwise(F.lit(1.0))
+    combined = clamp((F.lit(RULE_SHARE) * r_score + F.lit(ML_SHARE) * m_score + bonus) * factor)
+    # concat_ws leaves out nulls
+    explanation = F.concat_ws(
+        "; ",
+        F.when(any_active, F.concat(F.lit(EXPLAIN_RULES), F.concat_ws(", ", *labels))),
         F.when(flagged, F.lit(EXPLAIN_ML_FLAG))
          .when(anomaly_score.isNotNull(), F.format_string(EXPLAIN_ML_SCORE, anomaly_score.cast("double"))),
         F.when(trusted, F.lit(EXPLAIN_TRUSTED)),
-    )
-    parts = F.filter(parts, lambda x: x.isNotNull())
-    explanation = F.when(F.size(parts) > 0, F.array_join(parts, "; ")).otherwise(F.lit(EXPLAIN_NONE))
+        F.when(~any_active & ~flagged & anomaly_score.isNull() & ~trusted, F.lit(EXPLAIN_NONE)))
     return F.struct(
         F.round(combined, 2).alias("score"),
         risk_level(combined).alias("level"),

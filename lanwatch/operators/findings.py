@@ -38,6 +38,7 @@ def findings_from_detections(detections: DataFrame, packets: DataFrame, lo: int,
     """One row per (bin, device_mac, device_ip) with at least one detection.
 
     ``lo`` is the window grid anchor (first packet time, as for features).
+    ``packets`` serve the conflicts only: ``rules.contested_packets`` will do.
     ``window_features`` (with ``bin``) supplies the unsolicited-reply ratio.
     """
     w_us = int(round(window_seconds * US))

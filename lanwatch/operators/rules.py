@@ -75,6 +75,9 @@ REASON_STORM = "ARP scanning detected from %s: scanning %d unique IPs in %ds"
 
 US = S.US
 
+BROADCAST_IPS = 100_000     # contested IPs that are broadcast
+SALTS = 16                  # parts of the packets of an IP, if there are more
+
 
 def _info(**fields: Column) -> Column:
     parts = []
@@ -376,11 +379,33 @@ def rule_request_storm(packets: DataFrame, semantics: str = "documented",
 
 # ------------------------------------------------------------ D1 + D2 + D3 in one layout
 
+def contested_packets(packets: DataFrame) -> DataFrame:
+    """All packets of the sender IPs that were seen with more than one MAC (null counts as one).
+
+    An IP with one MAC has no change and no conflict, and no second MAC claims it; what compares the MACs of an IP
+    needs these packets only.  The distinct (IP, MAC) pairs are counted with a partial aggregation.  Few contested
+    IPs are broadcast; many are joined over ``SALTS`` parts of an IP's packets, so that a hot IP is spread.
+    """
+    several = materialize(packets.select("src_ip", "src_mac").distinct().groupBy("src_ip")
+                          .agg(F.count(F.lit(1)).alias("_macs")).where(F.col("_macs") > 1)
+                          .select(F.col("src_ip").alias("_ip")))
+    pk = packets.select("seq", "ts_us", "src_ip", "src_mac")
+    same_ip = F.col("src_ip").eqNullSafe(F.col("_ip"))
+    if several.count() <= BROADCAST_IPS:
+        return materialize(pk.join(F.broadcast(several), same_ip, "left_semi"))
+    parts = several.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    part = F.pmod(F.xxhash64("seq", "ts_us"), F.lit(SALTS).cast("long"))
+    return materialize(pk.join(parts, same_ip & (part == F.col("_part")), "left_semi"))
+
+
 def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_WINDOW_S,
              claim_window_s: int = S.CLAIM_WINDOW_S, high: int = S.CLAIMS_HIGH,
-             critical: int = S.CLAIMS_CRITICAL) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rules 1, 2 and 3 (documented semantics) from one shuffle of the packets.
+             critical: int = S.CLAIMS_CRITICAL,
+             contested: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rules 1, 2 and 3 (documented semantics) from one shuffle of the contested packets.
 
+    Only IPs with several MACs can fire (``contested_packets``, which a caller may bring); all packets are laid out
+    only if one claimed MAC is enough for rule 2.
     One halo layout by ``(sender IP, bucket)`` serves: the firing-group pass
     and member lists of rule 2 and its per-bucket claim offsets; and the
     previous packet of every packet for rules 1 and 3 (``lag`` in the
@@ -392,10 +417,14 @@ def ip_rules(packets: DataFrame, gateways=None, change_window_s: int = S.CHANGE_
     gws = list(gateways) if gateways else list(S.DEFAULT_GATEWAYS)
     w2 = claim_window_s * US
     b_us = SL.default_halo_bucket(max(w2, change_window_s * US))
-    # one shuffle: every later step runs on these partitions
-    base = _pk(packets).select("src_ip", "ts_us", "seq", F.col("src_mac").alias("_v"))
-    laid = SL.distinct_on_halo(SL.with_halo(base, "src_ip", w2, b_us), "src_ip", "_v", w2, "_n", b_us,
-                               keep_all=True)
+    if high < 2:
+        contested = packets
+    elif contested is None:
+        contested = contested_packets(packets)
+    # one shuffle, read by every later step
+    base = contested.select("src_ip", "ts_us", "seq", F.col("src_mac").alias("_v"))
+    laid = materialize(SL.distinct_on_halo(SL.with_halo(base, "src_ip", w2, b_us), "src_ip", "_v", w2, "_n", b_us,
+                                           keep_all=True))
     # ---- rule 2: members of firing rows, claim offsets per bucket
     fired = firing_members(laid.withColumn("src_mac", F.col("_v")), "src_ip", "_n", w2, high, ["src_mac"])
     per_bucket = laid.where("_own").groupBy("src_ip", "_pb").agg(F.count(F.lit(1)).alias("_c"))
@@ -438,9 +467,10 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
     One halo layout by ``(sender MAC, bucket)`` (look-back = the longer
     window) serves both rules.  One running-sum window carries three deltas:
     packets in 60 s (rule 4), distinct request targets and requests in 30 s
-    (rule 5).  The member lists of rule 5 read the same layout (the
-    exchange is reused).  Equal to ``rule_unusual_rate`` and
-    ``rule_request_storm`` run separately.
+    (rule 5).  A group with too few packets for rule 4 and too few requests
+    for rule 5 can't fire and is left before that.  The layout is written
+    once for the detections of rule 4 and the member lists of rule 5.  Equal
+    to ``rule_unusual_rate`` and ``rule_request_storm`` run separately.
     """
     w4, w5 = rate_window_s * US, storm_window_s * US
     b_us = SL.default_halo_bucket(max(w4, w5))
@@ -448,6 +478,9 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
     base = _pk(packets).select("src_mac", "src_ip", "ts_us", "seq", "op",
                                F.when(is_req, F.col("dst_ip")).alias("_v"))
     h = SL.with_halo(base, "src_mac", max(w4, w5), b_us)
+    whole = Window.partitionBy("src_mac", "_pb")
+    h = (h.withColumn("_packets", F.count(F.lit(1)).over(whole)).withColumn("_targeted", F.count("_v").over(whole))
+         .where((F.col("_packets") > limit) | (F.col("_targeted") > targets)).drop("_packets", "_targeted"))
     wv = Window.partitionBy("src_mac", "_pb", "_v").orderBy("ts_us", "seq")
     end = (F.col("_pb") + 1) * F.lit(b_us)
     t = F.col("ts_us")
@@ -476,7 +509,9 @@ def mac_rules(packets: DataFrame, rate_window_s: int = S.RATE_WINDOW_S, limit: i
     wr = (Window.partitionBy("src_mac", "_pb").orderBy(F.col("_ev.t"), F.col("_ev.k"), F.col("seq"))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     laid = (e.withColumn("_n4", F.sum("_ev.a").over(wr)).withColumn("_u5", F.sum("_ev.b").over(wr))
-            .where(F.col("_ev.k") == 1).withColumn("_own", F.col("_ev.q")))
+            .where(F.col("_ev.k") == 1)
+            .select("src_mac", "_pb", "src_ip", "ts_us", "seq", "op", "_v", F.col("_ev.q").alias("_own"), "_n4", "_u5"))
+    laid = materialize(laid)
     r = laid.where("_own")
     # rule 4
     d4 = r.where(F.col("_n4") > limit)
@@ -532,9 +567,11 @@ def registered_rules() -> list[str]:
 
 
 def run_rules(packets: DataFrame, rules=None, gateways=None, semantics: str = "documented",
-              skip_failing: bool = False, normalize_macs: bool = False) -> DataFrame:
+              skip_failing: bool = False, normalize_macs: bool = False,
+              contested: DataFrame | None = None) -> DataFrame:
     """Every rule over the same packets, detections unioned.
 
+    ``contested``: their ``contested_packets``, if the caller has them (not with ``normalize_macs``).
     ``normalize_macs`` reads two spellings of a sender MAC (case, ``-``, white space) as one.
 
     A rule that fails to build (bad user rule) is skipped when
@@ -543,13 +580,13 @@ def run_rules(packets: DataFrame, rules=None, gateways=None, semantics: str = "d
     """
     names = rules or registered_rules()
     if normalize_macs:
-        packets = packets.withColumn("src_mac", normalize_mac(F.col("src_mac")))
+        packets, contested = packets.withColumn("src_mac", normalize_mac(F.col("src_mac"))), None
     outs = []
     shared = {}
     ip_combined = semantics == "documented" and {"ip_mac_change", "duplicate_ip", "gateway_change"} <= set(names)
     if ip_combined:
         # rules 1, 2 and 3 key by sender IP: one shuffle serves all three
-        d1, d2, d3 = ip_rules(packets, gateways)
+        d1, d2, d3 = ip_rules(packets, gateways, contested=contested)
     elif semantics == "documented" and {"ip_mac_change", "gateway_change"} <= set(names):
         # rules 1 and 3 read the same change rows: computed once
         shared["changes"] = materialize(mac_changes(packets))

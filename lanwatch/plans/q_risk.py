@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.mac import normalize_mac
@@ -53,10 +54,10 @@ store AS (SELECT coalesce(s1.mac, b2.mac) AS mac, s1.ip AS ip, coalesce(s1.label
 
 
 def _batch1(p):
-    stable = (p.where(F.col("src_ip") != "0.0.0.0").groupBy("src_ip")
-              .agg(F.count_distinct("src_mac").alias("_m")).where(F.col("_m") == 1).select("src_ip"))
-    return (p.join(stable, "src_ip", "left_semi").groupBy("src_mac", "src_ip")
-            .agg(F.min("seq").alias("seq"))
+    # one scan: the distinct pairs of every address, of which one with a single MAC is kept
+    pairs = p.where(F.col("src_ip") != "0.0.0.0").groupBy("src_mac", "src_ip").agg(F.min("seq").alias("seq"))
+    macs = F.count("src_mac").over(Window.partitionBy("src_ip"))
+    return (pairs.withColumn("_m", macs).where(F.col("_m") == 1)
             .select(F.upper(F.regexp_replace("src_mac", ":", "-")).alias("mac"), F.col("src_ip").alias("ip"),
                     F.concat(F.lit("host "), F.col("src_ip")).alias("label"), "seq"))
 
@@ -158,7 +159,8 @@ def _findings(spark, sf_dir):
     p = fixture.packets(spark, sf_dir)
     bounds = W.time_bounds(p)
     wf = W.engineer_features(p, include_bin=True, bounds=bounds)
-    return findings_from_detections(R.run_rules(p), p, bounds[0], wf)
+    contested = R.contested_packets(p)
+    return findings_from_detections(R.run_rules(p, contested=contested), contested, bounds[0], wf)
 
 
 @register("findings_from_detections", f"""

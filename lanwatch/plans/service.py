@@ -58,8 +58,9 @@ def end_to_end(packets: DataFrame, trust_store: DataFrame, created_at: str, wind
     bounds = W.time_bounds(packets)
     feats, _, _, preds = ml_chain(packets, window_seconds, bounds, **forest_kw)
     preds = materialize(preds)
-    dets = R.run_rules(packets, gateways=gateways, semantics=semantics)
-    f = findings_from_detections(dets, packets, bounds[0], feats, window_seconds)
+    contested = R.contested_packets(packets)    # read by the IP rules and the conflicts of a window
+    dets = R.run_rules(packets, gateways=gateways, semantics=semantics, contested=contested)
+    f = findings_from_detections(dets, contested, bounds[0], feats, window_seconds)
     f = f.join(preds.select("bin", "anomaly_score", "is_anomaly"), "bin", "left")
     f = trusted_flag(f, trust_store)
     f = as_maps(f, {"unknown_device": ~F.col("trusted")})
